@@ -6,6 +6,7 @@ from collections.abc import Callable
 from functools import cache
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tessera.llm.common import table
 
@@ -25,8 +26,67 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_texts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
-QUERIES: dict[str, Query] = {"op1_packing": op1_packing}
-ORACLE_SQL: dict[str, str] = {}
+def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.secrets import scan_secrets
+
+    return scan_secrets(table(spark, sf_dir, "documents"))
+
+
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.linededup import dedup_lines
+
+    done = dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.topk import int_vectors, top_k
+
+    vectors = int_vectors(table(spark, sf_dir, "embeddings"))
+    return top_k(vectors, vectors.where(F.pmod("vec_id", F.lit(50)) == 0))
+
+
+def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.warc import digests
+
+    return digests(table(spark, sf_dir, "pages"))
+
+
+def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.pieces import encode_texts
+
+    return encode_texts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
+
+
+OP5_SQL = """WITH e AS (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS v
+  FROM embeddings WHERE embedding IS NOT NULL
+    AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id,
+  CAST(list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i])) AS BIGINT) AS score
+  FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM (
+  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 5"""
+
+OP10_SQL = r"""WITH l AS (
+  SELECT doc_id, line, pos, translate(trim(line, chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM (SELECT doc_id, unnest(c) AS line, generate_subscripts(c, 1) AS pos
+    FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS c FROM documents))),
+r AS (SELECT key, max(doc_id) AS keep FROM l WHERE length(key) >= 40
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 5)
+SELECT l.doc_id, count(*) AS n_lines, count(*) FILTER (WHERE keep IS NOT NULL AND keep <> l.doc_id) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE keep IS NULL OR keep = l.doc_id), '')) AS kept_sha256
+FROM l LEFT JOIN r USING (key) GROUP BY l.doc_id"""
+
+
+QUERIES: dict[str, Query] = {
+    "op1_packing": op1_packing,
+    "op4_secret_scans": op4_secret_scans,
+    "op5_exact_topk": op5_exact_topk,
+    "op6_warc": op6_warc,
+    "op7_sentencepiece": op7_sentencepiece,
+    "op10_line_dedup": op10_line_dedup,
+}
 
 
 def queries() -> dict[str, Query]:
@@ -34,4 +94,11 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(ORACLE_SQL)
+    from tessera.llm import secrets, warc
+
+    return {
+        "op4_secret_scans": secrets.oracle_sql(),
+        "op5_exact_topk": OP5_SQL,
+        "op6_warc": warc.oracle_sql(),
+        "op10_line_dedup": OP10_SQL,
+    }
