@@ -3,14 +3,13 @@
 from __future__ import annotations
 
 import os
-import re
 from functools import cache
+from typing import TYPE_CHECKING
 
 import numpy as np
 
-#: One mark after a letter and before a space is a token of its own.
-_MARK = re.compile(rb"(?<=[a-z])([.,])(?=[ \n])")
-
+if TYPE_CHECKING:
+    from tokenizers import Tokenizer
 
 class WordTokenizer:
     """Encodes texts through a store of words already encoded.
@@ -18,18 +17,28 @@ class WordTokenizer:
     The tokenizer folds case, drops white space and never joins what white space
     separates, so a text's ids are its words' ids in a row. ASCII case is folded first
     (unless a combining mark might compose differently then). New words of a batch
-    are encoded in one call, between separators that can be found again in the ids.
-    The store holds `most` words and starts anew beyond that; what it holds never
-    changes a result."""
+    are encoded in one call, between separators that can be found again in the ids; a
+    word that ends in a letter and one mark is its letters and the mark.
+    The store has two halves of `most` words: when one is full it becomes the old half,
+    whose words move over as they are met again, and the old one before it goes. What
+    the store holds never changes a result."""
 
-    def __init__(self, path: str, most: int = 800_000) -> None:
+    def __init__(self, path: str, most: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        # Words of Latin letters are one piece each and need no normaliser but lower().
+        self.letters = Tokenizer.from_file(path)
+        self.letters.encode_special_tokens = True
+        self.letters.normalizer = normalizers.Sequence([])
+        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), level])
         self.most = most
         self.known: dict[bytes, bytes] = {}
+        self.old: dict[bytes, bytes] = {}
+        self.marks = {m: np.array(self._one(chr(m)), np.uint32).tobytes() for m in b".,"}
 
     @staticmethod
     @cache
@@ -40,42 +49,60 @@ class WordTokenizer:
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """For each UTF-8 text its ids, as little-endian uint32 bytes."""
         if len(self.known) > self.most:
-            self.known.clear()
+            self.old, self.known = self.known, {}
         out = []
         for text in texts:
-            if b"\xcc" not in text and b"\xcd" not in text:
-                text = _MARK.sub(rb" \1", text.lower())
-            words = text.split()
-            found = list(map(self.known.get, words))
-            out.append((words, found))
-        self._encode(list({w for words, found in out if None in found for w, x in zip(words, found, strict=True) if x is None}))
+            words = (text if b"\xcc" in text or b"\xcd" in text else text.lower()).split()
+            out.append((words, list(map(self.known.get, words))))
+        self._learn({w for words, found in out if None in found for w, x in zip(words, found, strict=True) if x is None})
         get = self.known.__getitem__
         return [b"".join(map(get, words) if None in found else found) for words, found in out]
 
-    def _encode(self, words: list[bytes], mark: str = " ☃☃ ") -> None:
-        if not words:
-            return
-        texts = [w.decode("utf-8", "replace") for w in words]
-        odd = [i for i, t in enumerate(texts) if "☃" in t]
-        for i in odd:
-            texts[i] = "a"
+    def _learn(self, new: set[bytes]) -> None:
+        known, old = self.known, self.old
+        heads, ends = set(), []
+        for word in new:
+            if (found := old.get(word)) is not None:
+                known[word] = found
+            elif len(word) > 1 and word[-1] in self.marks and 97 <= word[-2] <= 122:
+                head = word[:-1]
+                ends.append((word, head))
+                if head not in known and head not in new:
+                    heads.add(head)
+            else:
+                heads.add(word)
+        latin, other = [], []
+        for word in heads:
+            text = word.decode("utf-8", "replace")
+            if text.isalpha() and max(text) < "\u0130":
+                latin.append((word, text.lower()))
+            else:
+                other.append((word, text))
+        self._encode(latin, self.letters)
+        self._encode(other, self.tokenizer)
+        for word, head in ends:
+            known[word] = known[head] + self.marks[word[-1]]
+
+    def _encode(self, pairs: list[tuple[bytes, str]], by: Tokenizer, mark: str = "☃☃") -> None:
+        """Stores the ids of each (word, text), 2000 in a call between marks."""
         cut = np.array(self._one(mark), np.uint32)
         k = len(cut)
-        for i in range(0, len(texts), 2000):
-            some = texts[i : i + 2000]
-            ids = np.array(self._one(mark + mark.join(some) + mark), np.uint32)
+        for i in range(0, len(pairs), 2000):
+            some = pairs[i : i + 2000]
+            texts = [t if "☃" not in t else "a" for _, t in some]
+            line = f" {mark} ".join(["", *texts, ""])
+            ids = np.array(by.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32)
             hit = ids[: len(ids) - k + 1] == cut[0]
             for j in range(1, k):
                 hit &= ids[j : len(ids) - k + 1 + j] == cut[j]
             at = np.flatnonzero(hit)
             if len(at) == len(some) + 1:
                 raw, ends = ids.tobytes(), (4 * at).tolist()
-                for word, a, b in zip(words[i : i + 2000], ends[:-1], ends[1:], strict=True):
+                for (word, _), a, b in zip(some, ends[:-1], ends[1:], strict=True):
                     self.known[word] = raw[a + 4 * k : b]
-            else:  # a word's own ids look like the mark
-                odd.extend(range(i, i + len(some)))
-        for i in odd:
-            self.known[words[i]] = np.array(self._one(words[i].decode("utf-8", "replace")), np.uint32).tobytes()
+                some = [x for x in some if "☃" in x[1]]
+            for word, text in some:  # what looks like the mark itself is encoded alone
+                self.known[word] = np.array(self._one(text), np.uint32).tobytes()
 
     def _one(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
