@@ -58,6 +58,12 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_texts(table(spark, sf_dir, "documents"), tokenizer_path("piece_bpe_32k.model"))
 
 
+def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.neardedup import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 OP5_SQL = """WITH e AS (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS v
   FROM embeddings WHERE embedding IS NOT NULL
     AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -85,6 +91,7 @@ QUERIES: dict[str, Query] = {
     "op5_exact_topk": op5_exact_topk,
     "op6_warc": op6_warc,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_minhash": op8_minhash,
     "op10_line_dedup": op10_line_dedup,
 }
 
@@ -94,11 +101,12 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from tessera.llm import secrets, warc
+    from tessera.llm import neardedup, secrets, warc
 
     return {
         "op4_secret_scans": secrets.oracle_sql(),
         "op5_exact_topk": OP5_SQL,
         "op6_warc": warc.oracle_sql(),
+        "op8_minhash": neardedup.OP8_SQL,
         "op10_line_dedup": OP10_SQL,
     }
