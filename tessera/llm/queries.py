@@ -26,6 +26,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_texts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.quality import judge
+
+    return judge(table(spark, sf_dir, "documents")).drop("distance")
+
+
 def op4_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.secrets import scan_secrets
 
@@ -87,6 +93,7 @@ FROM l LEFT JOIN r USING (key) GROUP BY l.doc_id"""
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op3_quality_rules": op3_quality_rules,
     "op4_secret_scans": op4_secret_scans,
     "op5_exact_topk": op5_exact_topk,
     "op6_warc": op6_warc,
