@@ -26,6 +26,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_texts(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     from tessera.llm.quality import judge
 
@@ -93,6 +99,7 @@ FROM l LEFT JOIN r USING (key) GROUP BY l.doc_id"""
 
 QUERIES: dict[str, Query] = {
     "op1_packing": op1_packing,
+    "op2_toxicity": op2_toxicity,
     "op3_quality_rules": op3_quality_rules,
     "op4_secret_scans": op4_secret_scans,
     "op5_exact_topk": op5_exact_topk,
