@@ -76,6 +76,12 @@ def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op9_ctw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from tessera.llm.ctw import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))
+
+
 OP5_SQL = """WITH e AS (SELECT vec_id, list_transform(CAST(embedding AS DOUBLE[]), lambda x: CAST(floor(256 * x) AS BIGINT)) AS v
   FROM embeddings WHERE embedding IS NOT NULL
     AND len(list_filter(CAST(embedding AS DOUBLE[]), lambda x: x IS NULL OR NOT isfinite(x))) = 0),
@@ -106,6 +112,7 @@ QUERIES: dict[str, Query] = {
     "op6_warc": op6_warc,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_minhash": op8_minhash,
+    "op9_ctw": op9_ctw,
     "op10_line_dedup": op10_line_dedup,
 }
 
