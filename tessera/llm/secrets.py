@@ -297,7 +297,8 @@ def redact_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, mark: str = "
     """docs with each span (overlapping ones as one) of its text replaced by the mark.
 
     Null text stays null; all other columns pass through untouched."""
-    at = docs.columns.index("text")
+    names = docs.columns
+    at = names.index("text")
     rows = docs.select(*[F.coalesce(c, F.lit("")).cast("binary").alias(c) if c == "text" else F.col(c) for c in docs.columns], F.col("text").isNull().alias("__null"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -311,8 +312,8 @@ def redact_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, mark: str = "
                     pieces += [whole[end:a], mark]
                     end = b
                 out.append(None if null else "".join([*pieces, whole[end:]]))
-            columns = [pa.array(out, pa.string()) if i == at else part.column(i) for i in range(len(docs.columns))]
-            yield pa.RecordBatch.from_arrays(columns, docs.columns)
+            columns = [pa.array(out, pa.string()) if i == at else part.column(i) for i in range(len(names))]
+            yield pa.RecordBatch.from_arrays(columns, names)
 
     return rows.mapInArrow(run, docs.schema)
 
