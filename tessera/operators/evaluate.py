@@ -130,7 +130,9 @@ def concept_stats(pairs: DataFrame, n_queries: int) -> DataFrame:
     """concept, n_jobs, job_share, pair_share, mean_score, min_score, mean_rank of (job,
     concept, score, rank) pairs."""
     n = pairs.count()
-    rows = pairs.groupBy("concept").agg(F.count_distinct("job").alias("n_jobs"), F.count(F.lit(1)).alias("n_pairs"), F.round(F.avg("score"), 6).alias("mean_score"), F.round(F.min("score"), 6).alias("min_score"), F.round(F.avg("rank"), 6).alias("mean_rank"))
+    # Millionths add up exactly in any order.
+    exact = F.round(F.sum(F.round(F.col("score") * 1e6).cast("long")) / F.count("score") / 1e6, 6)
+    rows = pairs.groupBy("concept").agg(F.count_distinct("job").alias("n_jobs"), F.count(F.lit(1)).alias("n_pairs"), exact.alias("mean_score"), F.round(F.min("score"), 6).alias("min_score"), F.round(F.avg("rank"), 6).alias("mean_rank"))
     return rows.withColumns({"job_share": F.round(F.col("n_jobs") / F.lit(float(max(n_queries, 1))), 4), "pair_share": F.round(F.col("n_pairs") / F.lit(float(max(n, 1))), 4)})
 
 
