@@ -80,9 +80,17 @@ def keyed_join(
     return left.join(right, on, "left").drop(*names, "__salt", "__salt_r")
 
 
-def text_bytes(df: DataFrame, *columns: str) -> DataFrame:
-    """The given columns, and the text (null: empty) as UTF-8 bytes in __text."""
-    return df.select(*columns, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("__text"))
+#: Rows of whole texts that go to a Python worker at once.
+BATCH_ROWS = 1000
+
+
+def small_batches(df: DataFrame) -> None:
+    """Bounds the session's Arrow batches, which are counted in rows: texts are long, and
+    a batch is held by the executor and its worker at once."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    conf = df.sparkSession.conf
+    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
+        conf.set(key, str(BATCH_ROWS))
 
 
 def code_points(b: bytes) -> int:

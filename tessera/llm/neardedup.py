@@ -26,13 +26,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import keyed_join, materialize
+from tessera.llm.common import keyed_join, materialize, small_batches
 from tessera.llm.components import components
 from tessera.llm.shingles import mix, shingle_set
 
 ROWS, BANDS = 5, 44
-HASHES, BITS = 512, 2
-MIN_ESTIMATE = 0.66
+HASHES, BITS = 1024, 2
+MIN_ESTIMATE = 0.685
 BLOCK = 512
 #: Rows of 24 bytes or so that are broadcast at most.
 MOST = 500_000
@@ -189,6 +189,11 @@ def _hub_pairs(banded: DataFrame, buckets: DataFrame) -> DataFrame:
     return met.where("doc <> hub").select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
 
 
+def _ends(pairs: DataFrame) -> DataFrame:
+    """The documents of pairs (column doc), once each."""
+    return pairs.select(F.col("a").alias("doc")).distinct().union(pairs.select(F.col("b").alias("doc")).distinct()).distinct()
+
+
 def _estimated(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     x = signed.select(F.col("doc_id").alias("a"), F.col("planes").alias("pa"))
     y = signed.select(F.col("doc_id").alias("b"), F.col("planes").alias("pb"))
@@ -274,6 +279,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     empty sets and link with nothing. Rows that repeat a doc_id are one document, with
     one row each. A null doc_id links with nothing. An empty table gives no rows; other
     columns are not read."""
+    small_batches(docs)
     signed = materialize(signatures(docs), "signatures")
     named = signed.where("doc_id IS NOT NULL AND set_key IS NOT NULL")
     classes = named.groupBy("set_key").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("n")).where("n > 1").select("set_key", "rep")
@@ -291,12 +297,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     banded = materialize(banded.join(buckets.select("band"), "band", "left_semi"), "banded")
     near = materialize(_estimated(_hub_pairs(banded, buckets), heads), "near")
     tried = materialize(_best(near, 2), "tried")
-    sets = materialize(shingle_sets(docs, near.select(F.explode(F.array("a", "b")).alias("doc")).distinct()).dropDuplicates(["doc"]), "sets")
+    sets = materialize(shingle_sets(docs, materialize(_ends(near), "ends")).dropDuplicates(["doc"]), "sets")
     links = materialize(confirm(tried, sets), "links")
     labels = materialize(components(links), "labels")
     more = materialize(_cross_pairs(banded, buckets, labels, heads).join(tried, ["a", "b"], "left_anti"), "cross")
-    own = more.select(F.explode(F.array("a", "b")).alias("doc")).distinct().join(sets.select("doc"), "doc", "left_anti")
-    sets = sets.unionByName(shingle_sets(docs, own).dropDuplicates(["doc"]))
+    own = materialize(_ends(more).join(sets.select("doc"), "doc", "left_anti"), "ends")
+    sets = sets.unionByName(materialize(shingle_sets(docs, own).dropDuplicates(["doc"]), "sets"))
     late = materialize(confirm(more, sets), "late")
     if not late.isEmpty():
         labels = materialize(components(links.union(late)), "labels")
