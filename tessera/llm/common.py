@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import atexit
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -96,3 +96,51 @@ def small_batches(df: DataFrame) -> None:
 def code_points(b: bytes) -> int:
     """Code points of UTF-8 bytes."""
     return len(b) if b.isascii() else len(b.decode("utf-8", "replace"))
+
+
+# ------------------------------------------------------------- Python workers
+
+_owner: str | None = None
+_clear: list[Callable[[], None]] = []
+
+
+def kept_store(clear: Callable[[], None]) -> None:
+    """Registers how to empty a store that a worker keeps between tasks."""
+    if clear not in _clear:
+        _clear.append(clear)
+
+
+def lean(owner: str, run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A task function that leaves its worker small: stores of other operators go when it
+    starts, and freed memory goes back to the system when it ends. Workers are reused."""
+
+    def task(batches: Iterator) -> Iterator:
+        _enter(owner)
+        try:
+            yield from run(batches)
+        finally:
+            _trim()
+
+    return task
+
+
+def _enter(owner: str) -> None:
+    global _owner
+    if _owner != owner:
+        for clear in _clear:
+            clear()
+        _owner = owner
+
+
+def _trim() -> None:
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to ask for
+        return

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import lean, materialize, small_batches
 from tessera.llm.shingles import word_hashes
 
 DEPTH = 3
@@ -249,7 +249,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def train(docs: DataFrame, folds: int) -> DataFrame:
     """kind, key, n over all texts that aren't held out, in the shared folder."""
     rows = docs.where(~held_out(folds)).select(F.coalesce("text", F.lit("")).cast("binary").alias("t"))
-    counts = rows.mapInArrow(_count, "kind int, key long, n long")
+    counts = rows.mapInArrow(lean("ctw", _count), "kind int, key long, n long")
     return materialize(counts.groupBy("kind", "key").agg(F.sum("n").alias("n")), "counts")
 
 
@@ -283,6 +283,7 @@ def score_texts(docs: DataFrame, *, folds: int = 10, most_cells: int = MOST_CELL
     Null text is empty: its end alone. Rows that share an id are scored each and train as
     often; a null id trains. Without training rows every bit costs one bit. An empty table
     gives no rows; columns other than doc_id and text are not read."""
+    small_batches(docs)
     spark = docs.sparkSession
     counts = train(docs, folds)
     words = counts.where("kind = 0").select("key", "n")
@@ -321,7 +322,7 @@ def score_texts(docs: DataFrame, *, folds: int = 10, most_cells: int = MOST_CELL
                     columns, names = [*columns, batch.column(2).slice(i, 256)], [*names, "k"]
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    scored = rows.mapInArrow(run, SCHEMA if few else SCHEMA + ", k long")
+    scored = rows.mapInArrow(lean("ctw", run), SCHEMA if few else SCHEMA + ", k long")
     if not few:
         scored = scored.drop("n_known", "base_score").join(_by_word(rows, words, size), "k")
     return scored.select(
@@ -349,7 +350,7 @@ def _by_word(rows: DataFrame, words: DataFrame, size: float) -> DataFrame:
 
     # One row a text: repeated texts must not add up.
     texts = rows.groupBy("k").agg(F.min("t").alias("t"))
-    pairs = texts.mapInArrow(own, "k long, key long, tf long").join(words, "key", "left")
+    pairs = texts.mapInArrow(lean("ctw", own), "k long, key long, tf long").join(words, "key", "left")
     c = F.coalesce("n", F.lit(0))
     return pairs.groupBy("k").agg(
         F.sum(F.when(c > 0, F.col("tf")).otherwise(0)).alias("n_known"),

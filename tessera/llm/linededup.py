@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACES, code_points, materialize
+from tessera.llm.common import SPACES, code_points, lean, materialize, small_batches
 
 CHUNK_BITS = 1 << 18
 MIN_CHARS, MIN_DOCS = 40, 5
@@ -126,8 +126,8 @@ def twice_filter(docs: DataFrame, filter_bits: int, min_chars: int) -> np.ndarra
                 yield pa.RecordBatch.from_pydict({"chunk": pa.array([c], pa.int32()), "twice": [_packed(twice)]})
 
     text = docs.select(F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    parts = text.mapInArrow(build, "chunk int, once binary, twice binary")
-    merged = parts.repartition("chunk").mapInArrow(merge, "chunk int, twice binary")
+    parts = text.mapInArrow(lean("linededup", build), "chunk int, once binary, twice binary")
+    merged = parts.repartition("chunk").mapInArrow(lean("linededup", merge), "chunk int, twice binary")
     out = np.zeros(filter_bits // 8, np.uint8)
     size = CHUNK_BITS // 8
     for row in merged.collect():  # filter_bits at most, whatever the input
@@ -156,7 +156,7 @@ def confirmed_keys(
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], ["key", "doc_id"]).filter(pa.array(hit))
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    found = rows.mapInArrow(suspects, "key binary, doc_id long")
+    found = rows.mapInArrow(lean("linededup", suspects), "key binary, doc_id long")
     # Repeated rows of a document count once; a hot key's documents are dealt by (key, doc_id).
     pairs = found.groupBy("key", "doc_id").agg(F.lit(1).alias("one"))
     return (
@@ -190,6 +190,7 @@ def dedup_lines(
     and becomes empty; an empty table stays empty. Rows with a null doc_id take no part
     in counts and keep their lines. Rows that repeat a doc_id count as one document.
     Other columns pass through; columns named n_lines or n_dropped are replaced."""
+    small_batches(docs)
     docs = docs.drop("n_lines", "n_dropped")
     keys = materialize(confirmed_keys(docs, filter_bits, min_chars, min_docs), "line-keys")
     others = [c for c in docs.columns if c != "text"]
@@ -222,7 +223,7 @@ def dedup_lines(
             yield pa.RecordBatch.from_arrays(columns, [*others, "text", "n_lines", "n_dropped"])
 
     fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text"]
-    done = rows.mapInArrow(run, ", ".join([*fields, "text binary, n_lines long, n_dropped long"]))
+    done = rows.mapInArrow(lean("linededup", run), ", ".join([*fields, "text binary, n_lines long, n_dropped long"]))
     return done.select(*[F.col("text").cast("string").alias("text") if c == "text" else F.col(c) for c in docs.columns], "n_lines", "n_dropped")
 
 
@@ -239,7 +240,7 @@ def _with_own_keys(rows: DataFrame, docs: DataFrame, keys: DataFrame, min_chars:
             yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.int64())], ["key", "__doc"])
 
     text = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    pairs = text.where(F.col("doc_id").isNotNull()).mapInArrow(own, "key binary, __doc long")
+    pairs = text.where(F.col("doc_id").isNotNull()).mapInArrow(lean("linededup", own), "key binary, __doc long")
     lost = pairs.join(keys, "key").where(F.col("__doc") != F.col("keep"))
     per_doc = lost.groupBy("__doc").agg(F.collect_set("key").alias("__drop"))
     return rows.join(per_doc, F.col("doc_id").cast("long") == F.col("__doc"), "left").drop("__doc")

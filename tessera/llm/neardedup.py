@@ -6,7 +6,7 @@
 2. Documents with equal sets form a class at once; the smallest id stands for it.
 3. Candidates: class representatives that share a band hash. In every bucket each member
    meets three hubs; the similarity of a pair is estimated from equal low bits, corrected
-   for chance collisions; each document's two best partners are confirmed on full sets,
+   for chance collisions; each document's best partner in each of two classes is confirmed on full sets,
    and the confirmed links are contracted to components.
 4. What is left: pairs of one bucket in different components. Buckets are cut into
    blocks; pairs of blocks are compared by signature in NumPy, and only pairs whose
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import keyed_join, materialize, small_batches
+from tessera.llm.common import keyed_join, lean, materialize, small_batches
 from tessera.llm.components import components
 from tessera.llm.shingles import mix, shingle_set
 
@@ -109,7 +109,7 @@ def signatures(docs: DataFrame) -> DataFrame:
                     ["doc_id", "n_shingles", "set_key", "planes", "bands"],
                 )
 
-    return rows.mapInArrow(run, _SIGNED)
+    return rows.mapInArrow(lean("neardedup", run), _SIGNED)
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -122,7 +122,7 @@ def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
             sets = [shingle_set(t).tobytes() for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["doc", "shingles"])
 
-    return rows.mapInArrow(run, "doc long, shingles binary")
+    return rows.mapInArrow(lean("neardedup", run), "doc long, shingles binary")
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int = 75) -> DataFrame:
@@ -151,7 +151,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int = 75) -> DataFrame:
             if good:
                 yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in good], pa.int64()) for i in (0, 1)], ["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return dealt.mapInArrow(lean("neardedup", run), "a long, b long")
 
 
 def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
@@ -200,15 +200,11 @@ def _estimated(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     return pairs.join(x, "a").join(y, "b").select("a", "b", estimate(_differing("pa", "pb")).alias("s")).where(F.col("s") >= MIN_ESTIMATE)
 
 
-def _best(pairs: DataFrame, k: int) -> DataFrame:
-    """The k most similar partners of each document, as pairs."""
-    ends = pairs.select(F.col("a").alias("x"), F.struct(F.col("s"), F.col("b").alias("y")).alias("p")).union(pairs.select(F.col("b").alias("x"), F.struct(F.col("s"), F.col("a").alias("y")).alias("p")))
-    if k == 2:  # two passes of max keep the aggregation map-side and its buffers fixed
-        first = ends.groupBy("x").agg(F.max("p").alias("p"))
-        second = ends.join(first.select("x", F.col("p").alias("q")), "x").where("p <> q").groupBy("x").agg(F.max("p").alias("p"))
-        top = first.union(second)
-    else:
-        top = ends.groupBy("x").agg(F.max("p").alias("p"))
+def _best(pairs: DataFrame) -> DataFrame:
+    """For each document its most similar partner in each of two classes by hash, as
+    pairs: maxima, which are taken map-side however many partners a document has."""
+    ends = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "s").union(pairs.select("b", "a", "s"))
+    top = ends.groupBy("x", F.pmod(F.xxhash64("y"), F.lit(2)).alias("c")).agg(F.max(F.struct("s", "y")).alias("p"))
     return top.select(F.least("x", "p.y").alias("a"), F.greatest("x", "p.y").alias("b")).distinct()
 
 
@@ -236,7 +232,7 @@ def _cross_pairs(banded: DataFrame, buckets: DataFrame, labels: DataFrame, signe
                 if len(a):
                     yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return dealt.mapInArrow(lean("neardedup", run), "a long, b long").distinct()
 
 
 def _alike(part: pa.Table, band: int) -> tuple[np.ndarray, np.ndarray]:
@@ -296,7 +292,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         buckets = F.broadcast(buckets)
     banded = materialize(banded.join(buckets.select("band"), "band", "left_semi"), "banded")
     near = materialize(_estimated(_hub_pairs(banded, buckets), heads), "near")
-    tried = materialize(_best(near, 2), "tried")
+    tried = materialize(_best(near), "tried")
     sets = materialize(shingle_sets(docs, materialize(_ends(near), "ends")).dropDuplicates(["doc"]), "sets")
     links = materialize(confirm(tried, sets), "links")
     labels = materialize(components(links), "labels")

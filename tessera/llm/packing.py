@@ -22,6 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import lean, small_batches
 from tessera.llm.tokens import WordTokenizer
 
 END_ID = 2
@@ -152,6 +153,7 @@ def pack_texts(
     examples of their own; a null id stays null. An empty table gives no rows. Other
     columns are not read. Sequence ids are unique: the task's number in the high bits.
     sequence_length is the length with padding."""
+    small_batches(docs)
     loss = F.coalesce(F.col(loss_col), F.lit(False)) if loss_col else F.lit(True)
     rows = docs.select(
         F.col(id_col).cast("long").alias("k"),
@@ -175,4 +177,4 @@ def pack_texts(
         if packer.out:
             yield packer.rows()
 
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(lean("packing", run), SCHEMA)

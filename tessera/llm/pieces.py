@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import kept_store, lean, small_batches
+
 SPACE = "▁"
 SCHEMA = "doc_id long, n_pieces long, n_byte_pieces long, ids_crc32 long, score double, decoded_sha256 string"
 
@@ -171,6 +173,9 @@ class PieceModel:
         return text[1:] if text.startswith(b" ") else text
 
 
+kept_store(PieceModel.load.cache_clear)
+
+
 def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:
     """One row a document: number of pieces and of byte pieces among them, crc32 of the
     ids (little-endian uint32), the path's score, and the SHA-256 of the text decoded
@@ -178,6 +183,7 @@ def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:
 
     Null text is empty and has no pieces. Rows that share an id are encoded each; a null
     id stays null; an empty table gives no rows; other columns are not read."""
+    small_batches(docs)
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -199,4 +205,4 @@ def encode_texts(docs: DataFrame, model_path: str) -> DataFrame:
                     [x.split()[0] for x in SCHEMA.split(", ")],
                 )
 
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(lean("pieces", run), SCHEMA)

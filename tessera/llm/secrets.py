@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.common import lean, small_batches
+
 #: Most strings that a part of a regex is spelled out into.
 MOST = 128
 
@@ -273,6 +275,7 @@ def scan_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 
     Null and empty texts have no spans. Rows that share an id are reported each;
     a null id stays null. An empty table gives no rows; other columns are not read."""
+    small_batches(docs)
     names = [r.kind for r in rules]
     base = {r.kind for r in BASE_RULES}
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).cast("binary").alias("t"))
@@ -290,13 +293,14 @@ def scan_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
                 [x.split()[0] for x in SCHEMA.split(", ")],
             )
 
-    return rows.mapInArrow(run, SCHEMA)
+    return rows.mapInArrow(lean("secrets", run), SCHEMA)
 
 
 def redact_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """docs with each span (overlapping ones as one) of its text replaced by the mark.
 
     Null text stays null; all other columns pass through untouched."""
+    small_batches(docs)
     names = docs.columns
     at = names.index("text")
     rows = docs.select(*[F.coalesce(c, F.lit("")).cast("binary").alias(c) if c == "text" else F.col(c) for c in docs.columns], F.col("text").isNull().alias("__null"))
@@ -315,7 +319,7 @@ def redact_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, mark: str = "
             columns = [pa.array(out, pa.string()) if i == at else part.column(i) for i in range(len(names))]
             yield pa.RecordBatch.from_arrays(columns, names)
 
-    return rows.mapInArrow(run, docs.schema)
+    return rows.mapInArrow(lean("secrets", run), docs.schema)
 
 
 def merged(spans: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:

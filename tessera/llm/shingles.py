@@ -6,6 +6,8 @@ from functools import cache
 
 import numpy as np
 
+from tessera.llm.common import kept_store
+
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -29,6 +31,9 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return np.cumprod(up), np.cumprod(down)
 
 
+kept_store(_powers.cache_clear)
+
+
 def word_hashes(text: bytes) -> np.ndarray:
     """64-bit hashes of a lower-cased text's words, in order."""
     if not text:

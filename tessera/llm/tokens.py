@@ -8,6 +8,8 @@ from typing import TYPE_CHECKING
 
 import numpy as np
 
+from tessera.llm.common import kept_store
+
 if TYPE_CHECKING:
     from tokenizers import Tokenizer
 
@@ -23,7 +25,7 @@ class WordTokenizer:
     whose words move over as they are met again, and the old one before it goes. What
     the store holds never changes a result."""
 
-    def __init__(self, path: str, most: int = 600_000) -> None:
+    def __init__(self, path: str, most: int = 300_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -106,3 +108,6 @@ class WordTokenizer:
 
     def _one(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+kept_store(WordTokenizer.shared.cache_clear)

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import lean, materialize
 
 SCHEMA = "query_id long, vec_id long, score long"
 SEGMENTS = (4, 16)
@@ -58,10 +58,10 @@ class Searcher:
         self.exact = 0
 
     def feed(self, ids: np.ndarray, vectors: np.ndarray, rows: int = 2048) -> None:
-        edges = [0, *range(min(64, len(ids)), len(ids), rows), len(ids)]  # a few first, for bounds to hold against
-        for a, b in zip(edges, edges[1:], strict=False):
-            if a < b:
-                self._feed(ids[a:b], vectors[a:b].astype(float))
+        start, size = 0, 64
+        while start < len(ids):  # a few first, for bounds to hold against
+            self._feed(ids[start : start + size], vectors[start : start + size].astype(float))
+            start, size = start + size, min(rows, 2 * size)
 
     def _feed(self, ids: np.ndarray, v: np.ndarray) -> None:
         least = self.best[:, -1]
@@ -156,7 +156,7 @@ def top_k(candidates: DataFrame, queries: DataFrame, k: int = 5, block: int = 40
                 if (out := searcher.rows()).num_rows:
                     yield out
 
-        top = candidates.mapInArrow(run, SCHEMA)
+        top = candidates.mapInArrow(lean("topk", run), SCHEMA)
         ranked = top.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")))
         ranked = ranked.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
         if blocks > 1:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import lean, materialize, small_batches
 
 PRIOR_DOCS, SURE, MIN_DOCS, MOST_TOKENS = 50.0, 3.0, 3, 50_000
 MOST_LABELLED = 20_000
@@ -196,7 +196,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, folds:
     """The model of the labelled rows outside fold 0; without toxic or without other rows
     a table that scores every text alike."""
     rows = materialize(labelled(docs, labels, most, folds), "labelled")
-    counts = rows.select("t", "toxic").mapInArrow(_counts, "token string, d1 long, d0 long, t1 long, t0 long")
+    counts = rows.select("t", "toxic").mapInArrow(lean("toxicity", _counts), "token string, d1 long, d0 long, t1 long, t0 long")
     counts = counts.groupBy("token").agg(*[F.sum(c).alias(c) for c in ("d1", "d0", "t1", "t0")])
     counts = materialize(counts.where((F.col("d1") + F.col("d0") >= MIN_DOCS) | (F.col("token") == "")), "tokens")
     whole = counts.where("token = ''").collect()
@@ -221,7 +221,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, folds:
                 found.update((s, 1 if toxic else 0) for _, s in held.value.items(tokens(text)))
         yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.float64()), pa.array([k[1] for k in found], pa.int64()), pa.array(found.values(), pa.int64())], ["s", "toxic", "n"])
 
-    rates = rows.select("t", "toxic").mapInArrow(used, "s double, toxic long, n long").groupBy("s", "toxic").agg(F.sum("n").alias("n")).collect()
+    rates = rows.select("t", "toxic").mapInArrow(lean("toxicity", used), "s double, toxic long, n long").groupBy("s", "toxic").agg(F.sum("n").alias("n")).collect()
     toxic, clean = ({r.s: r.n for r in rates if r.toxic == k} for k in (1, 0))
     # A clean rate is at least what the prior leaves for a token never met in clean text.
     low = [(max(clean.get(s, 0), 0.05) / max(t0, 1), s) for s in sorted({*toxic, *clean})]
@@ -229,7 +229,7 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, folds:
     rest = math.log1p(-min(high, 0.9)) - math.log1p(-min(sum(r for r, s in low if s > 0), 0.9))
     model.rest = min(rest, -1e-3)
     model.scale = scale(low, model.rest)
-    scored = rows.select("__id", "t", F.col("toxic").cast("double")).mapInArrow(_evidence(rows, model), "label double, evidence double").toPandas()
+    scored = rows.select("__id", "t", F.col("toxic").cast("double")).mapInArrow(lean("toxicity", _evidence(rows, model)), "label double, evidence double").toPandas()
     model.intercept, model.slope = fit_curve(scored["evidence"].to_numpy(), scored["label"].to_numpy())
     return model
 
@@ -256,6 +256,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED
     an id are scored each; a null id is never held out; labels may lack or repeat ids (the
     largest label counts). Empty tables give no rows; documents' other columns are not
     read."""
+    small_batches(docs)
     model = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, most, folds))
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).cast("binary").alias("t"))
 
@@ -269,7 +270,7 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED
                 ["doc_id", "score", "n_segments", "toxic_tokens", "best_segment"],
             )
 
-    scored = rows.mapInArrow(run, SCHEMA)
+    scored = rows.mapInArrow(lean("toxicity", run), SCHEMA)
     return scored.select("doc_id", held_out(folds).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "n_segments", "toxic_tokens", "best_segment")
 
 

@@ -1,0 +1,74 @@
+from __future__ import annotations
+
+import hashlib
+import re
+
+import pytest
+
+from tessera.llm.secrets import RULES, Query, Rule, Segment, redact_secrets, scan_secrets, spans_of, trigram_query
+from tests.llm import data
+
+ASSIGN = re.compile(r"""((?ai:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def brute(text: str) -> list[str]:
+    found = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 6]
+    found += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 20]
+    found += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 24]
+    return [f"{k}:{a}:{b}" for a, _, b, k in sorted(found)]
+
+
+def test_base_spans(spark):
+    odd = ["Password: abc12", 'API_KEY="x.y/z+1="', "apikey=====", "ſecret=abcdefgh", "ßé token = ABCDEF☃", "AKIA" + "A" * 15, "AKIA" + "B" * 16, "f" * 23, "passwordpassword=secret=tokens1"]
+    docs = data.clashing(data.documents(spark, data.texts() + odd))
+    got = {r.doc_id: r for r in scan_secrets(docs).collect()}
+    base = {"assign", "access", "hex"}
+    for r in docs.select("doc_id", "text").collect():
+        want, mine = brute(r.text or ""), got[r.doc_id]
+        assert [s for s in mine.spans.split(",") if s.split(":")[0] in base] == want
+        assert mine.base_sha256 == hashlib.sha256(",".join(want).encode()).hexdigest()
+        assert (mine.n_assign, mine.n_access, mine.n_hex) == tuple(sum(s.startswith(k + ":") for s in want) for k in ("assign", "access", "hex"))
+    assert scan_secrets(docs.limit(0)).count() == 0
+
+
+def test_more_kinds():
+    text = f"x ghp_{'a1' * 20} y xoxb-{'1234567890' * 2} eyJ{'a' * 10}.eyJ{'b' * 10}.{'c' * 10} -----BEGIN RSA PRIVATE KEY-----"
+    segment = Segment(set().union(*[r.query.wanted() for r in RULES]))
+    kinds = {RULES[k].kind for _, k, _ in spans_of([text.encode()], RULES, segment)[0]}
+    assert {"github", "slack", "jwt", "pem"} <= kinds
+
+
+@pytest.mark.parametrize(
+    ("pattern", "matching"),
+    [("AKIA[A-Z0-9]+", ["xAKIA1"]), ("(foo|ba[rz])qux?", ["fooqu", "bazqux", "BARQUX".lower()]), ("ab?c+de{2,3}f", ["acdeef", "abccdeeef"]), ("x{3}y*", ["xxx"]), ("[0-9a-f]{24,}", ["0" * 24]), ("a(?:b|)c", ["ac", "abc"]), ("(?:ab)+c?", ["abab"])],
+)
+def test_queries_hold_for_every_match(pattern, matching):
+    query = trigram_query(pattern)
+    for text in matching:
+        assert re.search(pattern, text)
+        held = {t: any(t == text[i : i + 3].lower().encode() for i in range(len(text))) for t in query.wanted()}
+        import numpy as np
+
+        assert query.answer({t: np.array([v]) for t, v in held.items()}, 1)[0]
+
+
+def test_rules_without_trigrams_scan_fully():
+    kinds = {r.kind: r.query for r in RULES}
+    assert kinds["hex"] == Query()
+    assert not kinds["access"].any and kinds["access"].trigrams == {b"aki", b"kia"}
+    assert kinds["assign"].op == "or" and not kinds["github"].any
+
+
+def test_postings_stay_within_texts():
+    import numpy as np
+
+    segment = Segment({b"abc", b"tok"})
+    texts = [b"ab", b"c tok", b"ABC", b""]
+    held = segment.postings(np.frombuffer(b"".join(texts), np.uint8), np.concatenate([[0], np.cumsum([len(t) for t in texts])]))
+    assert held[b"abc"].tolist() == [False, False, True, False] and held[b"tok"].tolist() == [False, True, False, False]
+
+
+def test_redaction(spark):
+    docs = data.documents(spark, [None, "", "a token=abcdef b", "deadbeef" * 4 + "!"])
+    assert [r.text for r in redact_secrets(docs).orderBy("doc_id").collect()] == [None, "", "a [SECRET] b", "[SECRET]!"]
+    assert Rule("x", "b+").spans("abba") == [(1, 3)]
