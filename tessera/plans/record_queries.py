@@ -14,6 +14,7 @@ from tessera.operators import constraints as ct
 from tessera.operators import documents as dc
 from tessera.operators import evaluate as ev
 from tessera.operators import hierarchy as hi
+from tessera.operators import labels as lb
 from tessera.plans.registry import register
 from tessera.plans.retrieval_queries import table
 
@@ -387,3 +388,65 @@ def constraint_report(spark, sf_dir):
     d, o, c = (table(spark, sf_dir, t) for t in ("documents", "orders", "customer"))
     rows = ct.report([ct.in_domain(d, "lang", ("en", "de", "fr"), "doc_id"), ct.unique(o, "o_custkey"), ct.references(o, "o_custkey", c, "c_custkey")])
     return rows.select("constraint", "n")
+
+
+# ----------------------------------------------------------------- gold labels
+
+
+def gold_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers as jobs; the parts of their orders' lines as accepted labels."""
+    o, l = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    parts = o.join(l, F.col("o_orderkey") == F.col("l_orderkey")).groupBy(F.col("o_custkey").alias("job_id"))
+    first = F.array_sort(F.collect_set(F.when(F.col("l_linenumber") == 1, F.col("l_partkey"))))
+    return parts.agg(F.array_sort(F.collect_set("l_partkey")).alias("accepted"), first.alias("primary"))
+
+
+GOLD = """g AS (SELECT o_custkey AS job_id, list(DISTINCT l_partkey ORDER BY l_partkey) AS accepted,
+  coalesce(list(DISTINCT l_partkey ORDER BY l_partkey) FILTER (WHERE l_linenumber = 1), []) AS "primary" FROM orders JOIN lineitem ON o_orderkey = l_orderkey GROUP BY o_custkey)"""
+
+
+@register("gold_titles", "WITH " + GOLD + """
+SELECT job_id, string_agg(coalesce(p_name, '??MISSING??'), '; ' ORDER BY id) AS titles FROM (SELECT job_id, unnest(accepted) AS id FROM g)
+LEFT JOIN (SELECT * FROM part WHERE p_size > 10) ON p_partkey = id GROUP BY job_id""")
+def gold_titles(spark, sf_dir):
+    concepts = table(spark, sf_dir, "part").where("p_size > 10").select(F.col("p_partkey").alias("id"), F.col("p_name").alias("label"))
+    return lb.titles(gold_rows(spark, sf_dir), concepts)
+
+
+@register("adjudicated", "WITH " + GOLD + """,
+n AS (SELECT s_name AS label, s_suppkey AS id FROM supplier),
+a AS (SELECT g.job_id, CASE WHEN s.s_suppkey IS NULL THEN accepted ELSE [s.s_suppkey] END AS accepted, "primary" FROM g LEFT JOIN supplier s ON s.s_suppkey = g.job_id)
+SELECT job_id, CAST(len(accepted) AS BIGINT) AS n_accepted, CAST(len(list_filter("primary", lambda x: list_contains(accepted, x))) AS BIGINT) AS n_primary,
+  array_to_string(accepted[1:3], ',') AS head FROM a""")
+def adjudicated(spark, sf_dir):
+    names = table(spark, sf_dir, "supplier").select(F.col("s_name").alias("label"), F.col("s_suppkey").alias("id"))
+    overrides = table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("job_id"), F.array("s_name").alias("labels"))
+    rows = lb.adjudicate(gold_rows(spark, sf_dir), overrides, names)
+    head = F.array_join(F.slice("accepted", 1, 3).cast("array<string>"), ",")
+    return rows.select("job_id", F.size("accepted").cast("long").alias("n_accepted"), F.size("primary").cast("long").alias("n_primary"), head.alias("head"))
+
+
+@register("gold_totals", "WITH " + GOLD + """
+SELECT count(*) AS n, count(*) FILTER (WHERE len(accepted) = 0) AS empty, CAST(sum(len(accepted)) AS BIGINT) AS labels, (SELECT count(DISTINCT id) FROM (SELECT unnest(accepted) AS id FROM g)) AS ids FROM g""")
+def gold_totals(spark, sf_dir):
+    return lb.audit(gold_rows(spark, sf_dir))
+
+
+@register("gold_context", """SELECT d.doc_id AS id, b.item_id AS qid, d.source AS label, left(trim(b.text), 600) AS about FROM documents d JOIN benchmark b ON b.item_id = d.doc_id""")
+def gold_context(spark, sf_dir):
+    candidates = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("item_id").alias("qid"))
+    texts = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id"), F.col("text").alias("scope_note"))
+    concepts = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), F.col("source").alias("label")).join(texts, "id")
+    concepts = concepts.withColumns({"description": F.lit(" "), "definition": F.lit(None).cast("string")})
+    return lb.context(candidates, concepts).where("label IS NOT NULL").select("id", "qid", "label", "about")
+
+
+@register("show_matches", "SELECT p_partkey, p_name FROM part WHERE contains(lower(p_name), 'widget') ORDER BY p_partkey LIMIT 10")
+def show_matches(spark, sf_dir):
+    return lb.show(table(spark, sf_dir, "part").select("p_partkey", "p_name"), "p_name", "p_partkey", "Widget")
+
+
+@register("strip_instruction", "SELECT p_partkey, p_name AS query FROM part")
+def strip_instruction(spark, sf_dir):
+    asked = F.concat(F.lit("Find the concept\nQuery: "), "p_name")
+    return table(spark, sf_dir, "part").select("p_partkey", lb.without_instruction(asked).alias("query"))
