@@ -74,7 +74,8 @@ def keyed_join(
     on = [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, names, strict=True)]
     if n <= most:
         return rows.join(F.broadcast(right), on, "left").drop(*names)
-    left = rows.withColumn("__salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
+    hashed = [c for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
+    left = rows.withColumn("__salt", F.pmod(F.xxhash64(*hashed) if hashed else F.lit(0), F.lit(salts)).cast("int"))
     right = right.withColumn("__salt_r", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
     on.append(F.col("__salt") == F.col("__salt_r"))
     return left.join(right, on, "left").drop(*names, "__salt", "__salt_r")
