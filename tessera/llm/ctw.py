@@ -26,23 +26,27 @@ from pyspark.sql import functions as F
 from tessera.llm.common import lean, materialize, small_batches
 from tessera.llm.shingles import word_hashes
 
-DEPTH = 3
+DEPTH = 4
 #: Bytes that UTF-8 never holds: the end (and what stands before the start), and the
 #: marker of pooled contexts.
 END, POOL = 0xFF, 0xFE
-MOST_CELLS, MOST_WORDS = 4_000_000, 8_000_000
+MOST_CELLS, MOST_WORDS = 2_000_000, 8_000_000
 #: Stands for the end of a text among hashed words.
 END_WORD = np.uint64(0xE0D0E0D0E0D0E0D1)
 
 
 def cells(text: bytes) -> np.ndarray:
-    """For each byte of a lower-cased text and its end: the last three bytes, the nearest
+    """For each byte of a lower-cased text and its end: the last DEPTH bytes, the nearest
     highest, and the byte."""
-    b = np.empty(len(text) + DEPTH + 1, np.uint32)
+    b = np.empty(len(text) + DEPTH + 1, np.uint64)
     b[:DEPTH] = END
     b[DEPTH:-1] = np.frombuffer(text, np.uint8)
     b[-1] = END
-    return (b[2:-1] << 24) | (b[1:-2] << 16) | (b[:-3] << 8) | b[3:]
+    key = b[DEPTH:].copy()
+    n = len(key)
+    for d in range(1, DEPTH + 1):
+        key |= b[DEPTH - d : DEPTH - d + n] << np.uint64(8 * (DEPTH + 1 - d))
+    return key
 
 
 def words_of(text: bytes) -> np.ndarray:
@@ -69,132 +73,132 @@ def log_kt(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return half(a) + half(b) - whole - np.log(np.pi)
 
 
+def pooled(keys: np.ndarray) -> np.ndarray:
+    """Cells with the farthest byte of their contexts replaced by the marker."""
+    return (keys & ~np.uint64(0xFF00)) | np.uint64(POOL << 8)
+
+
 class Tree:
-    """The weighted tree of sorted cells and their counts."""
+    """The weighted tree of cells and their counts."""
 
-    def __init__(self, keys: np.ndarray, counts: np.ndarray, probabilities: bool = True) -> None:
+    def __init__(self, keys: np.ndarray, counts: np.ndarray) -> None:
         order = np.argsort(keys, kind="stable")
-        self.keys = keys[order].astype(np.uint32)
-        self.upto = np.concatenate([[0], np.cumsum(counts[order].astype(np.int64))])
-        self.contexts = np.unique(self.keys >> np.uint32(8))
-        self._tables: dict[tuple[int, int], tuple[np.ndarray, np.ndarray, np.ndarray]] = {}
-        self.stop = self._weights()
-        self.log10 = np.zeros(0, np.float32)
-        if probabilities:
-            self.log10 = np.concatenate([self._log10(self.keys[i : i + 200_000]) for i in range(0, len(self.keys), 200_000)] or [self.log10]).astype(np.float32)
-        self._fill_slots()
+        self.keys = keys[order].astype(np.uint64)
+        #: levels[depth]: (context << 8 | byte) in order, and how many uses come before.
+        self.levels = [self._level(depth, counts[order].astype(np.int64)) for depth in range(DEPTH + 1)]
+        self.stop = [self._weights(k) for k in range(8)]
+        parts = [self._log10(self.keys[i : i + 200_000]) for i in range(0, len(self.keys), 200_000)]
+        self.log10 = np.concatenate([np.zeros(0), *parts]).astype(np.float32)
+        self._slots: tuple[int, np.ndarray, np.ndarray] | None = None
 
     @staticmethod
-    def _bits_below(depth: int) -> int:
-        return 32 - 8 * depth
-
-    def _nodes(self, depth: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(context << 8 | bits of the byte so far) of all nodes at a depth that code bit
-        k, with their zeros and ones, by context."""
-        n = np.diff(self.upto)
-        context = (self.keys.astype(np.uint64) >> np.uint64(self._bits_below(depth))) if depth else np.zeros(len(self.keys), np.uint64)
-        byte = self.keys & np.uint32(255)
-        node = (context << np.uint64(8)) | (byte >> np.uint32(8 - k)).astype(np.uint64)
-        one = (byte >> np.uint32(7 - k)) & np.uint32(1)
-        ids, at = np.unique(node, return_inverse=True)
-        ones = np.bincount(at, n * one, len(ids)).astype(np.int64)
-        total = np.bincount(at, n, len(ids)).astype(np.int64)
-        return ids, total - ones, ones
-
-    def _weights(self) -> list[list[tuple[np.ndarray, np.ndarray]]]:
-        """stop[k][depth]: nodes and the weight of their own estimate against the deeper."""
-        out = []
-        for k in range(8):
-            level: list[tuple[np.ndarray, np.ndarray]] = []
-            below: tuple[np.ndarray, np.ndarray] | None = None
-            for depth in range(DEPTH, -1, -1):
-                ids, zeros, ones = self._nodes(depth, k)
-                own = log_kt(zeros, ones)
-                if below is None:
-                    mixed = own
-                else:
-                    # A child's context without its oldest byte is its parent's.
-                    parent = ((below[0] >> np.uint64(16)) << np.uint64(8)) | (below[0] & np.uint64(255)) if depth else below[0] & np.uint64(255)
-                    children = np.bincount(np.searchsorted(ids, parent), below[1], len(ids))
-                    level.append((ids, 1.0 / (1.0 + np.exp(np.clip(children - own, -700, 700)))))
-                    mixed = np.logaddexp(own, children) - np.log(2.0)
-                below = ids, mixed
-            out.append(level[::-1])
-        return out
+    def _at_depth(keys: np.ndarray, depth: int) -> np.ndarray:
+        """context << 8 | byte, of the nearest `depth` bytes alone."""
+        if depth == DEPTH:
+            return keys
+        near = keys >> np.uint64(8 * (DEPTH + 1 - depth)) if depth else np.zeros(len(keys), np.uint64)
+        return (near << np.uint64(8)) | (keys & np.uint64(255))
+
+    def _level(self, depth: int, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        some, at = np.unique(self._at_depth(self.keys, depth), return_inverse=True)
+        return some, np.concatenate([[0], np.cumsum(np.bincount(at, n, len(some)).astype(np.int64))])
+
+    def _counts(self, depth: int, cell: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """Zeros and ones of bit k in the contexts and after the bits of some cells."""
+        keys, upto = self.levels[depth]
+        low = (cell >> np.uint64(8 - k)) << np.uint64(8 - k)
+        middle, high = low + np.uint64(1 << (7 - k)), low + np.uint64(1 << (8 - k))
+        a, b, c = (upto[np.searchsorted(keys, x)] for x in (low, middle, high))
+        return b - a, c - b
+
+    def _weights(self, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each depth but the last, the nodes that code bit k (as the first cell that
+        they could hold) and the weight of their own estimate against the deeper ones."""
+        out: list[tuple[np.ndarray, np.ndarray]] = []
+        below: tuple[np.ndarray, np.ndarray] | None = None
+        for depth in range(DEPTH, -1, -1):
+            nodes = np.unique((self.levels[depth][0] >> np.uint64(8 - k)) << np.uint64(8 - k))
+            own = mixed = log_kt(*self._counts(depth, nodes, k))
+            if below is not None:
+                # A child's context without its farthest byte is its parent's.
+                parent = ((below[0] >> np.uint64(16)) << np.uint64(8)) | (below[0] & np.uint64(255))
+                children = np.bincount(np.searchsorted(nodes, parent), below[1], len(nodes))
+                out.append((nodes, 1.0 / (1.0 + np.exp(np.clip(children - own, -700, 700)))))
+                mixed = np.logaddexp(own, children) - np.log(2.0)
+            below = nodes, mixed
+        return out[::-1]
 
     def _log10(self, keys: np.ndarray) -> np.ndarray:
         """log10 probabilities of cells, met or not, from counts and weights."""
-        byte = (keys & np.uint32(255)).astype(np.uint64)
         total = np.zeros(len(keys))
+        levels = [self._at_depth(keys, d) for d in range(DEPTH + 1)]
         for k in range(8):
-            so_far = byte >> np.uint64(8 - k)
-            bit = (byte >> np.uint64(7 - k)) & np.uint64(1)
+            one = (keys >> np.uint64(7 - k)) & np.uint64(1) == 1
             p = np.full(len(keys), 0.5)
             for depth in range(DEPTH, -1, -1):
-                context = keys.astype(np.uint64) >> np.uint64(self._bits_below(depth)) if depth else np.zeros(len(keys), np.uint64)
-                zeros, ones = self._counts(depth, context, so_far, k)
-                own = (np.where(bit == 1, ones, zeros) + 0.5) / (zeros + ones + 1.0)
+                zeros, ones = self._counts(depth, levels[depth], k)
+                own = (np.where(one, ones, zeros) + 0.5) / (zeros + ones + 1.0)
                 if depth == DEPTH:
                     p = own
                     continue
-                ids, stop = self.stop[k][depth]
-                node = (context << np.uint64(8)) | so_far
-                at = np.minimum(np.searchsorted(ids, node), max(len(ids) - 1, 0))
-                known = ids[at] == node if len(ids) else np.zeros(len(keys), bool)
-                w = np.where(known, stop[at] if len(ids) else 0.5, 0.5)
+                nodes, stop = self.stop[k][depth]
+                node = (levels[depth] >> np.uint64(8 - k)) << np.uint64(8 - k)
+                w = np.full(len(keys), 0.5)
+                if len(nodes):
+                    at = np.minimum(np.searchsorted(nodes, node), len(nodes) - 1)
+                    w = np.where(nodes[at] == node, stop[at], 0.5)
                 p = w * own + (1 - w) * p
             total += np.log10(p)
         return total
 
-    def _counts(self, depth: int, context: np.ndarray, so_far: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Zeros and ones of bit k after the bits so far in a context."""
-        if (depth, k) not in self._tables:
-            self._tables[depth, k] = self._nodes(depth, k)
-        ids, zeros, ones = self._tables[depth, k]
-        if not len(ids):
-            none = np.zeros(len(context), np.int64)
-            return none, none
-        node = (context << np.uint64(8)) | so_far
-        at = np.minimum(np.searchsorted(ids, node), len(ids) - 1)
-        known = ids[at] == node
-        return np.where(known, zeros[at], 0), np.where(known, ones[at], 0)
-
     # ------------------------------------------------------------- look-up
 
-    def _fill_slots(self) -> None:
-        """An open-addressing table of cells, at most a quarter full."""
-        self.bits = max(4, int(4 * len(self.keys)).bit_length())
-        self.slot_key = np.zeros(1 << self.bits, np.uint32)
-        self.slot_at = np.full(1 << self.bits, -1, np.int32)
-        left = np.arange(len(self.keys), dtype=np.int32)
-        at = self._slot(self.keys)
-        while len(left):
-            free = self.slot_at[at] < 0
-            self.slot_at[at[free]] = left[free]  # of several for one slot the last stays
-            done = self.slot_at[at] == left
-            left, at = left[~done], (at[~done] + 1) & ((1 << self.bits) - 1)
-        full = self.slot_at >= 0
-        self.slot_key[full] = self.keys[self.slot_at[full]]
-        self.slot_log = np.where(full, self.log10[self.slot_at] if len(self.log10) else 0, np.nan).astype(np.float32)
-
-    def _slot(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint32(2654435769)) >> np.uint32(32 - self.bits)).astype(np.int64)
+    def __getstate__(self) -> dict:
+        return self.__dict__ | {"_slots": None}  # each worker fills its own
+
+    @property
+    def slots(self) -> tuple[int, np.ndarray, np.ndarray]:
+        """An open-addressing table of cells, at most half full: bits, keys, log10 (NaN
+        where a slot is free)."""
+        if self._slots is None:
+            bits = max(4, int(2 * len(self.keys)).bit_length())
+            place = np.full(1 << bits, -1, np.int32)
+            left = np.arange(len(self.keys), dtype=np.int32)
+            at = self._slot(self.keys, bits)
+            while len(left):
+                free = place[at] < 0
+                place[at[free]] = left[free]  # of several for one slot the last stays
+                lost = place[at] != left
+                left, at = left[lost], (at[lost] + 1) & ((1 << bits) - 1)
+            full = place >= 0
+            keys = np.zeros(1 << bits, np.uint64)
+            keys[full] = self.keys[place[full]]
+            value = np.full(1 << bits, np.nan, np.float32)
+            value[full] = self.log10[place[full]]
+            self._slots = bits, keys, value
+        return self._slots
+
+    @staticmethod
+    def _slot(keys: np.ndarray, bits: int) -> np.ndarray:
+        return ((keys * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - bits)).astype(np.int64)
 
     def log10_of(self, keys: np.ndarray) -> np.ndarray:
         """log10 probability of each cell's byte in its context."""
-        at = self._slot(keys)
-        out = self.slot_log[at]
-        wrong = np.flatnonzero((self.slot_key[at] != keys) | np.isnan(out))
-        missing = [wrong[np.isnan(out[wrong])]]
-        wrong = wrong[~np.isnan(out[wrong])]
+        bits, held, value = self.slots
+        at = self._slot(keys, bits)
+        out = value[at]
+        wrong = np.flatnonzero(held[at] != keys)
+        free = np.isnan(out[wrong])
+        missing = [np.flatnonzero(np.isnan(out))]
+        wrong = wrong[~free]
         at = at[wrong]
         while len(wrong):
-            at = (at + 1) & ((1 << self.bits) - 1)
-            value = self.slot_log[at]
-            out[wrong] = value
-            gone = np.isnan(value)
+            at = (at + 1) & ((1 << bits) - 1)
+            found = value[at]
+            out[wrong] = found
+            gone = np.isnan(found)
             missing.append(wrong[gone])
-            more = ~gone & (self.slot_key[at] != keys[wrong])
+            more = ~gone & (held[at] != keys[wrong])
             wrong, at = wrong[more], at[more]
         left = np.concatenate(missing)
         if len(left):
@@ -202,12 +206,12 @@ class Tree:
         return out
 
     def _unmet(self, keys: np.ndarray) -> np.ndarray:
+        """Cells that were never met; contexts never met are those of the pool."""
         some, where = np.unique(keys, return_inverse=True)
-        context = some >> np.uint32(8)
-        at = np.minimum(np.searchsorted(self.contexts, context), max(len(self.contexts) - 1, 0))
-        met = self.contexts[at] == context if len(self.contexts) else np.zeros(len(some), bool)
-        pooled = (some & np.uint32(0xFFFF00FF)) | np.uint32(POOL << 8)
-        return self._log10(np.where(met, some, pooled)).astype(np.float32)[where]
+        first = (some >> np.uint64(8)) << np.uint64(8)
+        a = np.searchsorted(self.keys, first)
+        b = np.searchsorted(self.keys, first + np.uint64(256))
+        return self._log10(np.where(b > a, some, pooled(some))).astype(np.float32)[where]
 
 
 # ---------------------------------------------------------------------- training
@@ -267,8 +271,8 @@ def tree_cells(counts: DataFrame, most_cells: int) -> pa.Table:
                 break
             room -= row.cells
         kept = sizes.where(F.col("step") >= least).select(F.col("c").alias("kept"))
-        pooled = F.col("key").bitwiseAND(F.lit(0xFFFF00FF)).bitwiseOR(F.lit(POOL << 8))
-        own = own.join(kept, context == F.col("kept"), "left").select(F.when(F.col("kept").isNotNull(), F.col("key")).otherwise(pooled).alias("key"), "n")
+        shared = F.col("key").bitwiseAND(F.lit(~0xFF00)).bitwiseOR(F.lit(POOL << 8))
+        own = own.join(kept, context == F.col("kept"), "left").select(F.when(F.col("kept").isNotNull(), F.col("key")).otherwise(shared).alias("key"), "n")
         own = own.groupBy("key").agg(F.sum("n").alias("n"))
     return own.toArrow()
 
@@ -290,7 +294,7 @@ def score_texts(docs: DataFrame, *, folds: int = 10, most_cells: int = MOST_CELL
     whole = words.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"), F.count(F.lit(1)).alias("v")).first()
     size = whole.n + 0.1 * (whole.v + 1)
     grams = tree_cells(counts, most_cells)
-    tree = spark.sparkContext.broadcast(Tree(grams["key"].to_numpy().astype(np.uint32), grams["n"].to_numpy()))
+    tree = spark.sparkContext.broadcast(Tree(grams["key"].to_numpy().astype(np.uint64), grams["n"].to_numpy()))
     few = whole.v <= most_words
     if few:
         table = words.toArrow()

@@ -11,16 +11,18 @@ import pytest
 from tessera.llm import ctw
 from tests.llm import data
 
+D = ctw.DEPTH
+
 
 def brute_tree(texts):
     """Context-tree weighting by its recursion, in plain Python; returns bit predictor."""
     nodes = {}
     for t in texts:
-        b = bytes([255] * 3) + t + b"\xff"
-        for i in range(3, len(b)):
+        b = bytes([255] * D) + t + b"\xff"
+        for i in range(D, len(b)):
             for k in range(8):
                 bit, so_far = (b[i] >> (7 - k)) & 1, (k, b[i] >> (8 - k))
-                for d in range(4):
+                for d in range(D + 1):
                     nodes.setdefault((b[i - d : i][::-1], so_far), [0, 0])[bit] += 1
 
     def log_kt(a, b):
@@ -29,7 +31,7 @@ def brute_tree(texts):
     weighted, stop = {}, {}
     for (context, so_far), (a, b) in sorted(nodes.items(), key=lambda x: -len(x[0][0])):
         own = log_kt(a, b)
-        if len(context) == 3:
+        if len(context) == D:
             weighted[context, so_far] = own
         else:
             below = sum(weighted.get((context + bytes([c]), so_far), 0.0) for c in range(256))
@@ -41,17 +43,17 @@ def brute_tree(texts):
         for k in range(8):
             bit, so_far = (byte >> (7 - k)) & 1, (k, byte >> (8 - k))
             p = None
-            for d in (3, 2, 1, 0):
+            for d in range(D, -1, -1):
                 a, b = nodes.get((context[:d], so_far), (0, 0))
                 own = ((b if bit else a) + 0.5) / (a + b + 1)
-                w = 0.5 if d < 3 and (context[:d], so_far) not in stop else stop.get((context[:d], so_far))
-                p = own if d == 3 else w * own + (1 - w) * p
+                w = 0.5 if d < D and (context[:d], so_far) not in stop else stop.get((context[:d], so_far))
+                p = own if d == D else w * own + (1 - w) * p
             total += math.log10(p)
         return total
 
     def score(t):
-        b = bytes([255] * 3) + t + b"\xff"
-        return sum(log10(b[i - 3 : i][::-1], b[i]) for i in range(3, len(b)))
+        b = bytes([255] * D) + t + b"\xff"
+        return sum(log10(b[i - D : i][::-1], b[i]) for i in range(D, len(b)))
 
     return score
 
@@ -61,7 +63,7 @@ def low(text):
 
 
 def test_scores_equal_brute_force(spark):
-    docs = data.clashing(data.documents(spark, data.texts(20)))
+    docs = data.clashing(data.documents(spark, data.texts(14)))
     docs = docs.union(docs.limit(2))
     rows = ctw.score_texts(docs).collect()
     texts = [(r.doc_id, r.text) for r in docs.collect()]
@@ -97,8 +99,8 @@ def test_probabilities_sum_to_one(spark):
     texts = [low(t) for t in data.texts() if t]
     keys, n = np.unique(np.concatenate([ctw.cells(t) for t in texts]), return_counts=True)
     tree = ctw.Tree(keys, n)
-    for context in (int(keys[0]) >> 8, int(keys[len(keys) // 2]) >> 8, 0x010203, 0x616101):
-        q = (np.uint32(context) << np.uint32(8)) | np.arange(256, dtype=np.uint32)
+    for context in (int(keys[0]) >> 8, int(keys[len(keys) // 2]) >> 8, 0x01020304, 0x61616101):
+        q = (np.uint64(context) << np.uint64(8)) | np.arange(256, dtype=np.uint64)
         assert abs((10.0 ** tree.log10_of(q).astype(float)).sum() - 1) < 1e-4
 
 
