@@ -32,14 +32,18 @@ def with_texts(spark: SparkSession, sf_dir: str, candidates: DataFrame) -> DataF
     return candidates.join(rt.sized(candidates.select("id").distinct()).join(d, "id"), "id").join(rt.sized(q), "qid")
 
 
-def gold(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(qid, id): fused candidates whose text holds the query's whole text."""
-    pairs = with_texts(spark, sf_dir, fused(spark, sf_dir).select("qid", "id"))
+def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fused candidates, kept: a hundred rows a query that several steps read."""
+    return fused(spark, sf_dir).persist()
+
+
+def gold(spark: SparkSession, sf_dir: str, candidates: DataFrame) -> DataFrame:
+    """(qid, id): candidates whose text holds the query's whole text."""
+    pairs = with_texts(spark, sf_dir, candidates.select("qid", "id"))
     return pairs.where(F.contains("document", "query")).select("qid", "id")
 
 
-def reranked(spark: SparkSession, sf_dir: str, top: int = 20) -> DataFrame:
-    candidates = fused(spark, sf_dir)
+def reranked(spark: SparkSession, sf_dir: str, candidates: DataFrame, top: int = 20) -> DataFrame:
     pairs = with_texts(spark, sf_dir, candidates.where(F.col("rank") <= top).select("qid", "id"))
     return ev.attach_rerank(candidates, ev.rerank_scores(pairs))
 
@@ -171,7 +175,7 @@ def rrf_weight_sweep(spark, sf_dir):
 
 @register("rerank_attach", WITH + RERANKED + " SELECT qid, id, rank, fused, rerank_score, rerank_rank FROM r")
 def rerank_attach(spark, sf_dir):
-    return reranked(spark, sf_dir).select("qid", "id", "rank", "fused", "rerank_score", "rerank_rank")
+    return reranked(spark, sf_dir, pool(spark, sf_dir)).select("qid", "id", "rank", "fused", "rerank_score", "rerank_rank")
 
 
 @register("rerank_stats", WITH + RERANKED + """
@@ -179,7 +183,7 @@ SELECT count(rerank_score) AS pairs, round(min(rerank_score), 6) AS min_score, r
   round(avg(rerank_score), 6) AS mean_score FROM r""")
 def rerank_stats(spark, sf_dir):
     s = F.col("rerank_score")
-    return reranked(spark, sf_dir).agg(F.count(s).alias("pairs"), F.round(F.min(s), 6).alias("min_score"), F.round(F.max(s), 6).alias("max_score"), F.round(F.avg(s), 6).alias("mean_score"))
+    return reranked(spark, sf_dir, pool(spark, sf_dir)).agg(F.count(s).alias("pairs"), F.round(F.min(s), 6).alias("min_score"), F.round(F.max(s), 6).alias("max_score"), F.round(F.avg(s), 6).alias("mean_score"))
 
 
 @register("score_blend", WITH + RERANKED + """,
@@ -190,7 +194,7 @@ z AS (SELECT weight, qid, id, rank, round(weight * CASE WHEN rh > rl THEN (rr -
   FROM y, (SELECT unnest([CAST(0.5 AS DOUBLE), 0.7, 0.9, 1.0]) AS weight))
 SELECT weight, qid, id, score, row_number() OVER (PARTITION BY weight, qid ORDER BY score DESC, rank) AS blend_rank FROM z""")
 def score_blend(spark, sf_dir):
-    return ev.blend(reranked(spark, sf_dir), (0.5, 0.7, 0.9, 1.0))
+    return ev.blend(reranked(spark, sf_dir, pool(spark, sf_dir)), (0.5, 0.7, 0.9, 1.0))
 
 
 @register("threshold_decision", WITH + RERANKED + """,
@@ -201,13 +205,13 @@ SELECT item_id AS qid, CASE WHEN n > 0 THEN 'mapped' ELSE 'unmapped' END AS stat
   ELSE 'max rerank score ' || printf('%.4f', max_score) || ' < 0.895' END AS abstain_reason
 FROM benchmark LEFT JOIN b ON qid = item_id""")
 def threshold_decision(spark, sf_dir):
-    return ev.decide(reranked(spark, sf_dir), items(spark, sf_dir))
+    return ev.decide(reranked(spark, sf_dir, pool(spark, sf_dir)), items(spark, sf_dir))
 
 
 @register("topk_evidence", WITH + RERANKED + """
 SELECT qid, id, rank AS retrieval_rank, rerank_rank, rerank_score, rerank_score >= 0.895 AS selected FROM r WHERE rerank_rank <= 10""")
 def topk_evidence(spark, sf_dir):
-    return ev.evidence(reranked(spark, sf_dir))
+    return ev.evidence(reranked(spark, sf_dir, pool(spark, sf_dir)))
 
 
 _RULES = [(f"rank<={k}", f"rerank_rank <= {k}") for k in (1, 2, 3, 5, 10)]
@@ -227,8 +231,9 @@ SELECT policy, tp, n - tp AS fp, ng - tp AS fn, round(CASE WHEN n > 0 THEN CAST(
   round(CASE WHEN tp > 0 THEN 2 * (CAST(tp AS DOUBLE) / n) * (CAST(tp AS DOUBLE) / ng) / (CAST(tp AS DOUBLE) / n + CAST(tp AS DOUBLE) / ng) ELSE 0 END, 6) AS f1,
   round(CAST(covered AS DOUBLE) / nq, 6) AS coverage FROM a""")
 def policy_sweep(spark, sf_dir):
-    rows = reranked(spark, sf_dir)
-    return ev.policy_metrics(ev.policies(rows), gold(spark, sf_dir), items(spark, sf_dir))
+    candidates = pool(spark, sf_dir)
+    rows = reranked(spark, sf_dir, candidates)
+    return ev.policy_metrics(ev.policies(rows), gold(spark, sf_dir, candidates), items(spark, sf_dir))
 
 
 _METRICS = ", ".join(
@@ -243,14 +248,16 @@ k AS (SELECT item_id AS qid, CASE WHEN length(text) < 200 THEN 'short' ELSE 'lon
 
 @register("rank_metrics", WITH + FIRST + f" SELECT count(*) AS n, {_METRICS} FROM k")
 def rank_metrics(spark, sf_dir):
-    return ev.first_hits(fused(spark, sf_dir), gold(spark, sf_dir), items(spark, sf_dir)).agg(*ev.metric_columns())
+    candidates = pool(spark, sf_dir)
+    return ev.first_hits(candidates, gold(spark, sf_dir, candidates), items(spark, sf_dir)).agg(*ev.metric_columns())
 
 
 @register("metric_slices", WITH + FIRST + f"""
 SELECT coalesce(bucket, 'all') AS slice, count(*) AS n, {_METRICS} FROM k GROUP BY GROUPING SETS ((), (bucket))
 UNION ALL SELECT 'answerable', count(*), {_METRICS} FROM k WHERE first IS NOT NULL""")
 def metric_slices(spark, sf_dir):
-    first = ev.first_hits(fused(spark, sf_dir), gold(spark, sf_dir), items(spark, sf_dir))
+    candidates = pool(spark, sf_dir)
+    first = ev.first_hits(candidates, gold(spark, sf_dir, candidates), items(spark, sf_dir)).persist()
     sliced = first.rollup("bucket").agg(*ev.metric_columns()).withColumnRenamed("bucket", "slice")
     sliced = sliced.withColumn("slice", F.coalesce("slice", F.lit("all")))
     answerable = first.where("first IS NOT NULL").agg(*ev.metric_columns()).withColumn("slice", F.lit("answerable"))
@@ -270,7 +277,7 @@ def coverage_channels(spark, sf_dir):
 SELECT qid, id FROM f WHERE lexical_rank IS NULL
 UNION ALL SELECT item_id, NULL FROM benchmark WHERE item_id NOT IN (SELECT qid FROM f)""")
 def lexical_miss(spark, sf_dir):
-    f = fused(spark, sf_dir)
+    f = pool(spark, sf_dir)
     none = items(spark, sf_dir).join(f.select("qid").distinct(), "qid", "left_anti").select("qid", F.lit(None).cast("long").alias("id"))
     return f.where("lexical_rank IS NULL").select("qid", "id").unionByName(none)
 
@@ -290,7 +297,7 @@ b AS (SELECT qid, max(rerank_score) AS s FROM r GROUP BY qid)
 SELECT source, count(*) AS n FROM r JOIN b USING (qid) JOIN documents d ON d.doc_id = r.id
 WHERE rerank_rank = 1 AND s < 0.895 GROUP BY source ORDER BY n DESC, source LIMIT 10""")
 def near_miss(spark, sf_dir):
-    rows = reranked(spark, sf_dir)
+    rows = reranked(spark, sf_dir, pool(spark, sf_dir)).persist()
     unmapped = ev.decide(rows, items(spark, sf_dir)).where("status = 'unmapped'").select("qid")
     first = rows.where("rerank_rank = 1").join(unmapped, "qid", "left_semi").select("id")
     named = first.join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "source"), "id")
