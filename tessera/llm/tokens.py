@@ -25,7 +25,7 @@ class WordTokenizer:
     whose words move over as they are met again, and the old one before it goes. What
     the store holds never changes a result."""
 
-    def __init__(self, path: str, most: int = 300_000) -> None:
+    def __init__(self, path: str, most: int = 450_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
@@ -52,13 +52,21 @@ class WordTokenizer:
         """For each UTF-8 text its ids, as little-endian uint32 bytes."""
         if len(self.known) > self.most:
             self.old, self.known = self.known, {}
-        out = []
+        known = self.known
+        out, gaps, new = [], [], set()
         for text in texts:
             words = (text if b"\xcc" in text or b"\xcd" in text else text.lower()).split()
-            out.append((words, list(map(self.known.get, words))))
-        self._learn({w for words, found in out if None in found for w, x in zip(words, found, strict=True) if x is None})
-        get = self.known.__getitem__
-        return [b"".join(map(get, words) if None in found else found) for words, found in out]
+            found = list(map(known.get, words))
+            out.append(found)
+            if None in found:
+                own = [(i, words[i]) for i, x in enumerate(found) if x is None]
+                gaps.append((found, own))
+                new.update(w for _, w in own)
+        self._learn(new)
+        for found, own in gaps:
+            for i, w in own:
+                found[i] = known[w]
+        return list(map(b"".join, out))
 
     def _learn(self, new: set[bytes]) -> None:
         known, old = self.known, self.old
