@@ -54,7 +54,7 @@ def query_terms(queries: DataFrame, id_col: str, text_col: str = "text") -> Data
 def lexical_matches(queries: DataFrame, qid: str, points: DataFrame, pid: str) -> DataFrame:
     """qid, id, bm25, shared (common terms), qn, dt for each pair with a common term."""
     wanted = query_terms(queries, qid)
-    counts = term_counts(points, pid, only=wanted)
+    counts = term_counts(points, pid, only=wanted).persist()  # read for df, sizes and pairs
     n = points.count()
     df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
     weighted = wanted.join(sized(df), "term").select("qid", "qn", "term", idf(F.lit(n), F.col("df")).alias("idf"))
