@@ -2,15 +2,18 @@
 
 1. One pass over the texts makes each document's set of hashed 5-word shingles, and from
    it MinHash minima. BANDS bands of ROWS minima make the band hashes; of all HASHES
-   minima only the BITS low bits are kept, packed into bit planes.
+   minima only BITS bits are kept, of a mix with the minimum's number so that chance
+   collisions are independent, packed into bit planes. Sets of at most SMALL shingles
+   are kept whole beside them.
 2. Documents with equal sets form a class at once; the smallest id stands for it.
 3. Candidates: class representatives that share a band hash. In every bucket each member
    meets three hubs; the similarity of a pair is estimated from equal low bits, corrected
-   for chance collisions; each document's best partner in each of two classes is confirmed on full sets,
-   and the confirmed links are contracted to components.
+   for chance collisions, or exact where both sets are small; each document's best partner
+   in each of two classes is confirmed on full sets, and the confirmed links are
+   contracted to components.
 4. What is left: pairs of one bucket in different components. Buckets are cut into
-   blocks; pairs of blocks are compared by signature in NumPy, and only pairs whose
-   estimate could belong to a link are confirmed on full sets. So no pair that shares a
+   blocks; pairs of blocks are compared by signature in NumPy (small sets: exactly), and
+   only pairs that could be a link are confirmed on full sets. So no pair that shares a
    band is lost, while pairs inside a component are never written out.
 
 A link at the threshold shares no band with probability (1 - 0.75**5)**44 < 1e-5, and
@@ -34,12 +37,15 @@ ROWS, BANDS = 5, 44
 HASHES, BITS = 1024, 2
 MIN_ESTIMATE = 0.685
 BLOCK = 512
+#: Sets of so many shingles are compared exactly: as large as their bit planes.
+SMALL = 32
 #: Rows of 24 bytes or so that are broadcast at most.
 MOST = 500_000
 _LONGS = HASHES // 64
 
 _rng = np.random.Generator(np.random.PCG64(20240229))
 _FACTORS = (_rng.integers(0, 1 << 31, HASHES, dtype=np.uint32) << np.uint32(1)) | np.uint32(1)
+_NUMBERS = np.arange(1, HASHES + 1, dtype=np.uint64) << np.uint64(32)
 
 
 def minima(shingles: np.ndarray) -> np.ndarray:
@@ -60,13 +66,15 @@ def band_hashes(low: np.ndarray) -> np.ndarray:
 
 
 def bit_planes(low: np.ndarray) -> np.ndarray:
-    """BITS planes of HASHES bits as longs: plane by plane."""
-    planes = [np.packbits(((low >> np.uint32(b)) & 1).astype(np.uint8)) for b in range(BITS)]
+    """BITS planes of HASHES bits as longs: plane by plane. The low bits themselves would
+    not do: factors are odd, so they collide alike in all hashes."""
+    mixed = mix(low + _NUMBERS)
+    planes = [np.packbits(((mixed >> np.uint64(b)) & np.uint64(1)).astype(np.uint8)) for b in range(BITS)]
     return np.concatenate(planes).view(np.int64)
 
 
 def estimate(differing: Column | np.ndarray) -> Column | np.ndarray:
-    """Similarity from the number of minima whose low bits differ: without what equals
+    """Similarity from the number of minima whose kept bits differ: without what equals
     by chance, 2**-BITS of the unequal minima."""
     return 1.0 - differing / (HASHES * (1 - 0.5**BITS))
 
@@ -82,31 +90,32 @@ def _differing(a: str, b: str) -> Column:
     return total
 
 
-_SIGNED = "doc_id long, n_shingles long, set_key binary, planes array<long>, bands array<long>"
+_SIGNED = "doc_id long, n_shingles long, set_key binary, planes array<long>, bands array<long>, small array<long>"
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, set_key (128 bits of the whole set; null without words), planes
-    and bands, from whole texts."""
+    """doc_id, n_shingles, set_key (128 bits of the whole set; null without words), planes,
+    bands and small (the set itself, if it is small), from whole texts."""
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).cast("binary").alias("t"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(0, batch.num_rows, 1024):
-                n, keys, planes, bands = [], [], [], []
+                n, keys, planes, bands, small = [], [], [], [], []
                 for text in batch.column(1).slice(i, 1024).to_pylist():
                     s = shingle_set(text)
                     n.append(len(s))
                     if not len(s):
-                        keys.append(None), planes.append(None), bands.append(None)
+                        keys.append(None), planes.append(None), bands.append(None), small.append(None)
                         continue
                     low = minima(s)
                     keys.append(s.sum().tobytes() + np.bitwise_xor.reduce(mix(s ^ np.uint64(len(s)))).tobytes())
                     planes.append(bit_planes(low)), bands.append(band_hashes(low))
+                    small.append(s.view(np.int64) if len(s) <= SMALL else None)
                 longs = pa.list_(pa.int64())
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, 1024), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(planes, longs), pa.array(bands, longs)],
-                    ["doc_id", "n_shingles", "set_key", "planes", "bands"],
+                    [batch.column(0).slice(i, 1024), pa.array(n, pa.int64()), pa.array(keys, pa.binary()), pa.array(planes, longs), pa.array(bands, longs), pa.array(small, longs)],
+                    ["doc_id", "n_shingles", "set_key", "planes", "bands", "small"],
                 )
 
     return rows.mapInArrow(lean("neardedup", run), _SIGNED)
@@ -195,9 +204,12 @@ def _ends(pairs: DataFrame) -> DataFrame:
 
 
 def _estimated(pairs: DataFrame, signed: DataFrame) -> DataFrame:
-    x = signed.select(F.col("doc_id").alias("a"), F.col("planes").alias("pa"))
-    y = signed.select(F.col("doc_id").alias("b"), F.col("planes").alias("pb"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", estimate(_differing("pa", "pb")).alias("s")).where(F.col("s") >= MIN_ESTIMATE)
+    x = signed.select(F.col("doc_id").alias("a"), F.col("planes").alias("pa"), F.col("small").alias("sa"))
+    y = signed.select(F.col("doc_id").alias("b"), F.col("planes").alias("pb"), F.col("small").alias("sb"))
+    both = F.size(F.array_intersect("sa", "sb"))
+    exact = both / (F.size("sa") + F.size("sb") - both)
+    s = F.when(F.col("sa").isNotNull() & F.col("sb").isNotNull(), exact).otherwise(estimate(_differing("pa", "pb")))
+    return pairs.join(x, "a").join(y, "b").select("a", "b", s.alias("s")).where(F.col("s") >= MIN_ESTIMATE)
 
 
 def _best(pairs: DataFrame) -> DataFrame:
@@ -220,7 +232,7 @@ def _cross_pairs(banded: DataFrame, buckets: DataFrame, labels: DataFrame, signe
     rows = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
     cell = F.xxhash64("band", F.least("i", "j"), F.greatest("i", "j"))
     rows = rows.select(cell.alias("cell"), "band", "doc", "label", (F.col("i") <= F.col("j")).alias("left"), (F.col("i") == F.col("j")).alias("same"))
-    rows = rows.join(signed.select(F.col("doc_id").alias("doc"), "planes", "bands"), "doc")
+    rows = rows.join(signed.select(F.col("doc_id").alias("doc"), "planes", "bands", "small"), "doc")
     dealt = rows.repartition("cell").sortWithinPartitions("cell")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -242,6 +254,9 @@ def _alike(part: pa.Table, band: int) -> tuple[np.ndarray, np.ndarray]:
     left, same = part.column("left").to_numpy(zero_copy_only=False), part.column("same").to_numpy(zero_copy_only=False)
     planes = part.column("planes").combine_chunks().flatten().to_numpy().reshape(len(docs), -1).view(np.uint64)
     bands = part.column("bands").combine_chunks().flatten().to_numpy().reshape(len(docs), -1)
+    n = part.column("small").combine_chunks().value_lengths().fill_null(0).to_numpy()
+    small = np.zeros((len(docs), SMALL), np.int64)
+    small[np.arange(SMALL) < n[:, None]] = part.column("small").combine_chunks().flatten().to_numpy()
     x = np.flatnonzero(left)
     y = np.flatnonzero(~left | same)
     out_a, out_b = [], []
@@ -256,8 +271,11 @@ def _alike(part: pa.Table, band: int) -> tuple[np.ndarray, np.ndarray]:
             diff = planes[r, :_LONGS] ^ planes[s, :_LONGS]
             for b in range(1, BITS):
                 diff |= planes[r, b * _LONGS : (b + 1) * _LONGS] ^ planes[s, b * _LONGS : (b + 1) * _LONGS]
-            alike = estimate(np.bitwise_count(diff).sum(axis=1, dtype=np.int64)) >= MIN_ESTIMATE
-            r, s = r[alike], s[alike]
+            alike = estimate(np.bitwise_count(diff).sum(axis=1, dtype=np.int64))
+            exact = np.flatnonzero((n[r] > 0) & (n[s] > 0))
+            if len(exact):
+                alike[exact] = _similarity(small[r[exact]], n[r[exact]], small[s[exact]], n[s[exact]])
+            r, s = r[alike >= MIN_ESTIMATE], s[alike >= MIN_ESTIMATE]
             if len(r):
                 equal = bands[r] == bands[s]
                 first = bands[r, equal.argmax(axis=1)] == band
@@ -266,6 +284,14 @@ def _alike(part: pa.Table, band: int) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(out_a), np.concatenate(out_b)) if out_a else (none, none)
 
 
+def _similarity(a: np.ndarray, n_a: np.ndarray, b: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Exact similarities of rows of sets, of n_a and n_b items and zeros after them."""
+    met = np.sort(np.concatenate([a, b], axis=1), axis=1)
+    # The zeros of both rows are equal neighbours too.
+    both = (met[:, 1:] == met[:, :-1]).sum(axis=1) - np.maximum(2 * a.shape[1] - n_a - n_b - 1, 0)
+    return both / (n_a + n_b - both)
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable by links, itself
     included) and kept (doc_id = component_id), one row for each row of docs.
@@ -283,7 +309,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = keyed_join(signed.select("doc_id", "n_shingles", "set_key"), classes, ["set_key"], most=MOST)
     placed = placed.select("doc_id", "n_shingles", F.when(F.col("set_key").isNotNull(), F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")).alias("rep"))
     heads = keyed_join(named, classes, ["set_key"], most=MOST).where("rep IS NULL OR rep = doc_id").dropDuplicates(["doc_id"])
-    heads = heads.select("doc_id", "planes", "bands")
+    heads = heads.select("doc_id", "planes", "bands", "small")
     banded = heads.select(F.explode("bands").alias("band"), F.col("doc_id").alias("doc"))
     pick = F.min_by("doc", F.xxhash64("doc", "band"))
     buckets = banded.groupBy("band").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), pick.alias("any"), F.count(F.lit(1)).alias("n"))

@@ -113,3 +113,41 @@ def test_connected_components(spark):
             root[y] = x
     assert rows == {x: find(x) for x in root}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def small_pairs(sizes, each, seed=5):
+    """Texts in pairs of exactly 0.75: 3 n of 4 n shingles are shared, the second text is the first without its end."""
+    rng = random.Random(seed)
+    out = []
+    for n in sizes:
+        for _ in range(each):
+            base = ["".join(rng.choice("abcdefghij") for _ in range(8)) for _ in range(4 * n + 4)]
+            out += [" ".join(base), " ".join(base[: 3 * n + 4])]
+    return out
+
+
+def test_small_pairs_at_the_threshold(spark):
+    docs = data.documents(spark, small_pairs(range(1, 6), 60))
+    rows = nd.near_duplicates(docs).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == {
+        i: (len(shingles(t)), i - i % 2) for i, t in docs.select("doc_id", "text").collect()
+    }
+
+
+def test_small_pairs_left_for_the_blocks(spark, monkeypatch):
+    none = lambda pairs: pairs.limit(0).select("a", "b")
+    monkeypatch.setattr(nd, "_best", none)  # no links by hubs
+    docs = data.documents(spark, small_pairs(range(1, 6), 20))
+    assert all(r.component_id == r.doc_id - r.doc_id % 2 for r in nd.near_duplicates(docs).collect())
+
+
+def test_estimates_of_small_pairs():
+    rng = np.random.default_rng(3)
+    for n in (4, 8, 20):
+        lost = 0
+        for _ in range(300):
+            x = rng.integers(0, 1 << 63, n, dtype=np.uint64) << np.uint64(1)
+            p, q = (nd.bit_planes(nd.minima(s)).view(np.uint64) for s in (x, x[: n * 3 // 4]))
+            diff = (p[: nd._LONGS] ^ q[: nd._LONGS]) | (p[nd._LONGS :] ^ q[nd._LONGS :])
+            lost += nd.estimate(int(np.bitwise_count(diff).sum())) < nd.MIN_ESTIMATE
+        assert lost <= 1
