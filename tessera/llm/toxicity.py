@@ -19,7 +19,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter, defaultdict
-from collections.abc import Iterator, Sequence
+from collections.abc import Iterable, Iterator, Sequence
 from dataclasses import dataclass
 from functools import cached_property
 
@@ -32,8 +32,8 @@ from tessera.llm.common import lean, materialize, small_batches
 
 PRIOR_DOCS, SURE, MIN_DOCS, MOST_TOKENS = 50.0, 3.0, 3, 50_000
 MOST_LABELLED = 20_000
-#: Of one word in a document so many uses count: words come in bursts.
-USES = 2
+#: Of one word so many uses count within REACH tokens: words come in bursts.
+USES, REACH = 2, 50
 BEGINNINGS = range(4, 9)
 SIGNIFICANT = 0.05
 MOST_EVIDENCE = 3.0
@@ -50,6 +50,19 @@ def beginnings(word: str) -> set[str]:
     return {word[:k] for k in BEGINNINGS}
 
 
+def counted(words: Sequence[str], at: Iterable[int]) -> list[int]:
+    """Of the positions `at`, in order, those whose word has fewer than USES counted uses
+    in the REACH tokens before."""
+    met: dict[str, list[int]] = {}
+    out = []
+    for i in at:
+        own = met.setdefault(words[i], [])
+        if len(own) < USES or i - own[-USES] > REACH:
+            own.append(i)
+            out.append(i)
+    return out
+
+
 def held_out(folds: int) -> Column:
     return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % folds == 0, F.lit(False))
 
@@ -113,11 +126,7 @@ class Model:
         """(position, score) of the words that have one."""
         gate, table, cut = self.gate, self.table, BEGINNINGS[0]
         out = []
-        met: Counter[str] = Counter()
-        for i in [i for i, w in enumerate(words) if w[:cut] in gate]:
-            met[words[i]] += 1
-            if met[words[i]] > USES:
-                continue
+        for i in counted(words, [i for i, w in enumerate(words) if w[:cut] in gate]):
             found = [table[b] for b in beginnings(words[i]) if b in table]
             if found:
                 out.append((i, max(found, key=lambda s: (abs(s), s))))
@@ -176,12 +185,13 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
             k = 0 if toxic else 1
-            words = Counter(tokens(text))
+            words = tokens(text)
+            uses = Counter(words[i] for i in counted(words, range(len(words))))
             own: Counter[str] = Counter()
-            for w, n in words.items():
+            for w, n in uses.items():
                 for b in beginnings(w):
-                    own[b] += min(n, USES)
-            own[""] = sum(min(n, USES) for n in words.values())  # documents and uses in all
+                    own[b] += n
+            own[""] = uses.total()  # documents and uses in all
             for b, n in own.items():
                 row = found[b]
                 row[k] += 1

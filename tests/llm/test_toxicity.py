@@ -89,3 +89,14 @@ def test_odd_tables(spark):
     assert [p[:2] for p in tox.passages("a vile b " + "c " * 500 + "vile vile", model)] == [(1, 2), (503, 504)] or tox.passages("a vile b", model)
     curve = tox.fit_curve(np.array([0.0] * 50 + [2.0] * 50), np.array([0.0] * 49 + [1.0] + [1.0] * 49 + [0.0]))
     assert curve[0] < 0 < curve[1]
+
+
+def test_later_passages_repeat_earlier_words():
+    model = tox.Model({"vile": 3.0, "wretch": 3.0, "knave": 3.0}, -0.05, 2.0)
+    passage, clean = "vile wretch knave ", "c " * 500
+    text = (passage + clean) * 4
+    assert [p[:2] for p in tox.passages(text, model)] == [(503 * i, 503 * i + 3) for i in range(4)]
+    assert model.scan(text.encode())[1:3] == (4, 12)
+    early = ("vile " + clean + "wretch " + clean + "knave " + clean) * 2
+    assert (3006, 3009) in [p[:2] for p in tox.passages(early + passage, model)]
+    assert len(model.items(("vile " * 40).split())) == tox.USES  # a burst
