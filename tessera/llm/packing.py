@@ -6,8 +6,8 @@ has the largest dot product with what the open bin has left, both in units of th
 limits; when none fits whole, one is cut so that the bin is filled to its last token.
 
 A task packs its own rows from a bounded pool, so there is no shuffle and memory
-doesn't grow with the input. Its last tokens go to sequences whose lengths are
-powers of two, which need no padding.
+doesn't grow with the input. Its last tokens, and those of a pool full of tiny pieces,
+go to sequences whose lengths are powers of two, which need no padding.
 """
 
 from __future__ import annotations
@@ -67,6 +67,8 @@ class Packer:
         if start < total:
             if self.n == self.most:
                 self._drain(self.most // 2)
+                while self.n == self.most:  # of tiny pieces even a full pool fills no sequence
+                    self._fill_rest()
             i = self.n
             self.keys[i:] = [key]
             self.ids[i:] = [ids]
@@ -76,8 +78,11 @@ class Packer:
     def finish(self) -> None:
         self._drain(0)
         while self.n:
-            rest = int(self.left[: self.n].sum())
-            self._fill(min(self.limits.tokens, 1 << (rest.bit_length() - 1)))
+            self._fill_rest()
+
+    def _fill_rest(self) -> None:
+        rest = int(self.left[: self.n].sum())
+        self._fill(min(self.limits.tokens, 1 << (rest.bit_length() - 1)))
 
     def _drain(self, keep: int) -> None:
         while self.n > keep and int(self.left[: self.n].sum()) >= self.limits.tokens:

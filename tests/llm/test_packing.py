@@ -82,3 +82,10 @@ def test_loss_column(spark):
     docs = spark.createDataFrame([(0, "a b c", True), (1, "d e f g", False), (2, "h", None)], "doc_id long, text string, own boolean")
     rows = {r.doc_id: r.loss_tokens for r in pack_texts(docs.coalesce(1), PATH, loss_col="own").collect() if r.start == 0}
     assert rows[0] > 0 and rows[1] == 0 and rows[2] == 0
+
+
+def test_a_pool_of_tiny_texts(spark):
+    docs = spark.range(5000).selectExpr("id AS doc_id", "IF(id % 3 = 0, NULL, '') AS text").coalesce(1)
+    rows = [r.asDict() for r in pack_texts(docs, PATH).collect()]
+    assert sorted(r["doc_id"] for r in rows) == list(range(5000)) and all(r["length"] == 1 for r in rows)
+    assert all(s[0]["sequence_length"] == len(s) for s in check(rows).values())
