@@ -6,6 +6,8 @@ import atexit
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -99,6 +101,26 @@ def code_points(b: bytes) -> int:
     return len(b) if b.isascii() else len(b.decode("utf-8", "replace"))
 
 
+def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of equal keys out of batches that are sorted by a key without nulls."""
+    rest: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        k = batch.column(key).to_numpy()
+        edges = np.flatnonzero(k[1:] != k[:-1]) + 1
+        if rest and rest[-1].column(key)[0].as_py() != k[0]:
+            yield pa.Table.from_batches(rest)
+            rest = []
+        start = 0
+        for end in edges.tolist():
+            yield pa.Table.from_batches([*rest, batch.slice(start, end - start)])
+            rest, start = [], end
+        rest.append(batch.slice(start))
+    if rest:
+        yield pa.Table.from_batches(rest)
+
+
 # ------------------------------------------------------------- Python workers
 
 _owner: str | None = None
@@ -137,8 +159,6 @@ def _trim() -> None:
     import ctypes
     import gc
 
-    import pyarrow as pa
-
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

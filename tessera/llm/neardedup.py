@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import keyed_join, lean, materialize, small_batches
+from tessera.llm.common import keyed_join, lean, materialize, runs, small_batches
 from tessera.llm.components import components
 from tessera.llm.shingles import mix, shingle_set
 
@@ -172,26 +172,6 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
     return 100 * both >= percent * (len(x) + len(y) - both)
 
 
-def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
-    """Tables of equal keys out of batches that are sorted by a key without nulls."""
-    rest: list[pa.RecordBatch] = []
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        k = batch.column(key).to_numpy()
-        edges = np.flatnonzero(k[1:] != k[:-1]) + 1
-        if rest and rest[-1].column(key)[0].as_py() != k[0]:
-            yield pa.Table.from_batches(rest)
-            rest = []
-        start = 0
-        for end in edges.tolist():
-            yield pa.Table.from_batches([*rest, batch.slice(start, end - start)])
-            rest, start = [], end
-        rest.append(batch.slice(start))
-    if rest:
-        yield pa.Table.from_batches(rest)
-
-
 def _hub_pairs(banded: DataFrame, buckets: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of bucket members and their bucket's hubs."""
     met = banded.join(buckets, "band").select("doc", F.explode(F.array("low", "high", "any")).alias("hub"))
