@@ -1,13 +1,21 @@
 """Op 1, packing: vector bin packing with the dot-product heuristic.
 
 Every example asks for three things at once: tokens, one segment, and loss-bearing
-tokens. A sequence (bin) offers `Limits`. The next example is the one whose demand
-has the largest dot product with what the open bin has left, both in units of the
-limits; when none fits whole, one is cut so that the bin is filled to its last token.
-
-A task packs its own rows from a bounded pool, so there is no shuffle and memory
-doesn't grow with the input. Its last tokens, and those of a pool full of tiny pieces,
-go to sequences whose lengths are powers of two, which need no padding.
+tokens. A sequence (bin) offers `Limits`, which bind separately: a response without
+prompts to go with it runs out of loss, short texts run out of segments. The next example
+is the one whose demand has the largest dot product with what the open bin has left, both
+in units of the limits; when none fits whole, or one segment is left, the one is cut that
+fills most of the bin. A bin that can't be filled gives back what it holds beyond a power
+of two.
+
+An example is an instruction and its response: tokens up to the first `prompt_end` of a
+text bear no loss, those after it do; a text without one bears loss throughout.
+
+A task packs its own rows from a bounded pool (of POOL examples and POOL_TOKENS tokens),
+so there is no shuffle and memory doesn't grow with the input. Its last tokens, and those
+of a pool full of tiny pieces, go to sequences whose lengths are powers of two, which need
+no padding. What lies in which sequence depends on how rows are dealt over tasks and on
+their order; of equal products the example that is first in the pool wins.
 """
 
 from __future__ import annotations
@@ -30,107 +38,122 @@ END_ID = 2
 
 @dataclass(frozen=True)
 class Limits:
-    """What one sequence holds at most."""
+    """What one sequence holds at most; each at least 1."""
 
     tokens: int = 4096
-    segments: int = 1024
-    loss_tokens: int = 4096
+    segments: int = 16
+    loss_tokens: int = 3968
+
+    def __post_init__(self) -> None:
+        if min(self.tokens, self.segments, self.loss_tokens) < 1:
+            raise ValueError(f"limits must be at least 1: {self}")
 
 
+POOL, POOL_TOKENS = 1024, 2_000_000
 SCHEMA = (
     "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
     "sequence_id long, offset long, loss_tokens long, sequence_length long"
 )
 
 
+def product(limits: Limits, need: np.ndarray, need_loss: np.ndarray, tokens: int, segments: int, loss: int) -> np.ndarray:
+    """Dot products of demands with what a sequence has left, in units of the limits."""
+    return need * (tokens / limits.tokens**2) + need_loss * (loss / limits.loss_tokens**2) + segments / limits.segments**2
+
+
 class Packer:
-    """Packs examples (key, ids as little-endian uint32 bytes, loss-bearing or not)."""
+    """Packs examples (key, ids as little-endian uint32 bytes, ids that bear no loss)."""
 
-    def __init__(self, limits: Limits, first_id: int, pool: int = 1024) -> None:
+    def __init__(self, limits: Limits, first_id: int, pool: int = POOL) -> None:
         self.limits, self.next_id, self.most = limits, first_id, pool
         self.keys: list = []
         self.ids: list[bytes] = []
-        self.starts = np.zeros(pool, np.int64)
-        self.left = np.zeros(pool, np.int64)
-        self.loss = np.zeros(pool, np.int64)
-        self.n = 0
+        room = pool + limits.segments  # a closed sequence may give pieces back
+        self.starts = np.zeros(room, np.int64)
+        self.left = np.zeros(room, np.int64)
+        self.free = np.zeros(room, np.int64)  # of those left, the first that bear no loss
+        self.n = self.held = 0
         self.out: list[tuple] = []
 
-    def add(self, key: int | None, ids: bytes, loss: bool = True) -> None:
-        """Takes an example in; what fills whole sequences alone is placed at once."""
-        total, start = len(ids) // 4, 0
-        whole = min(self.limits.tokens, self.limits.loss_tokens) if loss else self.limits.tokens
-        if whole == self.limits.tokens:
-            while total - start >= whole:
-                self._close([(key, ids, start, whole, loss)], whole)
-                start += whole
-        if start < total:
-            if self.n == self.most:
-                self._drain(self.most // 2)
-                while self.n == self.most:  # of tiny pieces even a full pool fills no sequence
-                    self._fill_rest()
-            i = self.n
-            self.keys[i:] = [key]
-            self.ids[i:] = [ids]
-            self.starts[i], self.left[i], self.loss[i] = start, total - start, loss
-            self.n += 1
+    def add(self, key: int | None, ids: bytes, prompt: int = 0) -> None:
+        """Takes an example in whose first `prompt` ids bear no loss."""
+        if self.n >= self.most:
+            self._drain(self.most // 2)
+            while self.n >= self.most:  # of tiny pieces even a full pool fills no sequence
+                self._fill_rest()
+        self._put(key, ids, 0, len(ids) // 4, prompt)
+        while self.held > POOL_TOKENS:
+            self._fill(self.limits.tokens)
 
     def finish(self) -> None:
         self._drain(0)
         while self.n:
             self._fill_rest()
 
+    def _put(self, key: int | None, ids: bytes, start: int, n: int, free: int) -> None:
+        if n:
+            i = self.n
+            self.keys[i:], self.ids[i:] = [key], [ids]
+            self.starts[i], self.left[i], self.free[i] = start, n, min(free, n)
+            self.n, self.held = i + 1, self.held + n
+
     def _fill_rest(self) -> None:
-        rest = int(self.left[: self.n].sum())
-        self._fill(min(self.limits.tokens, 1 << (rest.bit_length() - 1)))
+        self._fill(min(self.limits.tokens, 1 << (self.held.bit_length() - 1)))
 
     def _drain(self, keep: int) -> None:
-        while self.n > keep and int(self.left[: self.n].sum()) >= self.limits.tokens:
+        while self.n > keep and self.held >= self.limits.tokens:
             self._fill(self.limits.tokens)
 
     def _fill(self, size: int) -> None:
-        """Fills and closes one sequence of `size` tokens."""
-        lim = self.limits
-        tokens, segments, loss = size, lim.segments, lim.loss_tokens
+        """Fills and closes one sequence of at most `size` tokens."""
+        tokens, segments, loss = size, self.limits.segments, self.limits.loss_tokens
         taken = []
         while tokens and segments and self.n:
             n = self.n
-            need, bears = self.left[:n], self.loss[:n]
-            need_loss = need * bears
-            score = need * (tokens / lim.tokens**2) + need_loss * (loss / lim.loss_tokens**2)
-            score += segments / lim.segments**2
+            need, free = self.left[:n], self.free[:n]
+            need_loss = need - free
             fits = (need <= tokens) & (need_loss <= loss)
+            score = product(self.limits, need, need_loss, tokens, segments, loss)
             best = int(np.argmax(np.where(fits, score, -1.0)))
-            if fits[best]:
-                take = int(need[best])
-            else:
-                room = np.minimum(need, np.where(bears > 0, min(tokens, loss), tokens))
-                best = int(np.argmax(room))
-                take = int(room[best])
-                if not take:
-                    break
-            taken.append((self.keys[best], self.ids[best], int(self.starts[best]), take, bool(bears[best])))
-            tokens, segments, loss = tokens - take, segments - 1, loss - take * int(bears[best])
+            if segments == 1 or not fits[best]:
+                best = int(np.argmax(np.minimum(need, np.minimum(tokens, free + loss))))
+            n_free = int(free[best])
+            take = min(int(need[best]), tokens, n_free + loss)
+            if not take:
+                break
+            taken.append((self.keys[best], self.ids[best], int(self.starts[best]), take, min(n_free, take)))
+            tokens, segments, loss = tokens - take, segments - 1, loss - max(0, take - n_free)
+            self.held -= take
             if take == need[best]:
                 self._remove(best)
             else:
                 self.starts[best] += take
                 self.left[best] -= take
-        self._close(taken, size)
+                self.free[best] = max(0, n_free - take)
+        self._close(taken, size - tokens)
 
     def _remove(self, i: int) -> None:
         last = self.n = self.n - 1
-        for column in (self.starts, self.left, self.loss):
+        for column in (self.starts, self.left, self.free):
             column[i] = column[last]
         self.keys[i], self.ids[i] = self.keys[last], self.ids[last]
         self.keys.pop(), self.ids.pop()
 
-    def _close(self, pieces: list[tuple], size: int) -> None:
-        at, used = 0, sum(p[3] for p in pieces)
-        length = used if used == size and used & (used - 1) == 0 else self.limits.tokens
-        for key, ids, start, n, loss in pieces:
+    def _close(self, pieces: list[tuple], used: int) -> None:
+        """Closes a sequence; one that isn't full gives back what is over a power of two."""
+        length = used if used == self.limits.tokens else 1 << (used.bit_length() - 1)
+        over = used - length
+        while over:
+            key, ids, start, n, free = pieces.pop()
+            back = min(over, n)
+            over -= back
+            if back < n:
+                pieces.append((key, ids, start, n - back, min(free, n - back)))
+            self._put(key, ids, start + n - back, back, max(0, free - (n - back)))
+        at = 0
+        for key, ids, start, n, free in pieces:
             crc = zlib.crc32(memoryview(ids)[4 * start : 4 * (start + n)])
-            self.out.append((key, start, n, crc, len(ids) // 4, self.next_id, at, n * loss, length))
+            self.out.append((key, start, n, crc, len(ids) // 4, self.next_id, at, n - free, length))
             at += n
         self.next_id += 1
 
@@ -148,16 +171,18 @@ def pack_texts(
     id_col: str = "doc_id",
     text_col: str = "text",
     loss_col: str | None = None,
+    prompt_end: str | None = "\n",
     limits: Limits = Limits(),
     end_id: int = END_ID,
 ) -> DataFrame:
     """One row for each piece of each text's ids (its tokens, then end_id).
 
-    loss_col: boolean column, true where a row's tokens bear loss (all, if None;
-    null: false). Null and empty texts are one id, end_id. Rows that share an id are
-    examples of their own; a null id stays null. An empty table gives no rows. Other
-    columns are not read. Sequence ids are unique: the task's number in the high bits.
-    sequence_length is the length with padding."""
+    prompt_end: of a text that holds it, the tokens before bear no loss (None: all do).
+    loss_col: boolean column, true where a row bears loss at all (null: false). Null and
+    empty texts are one id, end_id. Rows that share an id are examples of their own; a
+    null id stays null. An empty table gives no rows. Other columns are not read. Sequence
+    ids are unique: the task's number in the high bits. sequence_length is the length with
+    padding: there is none unless the token limit isn't a power of two."""
     small_batches(docs)
     loss = F.coalesce(F.col(loss_col), F.lit(False)) if loss_col else F.lit(True)
     rows = docs.select(
@@ -166,6 +191,7 @@ def pack_texts(
         loss.cast("boolean").alias("l"),
     )
     end = int(end_id).to_bytes(4, "little")
+    cut = prompt_end.encode() if prompt_end else None
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = WordTokenizer.shared(tokenizer_path)
@@ -174,8 +200,9 @@ def pack_texts(
             keys, losses = batch.column(0).to_pylist(), batch.column(2).to_pylist()
             for i in range(0, len(keys), 256):
                 texts = batch.column(1).slice(i, 256).to_pylist()
-                for key, ids, bears in zip(keys[i : i + 256], encode.ids(texts), losses[i : i + 256], strict=True):
-                    packer.add(key, ids + end, bears)
+                heads = [max(0, t.find(cut)) if cut else 0 for t in texts]
+                for key, (ids, prompt), bears in zip(keys[i : i + 256], encode.ids_and_heads(texts, heads), losses[i : i + 256], strict=True):
+                    packer.add(key, ids + end, prompt if bears else len(ids) // 4 + 1)
             if packer.out:
                 yield packer.rows()
         packer.finish()

@@ -13,6 +13,7 @@ from tessera.llm.common import kept_store
 if TYPE_CHECKING:
     from tokenizers import Tokenizer
 
+
 class WordTokenizer:
     """Encodes texts through a store of words already encoded.
 
@@ -50,6 +51,19 @@ class WordTokenizer:
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """For each UTF-8 text its ids, as little-endian uint32 bytes."""
+        return [b"".join(x) for x in self._found(texts)]
+
+    def ids_and_heads(self, texts: list[bytes], heads: list[int]) -> list[tuple[bytes, int]]:
+        """The ids of each text, and how many of them its first head bytes have; these
+        must end before white space, or be none."""
+        out = []
+        for text, head, found in zip(texts, heads, self._found(texts), strict=True):
+            n = len(text[:head].split()) if head else 0
+            out.append((b"".join(found), sum(map(len, found[:n])) // 4))
+        return out
+
+    def _found(self, texts: list[bytes]) -> list[list[bytes]]:
+        """For each text the ids of its words."""
         if len(self.known) > self.most:
             self.old, self.known = self.known, {}
         known = self.known
@@ -66,7 +80,7 @@ class WordTokenizer:
         for found, own in gaps:
             for i, w in own:
                 found[i] = known[w]
-        return list(map(b"".join, out))
+        return out
 
     def _learn(self, new: set[bytes]) -> None:
         known, old = self.known, self.old

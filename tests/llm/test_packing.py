@@ -6,6 +6,7 @@ import numpy as np
 import public_tokenizers as P
 import pytest
 
+from tessera.llm import packing
 from tessera.llm.packing import Limits, Packer, pack_texts
 from tessera.llm.tokens import WordTokenizer
 from tests.llm import data
@@ -70,7 +71,7 @@ def test_limits_hold_together():
     rng = np.random.default_rng(0)
     sizes = rng.integers(1, 100, 300)
     for i, n in enumerate(sizes):
-        packer.add(i, bytes(4 * int(n)), bool(i % 3))
+        packer.add(i, bytes(4 * int(n)), int(n) * (i % 3) // 2)
     packer.finish()
     names = ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "loss_tokens", "sequence_length"]
     rows = [dict(zip(names, r, strict=True)) for r in packer.out]
@@ -78,6 +79,77 @@ def test_limits_hold_together():
     assert [sum(r["length"] for r in rows if r["doc_id"] == i) for i in range(300)] == sizes.tolist()
 
 
+def packed(examples, limits, pool=64):
+    packer = Packer(limits, 0, pool)
+    for i, (n, prompt) in enumerate(examples):
+        packer.add(i, bytes(4 * n), prompt)
+    packer.finish()
+    by = {}
+    for key, start, n, _, _, sequence, _, loss, _ in packer.out:
+        by.setdefault(sequence, []).append((key, start, n, loss))
+    return by
+
+
+def test_each_limit_binds():
+    rng = np.random.default_rng(1)
+    limits = Limits(tokens=64, segments=4, loss_tokens=56)
+    short = packed([(3, 3)] * 200, limits).values()
+    assert any(len(s) == 4 and sum(p[2] for p in s) < 64 for s in short)
+    answers = packed([(50, 0)] * 40, limits).values()
+    assert all(sum(p[2] for p in s) <= 32 for s in answers)  # 56 answers would need prompts
+    mixed = packed([(int(n), int(n * f)) for n, f in zip(rng.integers(5, 150, 400), rng.random(400) / 3, strict=True)], limits).values()
+    assert any(sum(p[2] for p in s) == 64 for s in mixed) and any(sum(p[3] for p in s) == 56 for s in mixed)
+
+
+def test_the_product_is_not_largest_fit(monkeypatch):
+    rng = np.random.default_rng(2)
+    examples = [(int(n), int(n * f)) for n, f in zip(rng.integers(5, 60, 500), rng.random(500), strict=True)]
+    limits = Limits(tokens=64, segments=8, loss_tokens=40)
+    by_product = packed(examples, limits)
+    monkeypatch.setattr(packing, "product", lambda limits, need, *_: need)
+    assert by_product != packed(examples, limits)
+
+
+def test_choices_equal_brute_force():
+    limits = Limits(tokens=64, segments=4, loss_tokens=48)
+    rng = np.random.default_rng(3)
+    examples = [(int(n), int(n * f)) for n, f in zip(rng.integers(5, 60, 40), rng.random(40), strict=True)]
+    first = packed(examples, limits, pool=64)[0]
+    pool = {i: (n, n - p) for i, (n, p) in enumerate(examples)}
+    left = [64, 4, 48]
+    for key, start, n, _ in first:
+        fit = {i: d for i, d in pool.items() if d[0] <= left[0] and d[1] <= left[2]}
+        if not fit or left[1] == 1:
+            break
+        dot = {i: d[0] / 64 * left[0] / 64 + 1 / 4 * left[1] / 4 + d[1] / 48 * left[2] / 48 for i, d in fit.items()}
+        assert start == 0 and n == examples[key][0] and dot[key] >= max(dot.values()) - 1e-12
+        left = [left[0] - pool[key][0], left[1] - 1, left[2] - pool[key][1]]
+        del pool[key]
+    assert len(pool) < 40
+
+
+@pytest.mark.parametrize("wrong", [{"tokens": 0}, {"segments": 0}, {"loss_tokens": 0}])
+def test_limits_below_one_are_refused(wrong):
+    with pytest.raises(ValueError):
+        Limits(**wrong)
+
+
+def test_the_prompt_bears_no_loss(spark):
+    docs = data.documents(spark, ["two words\nan answer", "no line end", "\nall answer", None])
+    rows = {r.doc_id: r for r in pack_texts(docs.coalesce(1), PATH, limits=Limits(64, 8, 64)).collect() if r.start == 0}
+    t = WordTokenizer(PATH)
+    assert rows[0].loss_tokens == rows[0].length - min(rows[0].length, len(t._one("two words")))
+    assert all(rows[i].loss_tokens == rows[i].length for i in (1, 2, 3))
+
+
+def test_a_long_text_is_cut_through(spark, monkeypatch):
+    monkeypatch.setattr(packing, "POOL_TOKENS", 5000)
+    docs = data.documents(spark, ["ask me\n" + "word " * 40_000, "short"])
+    rows = [r.asDict() for r in pack_texts(docs.coalesce(1), PATH).collect()]
+    check(rows)
+    assert sum(r["length"] for r in rows) > 40_000
+
+
 def test_loss_column(spark):
     docs = spark.createDataFrame([(0, "a b c", True), (1, "d e f g", False), (2, "h", None)], "doc_id long, text string, own boolean")
     rows = {r.doc_id: r.loss_tokens for r in pack_texts(docs.coalesce(1), PATH, loss_col="own").collect() if r.start == 0}
