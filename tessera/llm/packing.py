@@ -5,8 +5,8 @@ tokens. A sequence (bin) offers `Limits`, which bind separately: a response with
 prompts to go with it runs out of loss, short texts run out of segments. The next example
 is the one whose demand has the largest dot product with what the open bin has left, both
 in units of the limits; when none fits whole, or one segment is left, the one is cut that
-fills most of the bin. A bin that can't be filled gives back what it holds beyond a power
-of two.
+fills most of the bin. Of an example larger than a bin, the next part as large as one asks
+for a place. A bin that can't be filled gives back what it holds beyond a power of two.
 
 An example is an instruction and its response: tokens up to the first `prompt_end` of a
 text bear no loss, those after it do; a text without one bears loss throughout.
@@ -111,14 +111,16 @@ class Packer:
         while tokens and segments and self.n:
             n = self.n
             need, free = self.left[:n], self.free[:n]
-            need_loss = need - free
-            fits = (need <= tokens) & (need_loss <= loss)
-            score = product(self.limits, need, need_loss, tokens, segments, loss)
+            ask = np.minimum(need, np.minimum(self.limits.tokens, free + self.limits.loss_tokens))
+            ask_loss = np.maximum(ask - free, 0)
+            fits = (ask <= tokens) & (ask_loss <= loss)
+            score = product(self.limits, ask, ask_loss, tokens, segments, loss)
             best = int(np.argmax(np.where(fits, score, -1.0)))
             if segments == 1 or not fits[best]:
-                best = int(np.argmax(np.minimum(need, np.minimum(tokens, free + loss))))
+                # Of those that fill as much, the one with the shortest prompt: prompts are scarce.
+                best = int(np.lexsort((free, -np.minimum(need, np.minimum(tokens, free + loss))))[0])
             n_free = int(free[best])
-            take = min(int(need[best]), tokens, n_free + loss)
+            take = min(int(ask[best]), tokens, n_free + loss)
             if not take:
                 break
             taken.append((self.keys[best], self.ids[best], int(self.starts[best]), take, min(n_free, take)))
