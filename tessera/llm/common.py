@@ -24,31 +24,42 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder that the driver and all executors see: spark.checkpoint.dir,
-    or one in the warehouse where that is unset (a local session)."""
+    or one in the warehouse where that is unset (a local session only)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
+    if not found and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     return (found or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, replaces: Sequence[DataFrame] = ()) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back, which cuts its
-    lineage: a lost executor costs tasks of later stages only. Removed at exit."""
+    lineage: a lost executor costs tasks of later stages only. Removed at exit; the
+    written tables that it replaces, which nothing may read any more, go at once."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     if not _scratch:
         atexit.register(clear_scratch)
     _scratch.append((spark, path))
-    return spark.read.schema(df.schema).parquet(path)
+    for old in replaces:
+        at = old._scratch_path
+        _scratch.remove((spark, at))
+        _delete(spark, at)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def clear_scratch() -> None:
     """Removes every scratch table of this process."""
     while _scratch:
-        spark, path = _scratch.pop()
         try:
-            jvm = spark.sparkContext._jvm
-            at = jvm.org.apache.hadoop.fs.Path(path)
-            at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+            _delete(*_scratch.pop())
         except Exception:  # the session has gone, and with it the means to delete
             return
 
@@ -83,6 +94,34 @@ def keyed_join(
     return left.join(right, on, "left").drop(*names, "__salt", "__salt_r")
 
 
+#: Keys with fewer rows are never hot.
+HOT_ROWS = 1000
+
+
+def hot_join(rows: DataFrame, params: DataFrame, key: str, *, share: float = 0.001) -> DataFrame:
+    """rows JOIN params USING (key), for keys that may hold a large part of the rows.
+    params has one row a key; rows is read three times, so a written table.
+
+    Keys with more than `share` of the rows, 1 / share of them at most, are broadcast with
+    their params, and their rows stay where they are; all others meet in a shuffle."""
+    n = rows.count()
+    hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max(HOT_ROWS, share * n)).select(key)
+    hot = materialize(hot, "hot-keys")
+    if hot.isEmpty():
+        return rows.join(params, key)
+    few = F.broadcast(materialize(params.join(F.broadcast(hot), key, "left_semi"), "hot-params"))
+    here = rows.join(few, key)
+    return here.unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(params, key).select(here.columns))
+
+
+def free_name(df: DataFrame, stem: str) -> str:
+    """A column name that df doesn't have (names differ by more than case)."""
+    taken = {c.lower() for c in df.columns}
+    while stem.lower() in taken:
+        stem += "_"
+    return stem
+
+
 #: Rows of whole texts that go to a Python worker at once.
 BATCH_ROWS = 1000
 

@@ -1,15 +1,15 @@
 """Connected components by alternating large-star and small-star steps.
 
-Every step is one aggregation over the edges, whose hubs are pre-aggregated map-side;
-edges go to the shared folder after each round, so no lineage grows and no edge reaches
-the driver."""
+Every step is one aggregation over the edges, whose hubs are pre-aggregated map-side, and
+a join in which hubs stay where their edges are; edges go to the shared folder after each
+round, so no lineage grows and no edge reaches the driver."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import materialize
+from tessera.llm.common import hot_join, materialize
 
 
 def _stars(edges: DataFrame) -> DataFrame:
@@ -26,13 +26,13 @@ def components(edges: DataFrame) -> DataFrame:
     if edges.isEmpty():
         return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
     while True:
-        low = _stars(edges)
+        low = materialize(_stars(edges), "stars")
         # Large star: larger neighbours go to the smallest label around a node. Small
         # star: so do the node and its smaller neighbours.
-        both = edges.union(edges.select("b", "a"))
-        moved = both.join(low.withColumnRenamed("a", "n"), F.col("a") == F.col("n")).select(F.col("b").alias("x"), "m").union(low.select(F.col("a").alias("x"), "m"))
+        both = edges.select("a", "b").union(edges.select("b", "a"))
+        moved = hot_join(both, low, "a").select(F.col("b").alias("x"), "m").union(low.select(F.col("a").alias("x"), "m"))
         new = moved.where("x <> m").select(F.greatest("x", "m").alias("a"), F.least("x", "m").alias("b")).distinct()
-        new = materialize(new, "edges")
+        new = materialize(new, "edges", replaces=[edges, low])
         # Done when every edge ends in a root: no node is both an upper and a lower end,
         # and none has two lower ends.
         ups = new.groupBy("a").agg(F.count(F.lit(1)).alias("n"))

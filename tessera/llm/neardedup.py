@@ -11,10 +11,11 @@
    for chance collisions, or exact where both sets are small; each document's best partner
    in each of two classes is confirmed on full sets, and the confirmed links are
    contracted to components.
-4. What is left: pairs of one bucket in different components. Buckets are cut into
-   blocks; pairs of blocks are compared by signature in NumPy (small sets: exactly), and
-   only pairs that could be a link are confirmed on full sets. So no pair that shares a
-   band is lost, while pairs inside a component are never written out.
+4. What is left: pairs of one bucket in different components. The members outside a
+   bucket's largest component meet the others block by block, so that a bucket with few
+   strays costs rows in proportion to its size; blocks are compared by signature in NumPy
+   (small sets: exactly), and only pairs that could be a link are confirmed on full sets.
+   So no pair that shares a band is lost, while pairs inside a component are never made.
 
 A link at the threshold shares no band with probability (1 - 0.75**5)**44 < 1e-5, and
 its estimate falls under MIN_ESTIMATE with one of less than 1e-4; both shrink fast above.
@@ -29,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import keyed_join, lean, materialize, runs, small_batches
+from tessera.llm.common import hot_join, keyed_join, lean, materialize, runs, small_batches
 from tessera.llm.components import components
 from tessera.llm.shingles import mix, shingle_set
 
@@ -174,7 +175,7 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 def _hub_pairs(banded: DataFrame, buckets: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of bucket members and their bucket's hubs."""
-    met = banded.join(buckets, "band").select("doc", F.explode(F.array("low", "high", "any")).alias("hub"))
+    met = hot_join(banded, buckets, "band").select("doc", F.explode(F.array("low", "high", "any")).alias("hub"))
     return met.where("doc <> hub").select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
 
 
@@ -189,7 +190,9 @@ def _estimated(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     both = F.size(F.array_intersect("sa", "sb"))
     exact = both / (F.size("sa") + F.size("sb") - both)
     s = F.when(F.col("sa").isNotNull() & F.col("sb").isNotNull(), exact).otherwise(estimate(_differing("pa", "pb")))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", s.alias("s")).where(F.col("s") >= MIN_ESTIMATE)
+    # A bucket's least id is a of nearly all its pairs, its greatest b of many.
+    first = materialize(hot_join(pairs, x, "a"), "first-ends")
+    return hot_join(first, y, "b").select("a", "b", s.alias("s")).where(F.col("s") >= MIN_ESTIMATE)
 
 
 def _best(pairs: DataFrame) -> DataFrame:
@@ -200,20 +203,37 @@ def _best(pairs: DataFrame) -> DataFrame:
     return top.select(F.least("x", "p.y").alias("a"), F.greatest("x", "p.y").alias("b")).distinct()
 
 
-def _cross_pairs(banded: DataFrame, buckets: DataFrame, labels: DataFrame, signed: DataFrame) -> DataFrame:
+def _strays(banded: DataFrame, labels: DataFrame) -> DataFrame:
+    """band, doc, label, n, k, lead: members of buckets of several components, with the
+    bucket's members, those outside its largest component, and that component."""
+    rows = keyed_join(banded, labels.withColumnRenamed("node", "doc"), ["doc"], most=MOST)
+    rows = materialize(rows.select("band", "doc", F.coalesce("label", "doc").alias("label")), "labelled")
+    own = rows.groupBy("band", "label").agg(F.count(F.lit(1)).alias("c"))
+    mixed = own.groupBy("band").agg(F.sum("c").alias("n"), F.max(F.struct("c", "label")).alias("top"))
+    mixed = mixed.where("n > top.c").select("band", "n", (F.col("n") - F.col("top.c")).alias("k"), F.col("top.label").alias("lead"))
+    return materialize(hot_join(rows, materialize(mixed, "mixed"), "band"), "strays", replaces=[rows])
+
+
+def _cells(rows: DataFrame, *others: str) -> DataFrame:
+    """cell, band, doc, label, lead (of the largest component), left, others.
+
+    All n members of a bucket are dealt over its blocks; the k outside its largest
+    component are dealt over blocks of strays ("left") and meet every block of members:
+    n * ceil(k / BLOCK) + k * ceil(n / BLOCK) rows, 2 n or so with up to BLOCK strays."""
+    blocks = lambda c: F.ceil(F.col(c) / BLOCK).cast("long")
+    own = lambda c: F.pmod(F.xxhash64("doc", "band"), blocks(c))
+    all_of = lambda c: F.explode(F.sequence(F.lit(0).cast("long"), blocks(c) - 1))
+    fields = ["band", "doc", "label", (F.col("label") == F.col("lead")).alias("lead"), *others]
+    right = rows.select(*fields, F.lit(False).alias("left"), own("n").alias("i"), all_of("k").alias("j"))
+    left = rows.where("label <> lead").select(*fields, F.lit(True).alias("left"), all_of("n").alias("i"), own("k").alias("j"))
+    both = right.union(left)
+    return both.select(F.xxhash64("band", "i", "j").alias("cell"), *[c for c in both.columns if c not in ("i", "j")])
+
+
+def _cross_pairs(banded: DataFrame, labels: DataFrame, signed: DataFrame) -> DataFrame:
     """Pairs (a < b) of one bucket in different components whose estimate may be a link."""
-    rows = banded.join(buckets.select("band", "n"), "band").join(labels, F.col("doc") == F.col("node"), "left")
-    rows = rows.select("band", "n", "doc", F.coalesce("label", "doc").alias("label"))
-    mixed = rows.groupBy("band").agg(F.min("label").alias("l"), F.max("label").alias("h")).where("l < h").select("band")
-    rows = rows.join(mixed, "band")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("long")
-    rows = rows.select("band", "doc", "label", blocks.alias("m")).withColumn("i", F.pmod(F.xxhash64("doc", "band"), F.col("m")))
-    # A member of block i is needed by the pairs of blocks (i, j) and (j, i), each once.
-    rows = rows.withColumn("j", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    cell = F.xxhash64("band", F.least("i", "j"), F.greatest("i", "j"))
-    rows = rows.select(cell.alias("cell"), "band", "doc", "label", (F.col("i") <= F.col("j")).alias("left"), (F.col("i") == F.col("j")).alias("same"))
-    rows = rows.join(signed.select(F.col("doc_id").alias("doc"), "planes", "bands", "small"), "doc")
-    dealt = rows.repartition("cell").sortWithinPartitions("cell")
+    rows = _strays(banded, labels).join(signed.select(F.col("doc_id").alias("doc"), "planes", "bands", "small"), "doc")
+    dealt = _cells(rows, "planes", "bands", "small").repartition("cell").sortWithinPartitions("cell")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in runs(batches, "cell"):
@@ -231,20 +251,20 @@ def _alike(part: pa.Table, band: int) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of one cell: of other components, alike enough, and with no common band
     before this one (which has them already)."""
     docs, labels = part.column("doc").to_numpy(), part.column("label").to_numpy()
-    left, same = part.column("left").to_numpy(zero_copy_only=False), part.column("same").to_numpy(zero_copy_only=False)
+    left, lead = (part.column(c).to_numpy(zero_copy_only=False) for c in ("left", "lead"))
     planes = part.column("planes").combine_chunks().flatten().to_numpy().reshape(len(docs), -1).view(np.uint64)
     bands = part.column("bands").combine_chunks().flatten().to_numpy().reshape(len(docs), -1)
     n = part.column("small").combine_chunks().value_lengths().fill_null(0).to_numpy()
     small = np.zeros((len(docs), SMALL), np.int64)
     small[np.arange(SMALL) < n[:, None]] = part.column("small").combine_chunks().flatten().to_numpy()
     x = np.flatnonzero(left)
-    y = np.flatnonzero(~left | same)
+    y = np.flatnonzero(~left)
     out_a, out_b = [], []
     for i in range(0, len(x), 128):
         rows = x[i : i + 128]
         pair = labels[rows][:, None] != labels[y][None, :]
-        if same.any():
-            pair &= docs[rows][:, None] < docs[y][None, :]
+        # Two strays meet twice, each of them once on the left.
+        pair &= lead[y][None, :] | (docs[rows][:, None] < docs[y][None, :])
         p, q = np.nonzero(pair)
         for k in range(0, len(p), 1 << 15):
             r, s = rows[p[k : k + (1 << 15)]], y[q[k : k + (1 << 15)]]
@@ -289,20 +309,20 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     placed = keyed_join(signed.select("doc_id", "n_shingles", "set_key"), classes, ["set_key"], most=MOST)
     placed = placed.select("doc_id", "n_shingles", F.when(F.col("set_key").isNotNull(), F.coalesce("rep", "doc_id")).otherwise(F.col("doc_id")).alias("rep"))
     heads = keyed_join(named, classes, ["set_key"], most=MOST).where("rep IS NULL OR rep = doc_id").dropDuplicates(["doc_id"])
-    heads = heads.select("doc_id", "planes", "bands", "small")
+    heads = materialize(heads.select("doc_id", "planes", "bands", "small"), "heads")
     banded = heads.select(F.explode("bands").alias("band"), F.col("doc_id").alias("doc"))
     pick = F.min_by("doc", F.xxhash64("doc", "band"))
     buckets = banded.groupBy("band").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), pick.alias("any"), F.count(F.lit(1)).alias("n"))
     buckets = materialize(buckets.where("low < high"), "buckets")
-    if buckets.count() <= MOST:
-        buckets = F.broadcast(buckets)
-    banded = materialize(banded.join(buckets.select("band"), "band", "left_semi"), "banded")
-    near = materialize(_estimated(_hub_pairs(banded, buckets), heads), "near")
+    met = banded.join(F.broadcast(buckets.select("band")) if buckets.count() <= MOST else buckets.select("band"), "band", "left_semi")
+    banded = materialize(met, "banded")
+    hubs = materialize(_hub_pairs(banded, buckets), "hub-pairs")
+    near = materialize(_estimated(hubs, heads), "near", replaces=[hubs])
     tried = materialize(_best(near), "tried")
     sets = materialize(shingle_sets(docs, materialize(_ends(near), "ends")).dropDuplicates(["doc"]), "sets")
     links = materialize(confirm(tried, sets), "links")
     labels = materialize(components(links), "labels")
-    more = materialize(_cross_pairs(banded, buckets, labels, heads).join(tried, ["a", "b"], "left_anti"), "cross")
+    more = materialize(_cross_pairs(banded, labels, heads).join(tried, ["a", "b"], "left_anti"), "cross")
     own = materialize(_ends(more).join(sets.select("doc"), "doc", "left_anti"), "ends")
     sets = sets.unionByName(materialize(shingle_sets(docs, own).dropDuplicates(["doc"]), "sets"))
     late = materialize(confirm(more, sets), "late")

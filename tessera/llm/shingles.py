@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from functools import cache
 
 import numpy as np
@@ -11,7 +12,9 @@ from tessera.llm.common import kept_store
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _BASE = 0x9E3779B97F4A7C15 | 1
-_MASK = (1 << 64) - 1
+#: Words of more bytes are hashed one by one: polynomials of whole words of a thousand
+#: bytes or more can be made to collide.
+_LONG = 256
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -47,7 +50,11 @@ def word_hashes(text: bytes) -> np.ndarray:
     total[0] = 0
     np.cumsum((b + np.uint64(1)) * up[: len(b)], out=total[1:])
     h = (total[end] - total[start]) * down[start]
-    return mix(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    h = mix(h + (end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93))
+    for i in np.flatnonzero(end - start > _LONG).tolist():
+        word = b[start[i] : end[i]].tobytes()
+        h[i] = int.from_bytes(hashlib.blake2b(word, digest_size=8, key=b"long word").digest(), "little")
+    return h
 
 
 def shingle_set(text: bytes, words: int = 5) -> np.ndarray:

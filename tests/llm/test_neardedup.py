@@ -5,6 +5,7 @@ import re
 
 import numpy as np
 
+from tessera.llm import common
 from tessera.llm import neardedup as nd
 from tessera.llm.components import components
 from tessera.llm.shingles import shingle_set, word_hashes
@@ -64,11 +65,51 @@ def test_components_equal_brute_force(spark):
 def test_small_blocks_lose_nothing(spark, monkeypatch):
     monkeypatch.setattr(nd, "BLOCK", 7)
     monkeypatch.setattr(nd, "MOST", 5)  # joins instead of broadcasts
+    monkeypatch.setattr(common, "HOT_ROWS", 3)
     docs = data.documents(spark, corpus())
     rows = nd.near_duplicates(docs).collect()
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in rows} == brute([(r.doc_id, r.text) for r in docs.collect()])
 
 
+def test_a_stray_among_many_copies_costs_rows_in_proportion(spark):
+    n = 20_000
+    banded = spark.range(n + 1).selectExpr("7L AS band", "id AS doc").union(spark.range(3).selectExpr("8L AS band", "id AS doc"))
+    labels = spark.range(n).selectExpr("id AS node", "0L AS label")
+    rows = nd._strays(banded, labels)
+    assert rows.count() == n + 1 and rows.where("label <> lead").count() == 1  # bucket 8 is one component
+    dealt = nd._cells(rows)
+    assert dealt.count() <= 1.01 * n + 2 * n / nd.BLOCK
+    # The stray meets every member once.
+    met = dealt.where("left").select("cell").join(dealt.where("NOT left AND lead"), "cell")
+    assert met.count() == met.select("doc").distinct().count() == n
+
+
+def test_strays_meet_each_other(spark, monkeypatch):
+    monkeypatch.setattr(nd, "BLOCK", 4)
+    banded = spark.range(40).selectExpr("7L AS band", "id AS doc")
+    labels = spark.range(10).selectExpr("id AS node", "0L AS label")
+    dealt = nd._cells(nd._strays(banded, labels))
+    x = dealt.where("left").selectExpr("cell", "doc AS x")
+    pairs = {(r.x, r.doc) for r in x.join(dealt.where("NOT left"), "cell").collect()}
+    assert pairs == {(a, b) for a in range(10, 40) for b in range(40)}
+
+
+def test_hot_joins(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 10)
+    rows = common.materialize(spark.range(3000).selectExpr("IF(id % 3 = 0, -1, id) AS k", "id"), "rows")
+    params = spark.range(-1, 2000).selectExpr("id AS k", "id * 2 AS v")
+    got = common.hot_join(rows, params, "k", share=0.1)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.join(params, "k").collect()))
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().toString()
+
+
+def test_long_words_dont_collide():
+    a, b = bytearray(b"a"), bytearray(b"b")
+    for _ in range(11):  # Thue-Morse words: equal for every polynomial modulo 2**64
+        a, b = a + b, b + a
+    assert word_hashes(bytes(a))[0] != word_hashes(bytes(b))[0]
+
+
 def test_odd_tables(spark):
     docs = data.documents(spark, [None, "", " \n", "one two three four five six", "one two three four five six"])
     rows = {r.doc_id: r for r in nd.near_duplicates(docs.union(docs)).collect()}
