@@ -1,18 +1,22 @@
 """Op 2, toxicity: maximum-scoring segments of token log-odds.
 
-Learning (labelled rows only, at most `most_labelled` of them, those with the smallest
-hashes): tokens are the word beginnings of 4 to 8 characters (short words whole), so that
-inflected words share their stem's evidence. Each gets the log-odds of its rate in toxic
-against other documents under a Dirichlet prior centred on the corpus frequency, moved
-towards 0 by SURE standard errors of its document counts, so that tokens without evidence
-score nothing. A word scores as its strongest beginning; words without one share one
-slightly negative score, the log-odds of their total rate.
+Learning (labelled rows only, at most `most_labelled` ids of them, those with the smallest
+hashes): tokens are whole words and their beginnings of 4 to 8 characters, so that inflected
+words share their stem's evidence. Each gets the log-odds of its rate in toxic against other
+documents under a Dirichlet prior centred on the corpus frequency, moved towards 0 by SURE
+standard errors of its document counts, so that tokens without evidence score nothing. A
+word scores as its strongest token; words without one share one slightly negative score,
+the log-odds of their total rate. Words come in bursts, so of one word USES uses count
+within REACH tokens, wherever in a text these are.
 
 Scoring: one linear pass finds all maximal scoring segments of a text. With the scale
 lambda at which the clean token distribution's expected exp(lambda * score) is 1, a
 segment of score S in n tokens has E = n exp(-lambda S) and extreme-value probability
-1 - exp(-E). The document's evidence is -log10 of its best segment's probability, and a
-logistic curve, fitted on the labelled rows, turns it into a score.
+1 - exp(-E). Several segments are aggregated by the statistics of their sum: the best r
+have T = sum(lambda S - ln n) and probability exp(-T) T^(r-1) / (r! (r-1)!), times 2^r for
+the choice of r. The document's evidence is -log10 of the least of these, and a logistic
+curve turns it into a score. The curve is fitted on evidence that each half of the
+labelled rows gets from the other half's table.
 """
 
 from __future__ import annotations
@@ -29,14 +33,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.common import lean, materialize, small_batches
+from tessera.llm.shingles import mix, shingle_set
 
-PRIOR_DOCS, SURE, MIN_DOCS, MOST_TOKENS = 50.0, 3.0, 3, 50_000
-MOST_LABELLED = 20_000
+PRIOR_DOCS, SURE, MIN_DOCS = 50.0, 3.0, 3
+#: Labelled documents that are learned from, and entries of the table (some 30 MB, the
+#: strongest; 20,000 documents have given under 1,000) that is broadcast.
+MOST_LABELLED, MOST_TOKENS = 20_000, 300_000
 #: Of one word so many uses count within REACH tokens: words come in bursts.
 USES, REACH = 2, 50
 BEGINNINGS = range(4, 9)
 SIGNIFICANT = 0.05
-MOST_EVIDENCE = 3.0
 _MARKS = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _FOLD = bytes.maketrans(bytes(range(65, 91)) + _MARKS, bytes(range(97, 123)) + b" " * len(_MARKS))
 
@@ -47,7 +53,8 @@ def tokens(text: bytes) -> list[str]:
 
 
 def beginnings(word: str) -> set[str]:
-    return {word[:k] for k in BEGINNINGS}
+    """The tokens of a word: its beginnings and itself."""
+    return {word, *[word[:k] for k in BEGINNINGS]}
 
 
 def counted(words: Sequence[str], at: Iterable[int]) -> list[int]:
@@ -120,6 +127,7 @@ class Model:
 
     @cached_property
     def gate(self) -> frozenset[str]:
+        """The first letters of all tokens: most words need no look at the table."""
         return frozenset(t[: BEGINNINGS[0]] for t in self.table)
 
     def items(self, words: Sequence[str]) -> list[tuple[int, float]]:
@@ -132,30 +140,49 @@ class Model:
                 out.append((i, max(found, key=lambda s: (abs(s), s))))
         return out
 
+    def chance(self, score: float, n: int) -> float:
+        """Extreme-value probability of a segment of a score in n clean tokens."""
+        return -math.expm1(-n * math.exp(-self.scale * score))
+
+    def evidence(self, scores: Sequence[float], n: int) -> float:
+        """-log10 of the probability of the best segments' sum, for the best number of them."""
+        if not scores:
+            return 0.0
+        ordered = sorted(scores, reverse=True)
+        least = max(math.log(self.chance(ordered[0], n) or 1e-300), -690.0)
+        total = 0.0
+        for r, s in enumerate(ordered, 1):
+            own = self.scale * s - math.log(n)
+            if own <= 0:  # of no segment that clean text has by chance
+                break
+            total += own
+            if r > 1:
+                least = min(least, r * math.log(2) - total + (r - 1) * math.log(total) - math.lgamma(r + 1) - math.lgamma(r))
+        return -least / math.log(10)
+
     def scan(self, text: bytes) -> tuple[float, int, int, float]:
         """Evidence, number of significant segments, their tokens, and the best score."""
         words = tokens(text)
         found = segments(self.items(words), self.rest)
         if not found:
             return 0.0, 0, 0, 0.0
-        n = len(words)
-        p = [-math.expm1(-n * math.exp(-self.scale * s)) for _, _, s in found]
-        good = [f for f, x in zip(found, p, strict=True) if x <= SIGNIFICANT]
-        best = max(s for _, _, s in found)
-        evidence = -math.log10(max(min(p), 1e-300))
-        return evidence, len(good), sum(b - a for a, b, _ in good), best
+        good = [(a, b) for a, b, s in found if self.chance(s, len(words)) <= SIGNIFICANT]
+        scores = [s for _, _, s in found]
+        return self.evidence(scores, len(words)), len(good), sum(b - a for a, b in good), max(scores)
 
     def score(self, evidence: np.ndarray) -> np.ndarray:
-        return 1.0 / (1.0 + np.exp(-(self.intercept + self.slope * np.minimum(evidence, MOST_EVIDENCE))))
+        return 1.0 / (1.0 + np.exp(-(self.intercept + self.slope * np.log1p(evidence))))
 
 
-def fit_curve(evidence: np.ndarray, label: np.ndarray, steps: int = 100) -> tuple[float, float]:
-    """Intercept and slope of a logistic curve, by Newton's method with a weak ridge."""
-    x = np.column_stack([np.ones(len(evidence)), np.minimum(evidence, MOST_EVIDENCE)])
+def fit_curve(evidence: np.ndarray, label: np.ndarray, weight: np.ndarray | None = None, steps: int = 100) -> tuple[float, float]:
+    """Intercept and slope of a logistic curve of log(1 + evidence), by Newton's method
+    with a weak ridge."""
+    x = np.column_stack([np.ones(len(evidence)), np.log1p(evidence)])
+    n = np.ones(len(evidence)) if weight is None else weight
     w, ridge = np.zeros(2), np.diag([1e-3, 0.1])
     for _ in range(steps):
         p = 1 / (1 + np.exp(-x @ w))
-        step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + ridge, x.T @ (label - p) - ridge @ w)
+        step = np.linalg.solve((x * (n * p * (1 - p))[:, None]).T @ x + ridge, x.T @ (n * (label - p)) - ridge @ w)
         size = np.abs(step).max()
         w += step * min(1.0, 2.0 / max(size, 1e-9))
         if size < 1e-8:
@@ -164,26 +191,43 @@ def fit_curve(evidence: np.ndarray, label: np.ndarray, steps: int = 100) -> tupl
 
 
 def labelled(docs: DataFrame, labels: DataFrame, most: int, folds: int) -> DataFrame:
-    """(text, toxic) of at most `most` labelled rows that aren't held out."""
+    """__id, t, toxic and half (0 or 1) of at most `most` labelled ids that aren't held
+    out, one row each: of an id's texts the least. Copies would count as evidence again
+    and again, so of texts with the same least shingle hash the least id stays."""
     own = labels.where(F.col("toxic").isNotNull() & F.col("doc_id").isNotNull() & ~held_out(folds))
     own = own.groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max("toxic").alias("toxic"))
     own = own.orderBy(F.xxhash64("__id"), "__id").limit(most)  # so many rows are broadcast
-    return docs.select(F.col("doc_id").cast("long").alias("__id"), F.coalesce("text", F.lit("")).cast("binary").alias("t")).join(F.broadcast(own), "__id").select("__id", "t", "toxic")
+    texts = docs.select(F.col("doc_id").cast("long").alias("__id"), F.coalesce("text", F.lit("")).cast("binary").alias("t")).join(F.broadcast(own), "__id")
+    texts = texts.groupBy("__id", "toxic").agg(F.min("t").alias("t"))
+
+    def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t) for t in batch.column("t").to_pylist()]
+            least = pa.array([mix(s).min().view(np.int64) if len(s) else None for s in sets], pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, least], [*batch.schema.names, "least"])
+
+    alike = texts.select("__id", F.col("toxic").cast("int").alias("toxic"), "t").mapInArrow(lean("toxicity", sketch), "__id long, toxic int, t binary, least long")
+    alike = alike.groupBy(F.coalesce("least", "__id").alias("k"), F.col("least").isNull().alias("none")).agg(F.min_by(F.struct("__id", "t", "toxic"), "__id").alias("r"))
+    return alike.select("r.*").withColumn("half", F.pmod(F.xxhash64("__id"), F.lit(2)).cast("int"))
+
+
+_COUNTS = "token string, half int, d1 long, d0 long, t1 long, t0 long"
 
 
 def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For each token of a task's rows: toxic and other documents, toxic and other uses."""
+    """For each token and half of a task's rows: toxic and other documents, toxic and other uses."""
     most = 300_000
-    found: dict[str, list[int]] = defaultdict(lambda: [0, 0, 0, 0])
+    found: dict[tuple[str, int], list[int]] = defaultdict(lambda: [0, 0, 0, 0])
 
     def out() -> pa.RecordBatch:
         columns = [pa.array([v[k] for v in found.values()], pa.int64()) for k in range(4)]
-        batch = pa.RecordBatch.from_arrays([pa.array(found.keys(), pa.string()), *columns], ["token", "d1", "d0", "t1", "t0"])
+        names = [pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.int32())]
+        batch = pa.RecordBatch.from_arrays([*names, *columns], [x.split()[0] for x in _COUNTS.split(", ")])
         found.clear()
         return batch
 
     for batch in batches:
-        for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+        for text, toxic, half in zip(*(c.to_pylist() for c in batch.columns), strict=True):
             k = 0 if toxic else 1
             words = tokens(text)
             uses = Counter(words[i] for i in counted(words, range(len(words))))
@@ -193,7 +237,7 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     own[b] += n
             own[""] = uses.total()  # documents and uses in all
             for b, n in own.items():
-                row = found[b]
+                row = found[b, half]
                 row[k] += 1
                 row[2 + k] += n
             if len(found) > most:
@@ -202,17 +246,14 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield out()
 
 
-def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, folds: int = 5) -> Model:
-    """The model of the labelled rows outside fold 0; without toxic or without other rows
-    a table that scores every text alike."""
-    rows = materialize(labelled(docs, labels, most, folds), "labelled")
-    counts = rows.select("t", "toxic").mapInArrow(lean("toxicity", _counts), "token string, d1 long, d0 long, t1 long, t0 long")
-    counts = counts.groupBy("token").agg(*[F.sum(c).alias(c) for c in ("d1", "d0", "t1", "t0")])
-    counts = materialize(counts.where((F.col("d1") + F.col("d0") >= MIN_DOCS) | (F.col("token") == "")), "tokens")
-    whole = counts.where("token = ''").collect()
-    if not whole or not whole[0].d1 or not whole[0].d0:
-        return Model({})
-    d1, d0, t1, t0 = (whole[0][c] for c in ("d1", "d0", "t1", "t0"))
+_FOUR = ("d1", "d0", "t1", "t0")
+
+
+def _table(counts: DataFrame, whole: tuple[int, int, int, int]) -> dict[str, float]:
+    """The scores of the tokens of counts (token, d1, d0, t1, t0), of whole documents and uses."""
+    d1, d0, t1, t0 = whole
+    if not d1 or not d0:
+        return {}
     share = (F.col("d1") + F.col("d0")) / (d1 + d0)
     # The prior's weight in uses is what its documents hold on average.
     weight = PRIOR_DOCS * (t1 + t0) / (d1 + d0)
@@ -220,39 +261,69 @@ def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, folds:
     odds = F.log((F.col("t1") + uses) / (t1 + weight)) - F.log((F.col("t0") + uses) / (t0 + weight))
     error = F.sqrt(1 / (F.col("d1") + PRIOR_DOCS * share) + 1 / (F.col("d0") + PRIOR_DOCS * share))
     sure = F.signum(odds) * F.greatest(F.abs(odds) - SURE * error, F.lit(0.0))
-    table = counts.where("token <> ''").select("token", sure.alias("s")).where("s <> 0")
-    model = Model({r.token: r.s for r in table.orderBy(F.desc(F.abs("s")), "token").limit(MOST_TOKENS).collect()})
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    some = counts.where((F.col("token") != "") & (F.col("d1") + F.col("d0") >= MIN_DOCS))
+    some = some.select("token", sure.alias("s")).where("s <> 0")
+    return {r.token: r.s for r in some.orderBy(F.desc(F.abs("s")), "token").limit(MOST_TOKENS).collect()}
 
-    def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found: Counter[tuple[float, int]] = Counter()
-        for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                found.update((s, 1 if toxic else 0) for _, s in held.value.items(tokens(text)))
-        yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in found], pa.float64()), pa.array([k[1] for k in found], pa.int64()), pa.array(found.values(), pa.int64())], ["s", "toxic", "n"])
 
-    rates = rows.select("t", "toxic").mapInArrow(lean("toxicity", used), "s double, toxic long, n long").groupBy("s", "toxic").agg(F.sum("n").alias("n")).collect()
-    toxic, clean = ({r.s: r.n for r in rates if r.toxic == k} for k in (1, 0))
+def _calibrate(model: Model, toxic: dict[float, int], clean: dict[float, int], t1: int, t0: int) -> None:
+    """Sets the score of other words and lambda from the uses of each score in toxic and
+    clean texts (t1 and t0 uses in all)."""
     # A clean rate is at least what the prior leaves for a token never met in clean text.
     low = [(max(clean.get(s, 0), 0.05) / max(t0, 1), s) for s in sorted({*toxic, *clean})]
     high = sum(n for s, n in toxic.items() if s > 0) / max(t1, 1)
     rest = math.log1p(-min(high, 0.9)) - math.log1p(-min(sum(r for r, s in low if s > 0), 0.9))
     model.rest = min(rest, -1e-3)
     model.scale = scale(low, model.rest)
-    scored = rows.select("__id", "t", F.col("toxic").cast("double")).mapInArrow(lean("toxicity", _evidence(rows, model)), "label double, evidence double").toPandas()
-    model.intercept, model.slope = fit_curve(scored["evidence"].to_numpy(), scored["label"].to_numpy())
-    return model
 
 
-def _evidence(rows: DataFrame, model: Model):
-    held = rows.sparkSession.sparkContext.broadcast(model)
+def learn(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED, folds: int = 5) -> Model:
+    """The model of the labelled rows outside fold 0; without toxic or without other rows
+    a table that scores every text alike."""
+    rows = materialize(labelled(docs, labels, most, folds), "labelled")
+    counts = rows.select("t", "toxic", "half").mapInArrow(lean("toxicity", _counts), _COUNTS)
+    counts = materialize(counts.groupBy("token", "half").agg(*[F.sum(c).alias(c) for c in _FOUR]), "tokens")
+    halves = [counts.where(F.col("half") == h) for h in (0, 1)]
+    both = counts.groupBy("token").agg(*[F.sum(c).alias(c) for c in _FOUR])
+    whole = {r.half: tuple(r[c] for c in _FOUR) for r in counts.where("token = ''").collect()}
+    whole = [whole.get(h, (0, 0, 0, 0)) for h in (0, 1)]
+    whole.append(tuple(map(sum, zip(*whole, strict=True))))
+    if not whole[2][0] or not whole[2][1]:
+        return Model({})
+    # Numbers 0 and 1: learned from one half; 2: from both.
+    models = [Model(_table(c, w)) for c, w in zip([*halves, both], whole, strict=True)]
+    spark = docs.sparkSession
+    held = spark.sparkContext.broadcast([m.table for m in models])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def used(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = [Model(t) for t in held.value]
+        found: Counter[tuple[int, float, int]] = Counter()
+        for batch in batches:
+            for text, toxic, half in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                words = tokens(text)
+                for k in (half, 2):
+                    found.update((k, s, 1 if toxic else 0) for _, s in own[k].items(words))
+        columns = [pa.array([x[i] for x in found], kind) for i, kind in enumerate((pa.int32(), pa.float64(), pa.int32()))]
+        yield pa.RecordBatch.from_arrays([*columns, pa.array(found.values(), pa.int64())], ["model", "s", "toxic", "n"])
+
+    rates = rows.select("t", "toxic", "half").mapInArrow(lean("toxicity", used), "model int, s double, toxic int, n long")
+    rates = rates.groupBy("model", "s", "toxic").agg(F.sum("n").alias("n")).collect()  # scores of tables at most
+    for k, model in enumerate(models):
+        toxic, clean = ({r.s: r.n for r in rates if r.model == k and r.toxic == x} for x in (1, 0))
+        _calibrate(model, toxic, clean, whole[k][2], whole[k][3])
+    final = models[2]
+    told = spark.sparkContext.broadcast(models)
+
+    def judged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            evidence = [held.value.scan(t)[0] for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column(2), pa.array(evidence, pa.float64())], ["label", "evidence"])
+            evidence = [told.value[1 - half].scan(t)[0] for t, half in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(evidence, pa.float64())], ["label", "evidence"])
 
-    return run
+    scored = rows.select("t", F.col("toxic").cast("double"), "half").mapInArrow(lean("toxicity", judged), "label double, evidence double")
+    # Evidence is under 300, so that the groups are few.
+    bins = scored.groupBy("label", F.round("evidence", 2).alias("e")).agg(F.count(F.lit(1)).alias("n")).orderBy("e", "label").collect()
+    final.intercept, final.slope = fit_curve(*(np.array([r[c] for r in bins], float) for c in ("e", "label", "n")))
+    return final
 
 
 SCHEMA = "doc_id long, score double, n_segments long, toxic_tokens long, best_segment double"
@@ -263,8 +334,9 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED
     and best score of significant segments, one row for each row of docs.
 
     Null and empty texts have no evidence and get the curve's value there. Rows that share
-    an id are scored each; a null id is never held out; labels may lack or repeat ids (the
-    largest label counts). Empty tables give no rows; documents' other columns are not
+    an id are scored each, and one of them is learned from; a null id is never held out;
+    labels may lack or repeat ids (the largest label counts). Without labels of both kinds
+    all texts score alike. Empty tables give no rows; documents' other columns are not
     read."""
     small_batches(docs)
     model = docs.sparkSession.sparkContext.broadcast(learn(docs, labels, most, folds))
@@ -287,5 +359,4 @@ def score_toxicity(docs: DataFrame, labels: DataFrame, most: int = MOST_LABELLED
 def passages(text: str, model: Model) -> list[tuple[int, int, float]]:
     """Significant toxic passages of a text as (first token, end token, score)."""
     words = tokens(text.encode())
-    n = len(words)
-    return [f for f in segments(model.items(words), model.rest) if -math.expm1(-n * math.exp(-model.scale * f[2])) <= SIGNIFICANT]
+    return [f for f in segments(model.items(words), model.rest) if model.chance(f[2], len(words)) <= SIGNIFICANT]

@@ -85,12 +85,118 @@ def test_odd_tables(spark):
     assert tox.score_toxicity(docs.limit(0), labels).count() == 0
     rows = tox.score_toxicity(docs, labels.limit(0)).collect()
     assert len({r.score for r in rows}) == 1
-    model = tox.Model({"vile": 3.0}, -0.01, 2.0)
-    assert [p[:2] for p in tox.passages("a vile b " + "c " * 500 + "vile vile", model)] == [(1, 2), (503, 504)] or tox.passages("a vile b", model)
+    model = tox.Model({"vile": 3.0}, -0.01, 4.0)
+    assert [p[:2] for p in tox.passages("a vile b " + "c " * 500 + "vile vile", model)] == [(1, 2), (503, 505)]
+    assert tox.passages("a b", model) == [] and model.scan(b"") == (0.0, 0, 0, 0.0)
+    long = "c " * 300_000 + "vile vile " + "c " * 300_000
+    assert [p[:2] for p in tox.passages(long, model)] == [(300_000, 300_002)]
     curve = tox.fit_curve(np.array([0.0] * 50 + [2.0] * 50), np.array([0.0] * 49 + [1.0] + [1.0] * 49 + [0.0]))
     assert curve[0] < 0 < curve[1]
 
 
+def brute_counts(rows):
+    """token: toxic and other documents, toxic and other uses; and the same of all."""
+    found, whole = {}, [0, 0, 0, 0]
+    for r in rows:
+        words = tox.tokens(bytes(r.t))
+        met, k = {}, 0 if r.toxic else 1
+        for i, w in enumerate(words):
+            if sum(words[j] == w and counts for j, counts in met.items() if j >= i - tox.REACH) < tox.USES:
+                met[i] = True
+                for b in {w, w[:4], w[:5], w[:6], w[:7], w[:8]}:
+                    row = found.setdefault(b, [set(), set(), 0, 0])
+                    row[k].add(r[0])
+                    row[2 + k] += 1
+        whole[k] += 1
+        whole[2 + k] += len(met)
+    return {b: (len(x), len(y), m, n) for b, (x, y, m, n) in found.items()}, whole
+
+
+def brute_model(rows):
+    found, (d1, d0, t1, t0) = brute_counts(rows)
+    table = {}
+    for b, (x, y, m, n) in found.items():
+        share, prior = (x + y) / (d1 + d0), 50 * (t1 + t0) / (d1 + d0)
+        own = prior * (m + n) / (t1 + t0)
+        odds = math.log((m + own) / (t1 + prior)) - math.log((n + own) / (t0 + prior))
+        sure = abs(odds) - 3 * math.sqrt(1 / (x + 50 * share) + 1 / (y + 50 * share))
+        if x + y >= 3 and sure > 0:
+            table[b] = math.copysign(sure, odds)
+    uses = {}
+    for r in rows:
+        for _, s in tox.Model(table).items(tox.tokens(bytes(r.t))):
+            uses.setdefault(s, [0, 0])[0 if r.toxic else 1] += 1
+    high = sum(m for s, (m, _) in uses.items() if s > 0) / t1
+    low = sum(max(n, 0.05) for s, (_, n) in uses.items() if s > 0) / t0
+    rest = min(math.log(1 - high) - math.log(1 - low), -1e-3)
+    return tox.Model(table, rest, tox.scale([(max(n, 0.05) / t0, s) for s, (_, n) in sorted(uses.items())], rest))
+
+
+def brute_evidence(model, text):
+    words = tox.tokens(text)
+    scores = [model.rest] * len(words)
+    for i, s in model.items(words):
+        scores[i] = s
+    sums = sorted((sum(scores[a:b]) for a, b in best_by_all_pairs(scores)), reverse=True)
+    if not sums:
+        return 0.0
+    n, lam = len(words), model.scale
+    ps = [1 - math.exp(-n * math.exp(-lam * sums[0]))]
+    for r in range(2, len(sums) + 1):
+        if lam * sums[r - 1] <= math.log(n):
+            break
+        t = sum(lam * s - math.log(n) for s in sums[:r])
+        ps.append(2**r * math.exp(-t) * t ** (r - 1) / (math.factorial(r) * math.factorial(r - 1)))
+    return -math.log10(min(ps))
+
+
+def test_the_model_equals_brute_force(spark):
+    docs, labels = corpus(spark, 300)
+    rows = tox.labelled(docs, labels, tox.MOST_LABELLED, 5).collect()
+    model = tox.learn(docs, labels)
+    want = brute_model(rows)
+    assert model.table.keys() == want.table.keys() and model.table and all(abs(model.table[k] - want.table[k]) < 1e-9 for k in want.table)
+    assert abs(model.rest - want.rest) < 1e-9 and abs(model.scale - want.scale) < 1e-6
+    halves = [brute_model([r for r in rows if r.half == h]) for h in (0, 1)]
+    evidence = [halves[1 - r.half].scan(bytes(r.t))[0] for r in rows]
+    curve = tox.fit_curve(np.round(evidence, 2), np.array([float(r.toxic) for r in rows]))
+    assert np.allclose(curve, (model.intercept, model.slope), atol=1e-6)
+    scored = {r.doc_id: r.score for r in tox.score_toxicity(docs, labels).collect()}
+    some = [r for r in docs.where("doc_id < 300").collect() if len(r.text) < 450][:25]
+    assert len(some) > 10
+    for r in some:
+        e = brute_evidence(want, r.text.encode())
+        assert abs(scored[r.doc_id] - 1 / (1 + math.exp(-curve[0] - curve[1] * math.log1p(e)))) < 1e-6
+
+
+def test_more_passages_are_more_evidence():
+    model = tox.Model({"vile": 3.0, "wretch": 3.0}, -0.05, 2.0)
+    clean = "c " * 400
+    one, two = ((clean + "vile wretch ") * k + clean for k in (1, 2))
+    assert model.scan(two.encode())[0] > model.scan(one.encode())[0] + 0.5
+    long = tox.Model({"abcdefghijk": 3.0}, -0.05, 2.0)  # letters past the eighth count
+    assert long.scan(b"x abcdefghijk y")[0] > 0 and long.scan(b"x abcdefghixx y")[0] == 0
+
+
+def test_labelled_rows(spark):
+    docs, labels = corpus(spark, 300)
+    copies = docs.where("doc_id < 40").selectExpr("doc_id + 100000 AS doc_id", "concat(text, ' too') AS text")
+    again = labels.where("doc_id < 40").selectExpr("doc_id + 100000 AS doc_id", "quality", "toxic")
+    own = {r["__id"] for r in tox.labelled(docs, labels, 10**6, 5).collect()}
+    more = tox.labelled(docs.union(docs).union(copies), labels.union(again), 10**6, 5).collect()
+    assert own == {i for i in range(300) if zlib.crc32(str(i).encode()) % 5}
+    assert len([r for r in more if r["__id"] >= 100000]) <= 12  # held-out originals' and those cut anew
+    assert own == {r["__id"] for r in more if r["__id"] < 100000} and len(more) == len({r["__id"] for r in more})
+    assert tox.labelled(docs, labels, 50, 5).count() <= 50
+
+
+def test_repeated_rows_change_nothing(spark):
+    docs, labels = corpus(spark, 200)
+    a = {r.doc_id: r.score for r in tox.score_toxicity(docs, labels).collect()}
+    rows = tox.score_toxicity(docs.union(docs).union(docs), labels.union(labels)).collect()
+    assert len(rows) == 3 * docs.count() and all(abs(a[r.doc_id] - r.score) < 1e-12 for r in rows)
+
+
 def test_later_passages_repeat_earlier_words():
     model = tox.Model({"vile": 3.0, "wretch": 3.0, "knave": 3.0}, -0.05, 2.0)
     passage, clean = "vile wretch knave ", "c " * 500
