@@ -8,8 +8,9 @@ from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.functions import ArrowUDFType, arrow_udf
 
 #: ASCII white space, the only characters that separate words: [\x20\x09-\x0D].
 SPACES = b" \t\n\x0b\x0c\r"
@@ -79,7 +80,7 @@ def keyed_join(
     repeated once per salt and the rows of one key are dealt over the salts, so
     that a key with a third of all rows doesn't end in one task."""
     n = params.count() if known is None else known
-    names = [f"__{k}" for k in keys]
+    names = [free_name(rows, f"__{k}") for k in keys]
     right = params.select(
         *[F.col(k).alias(a) for k, a in zip(keys, names, strict=True)],
         *[c for c in params.columns if c not in keys],
@@ -87,11 +88,20 @@ def keyed_join(
     on = [F.col(k).eqNullSafe(F.col(a)) for k, a in zip(keys, names, strict=True)]
     if n <= most:
         return rows.join(F.broadcast(right), on, "left").drop(*names)
-    hashed = [c for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
-    left = rows.withColumn("__salt", F.pmod(F.xxhash64(*hashed) if hashed else F.lit(0), F.lit(salts)).cast("int"))
-    right = right.withColumn("__salt_r", F.explode(F.array(*[F.lit(i) for i in range(salts)])))
-    on.append(F.col("__salt") == F.col("__salt_r"))
-    return left.join(right, on, "left").drop(*names, "__salt", "__salt_r")
+    hashed = [_quoted(c) for c, kind in rows.dtypes if "map<" not in kind and "variant" not in kind]
+    salt, other = free_name(rows, "__salt"), free_name(rows, "__salt_r")
+    left = rows.withColumn(salt, F.pmod(F.xxhash64(*hashed) if hashed else F.lit(0), F.lit(salts)).cast("int"))
+    right = right.withColumn(other, F.explode(F.array(*[F.lit(i) for i in range(salts)])))
+    on.append(F.col(salt) == F.col(other))
+    return left.join(right, on, "left").drop(*names, salt, other)
+
+
+def without(rows: DataFrame, gone: DataFrame, key: str, *, most: int = 50_000) -> DataFrame:
+    """rows whose key isn't among the distinct keys of gone (one column); a null key stays.
+    All columns of rows pass through, whatever their names."""
+    mark = free_name(rows, "__gone")
+    marked = keyed_join(rows, gone.withColumn(mark, F.lit(True)), [key], most=most)
+    return marked.where(F.col(mark).isNull()).drop(mark)
 
 
 #: Keys with fewer rows are never hot.
@@ -114,6 +124,10 @@ def hot_join(rows: DataFrame, params: DataFrame, key: str, *, share: float = 0.0
     return here.unionByName(rows.join(F.broadcast(hot), key, "left_anti").join(params, key).select(here.columns))
 
 
+def _quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def free_name(df: DataFrame, stem: str) -> str:
     """A column name that df doesn't have (names differ by more than case)."""
     taken = {c.lower() for c in df.columns}
@@ -122,17 +136,19 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
-#: Rows of whole texts that go to a Python worker at once.
-BATCH_ROWS = 1000
+#: Rows, and bytes, that go to a Python worker at once.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
 
 
 def small_batches(df: DataFrame) -> None:
-    """Bounds the session's Arrow batches, which are counted in rows: texts are long, and
-    a batch is held by the executor and its worker at once."""
-    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    """Bounds the session's Arrow batches by rows and bytes, unless they are bounded lower:
+    texts are long, and a batch is held by the executor and its worker at once. Plans run
+    after this function returns, so the setting stays; it changes no result."""
     conf = df.sparkSession.conf
-    if not 0 < int(conf.get(key, "10000")) <= BATCH_ROWS:
-        conf.set(key, str(BATCH_ROWS))
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(f"spark.sql.execution.arrow.{key}").removesuffix("b")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            conf.set(f"spark.sql.execution.arrow.{key}", str(most))
 
 
 def code_points(b: bytes) -> int:
@@ -186,6 +202,11 @@ def lean(owner: str, run: Callable[[Iterator], Iterator]) -> Callable[[Iterator]
     return task
 
 
+def text_udf(owner: str, run: Callable[[Iterator], Iterator], kind: str) -> Callable[..., Column]:
+    """A lean function of Arrow batches as a function of columns: only these go to Python."""
+    return arrow_udf(lean(owner, run), kind, ArrowUDFType.SCALAR_ITER)
+
+
 def _enter(owner: str) -> None:
     global _owner
     if _owner != owner:

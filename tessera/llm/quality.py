@@ -5,12 +5,17 @@ over its whole text; rows that fail the base rules are rejected. For the others
 transformed counts form a vector, and the minimum-covariance-determinant estimate of
 each (lang, source) group gives its Mahalanobis distance; far vectors are rejected.
 
-The estimate takes concentration steps from two starts, the group's mean and covariance
-and its centres by median and median deviation. In each step the half-set is the rows up
-to the smallest distance step (of a fixed logarithmic grid) that holds SHARE of the
-group, so every step is two aggregations whose partial results are a few numbers a
-group. Of both starts the one with the smaller determinant stays. Groups smaller than
-MIN_ROWS use their language's estimate, and languages smaller than that reject nothing.
+The estimate takes concentration steps from several starts: the group's mean and
+covariance, its medians and quartile ranges, and random subsets of some DRAWN rows. Each
+step keeps the half-set, the h = ceil(SHARE * n) rows nearest by the last estimate. Rows are
+counted by distance on a logarithmic grid, the bin of the h-th row is counted anew on a grid
+of FINE steps, and of rows that equal the h-th there each counts in part, so the half-set
+has exactly h rows and no sort is needed: a step is two aggregations whose partial results
+are a few numbers a group and bin. After TRIAL steps the best BEST starts of a group go on
+until their determinants shrink no more; the smallest stays. A group's half-set is then
+drawn towards its language's (the sum of its groups' half-sets) with the weight of
+PRIOR_ROWS rows, and a language's towards the whole table's, so small groups need no rule
+of their own.
 """
 
 from __future__ import annotations
@@ -21,7 +26,7 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.llm.common import keyed_join, materialize
+from tessera.llm.common import keyed_join, materialize, without
 
 SPACES = r"[\x20\x09-\x0D]+"
 COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
@@ -82,10 +87,18 @@ FEATURES: dict[str, tuple[Callable[[], Column], float]] = {
     "f2": (lambda: F.sqrt(F.col("n_repeat_words") / F.greatest(F.col("n_words"), F.lit(1))), 0.15),
     "f3": (lambda: F.sqrt(F.col("n_dup_lines") / F.greatest(F.col("n_words"), F.lit(1))), 0.05),
 }
-SHARE, STEPS, MIN_ROWS, TAIL = 0.75, 6, 100, 1e-5
-GROUP = ["level", "lang", "source"]
+SHARE, TAIL = 0.75, 1e-5
+#: Random starts and the rows drawn for each; steps of all starts; starts that go on.
+RANDOM, DRAWN, TRIAL, BEST = 6, 6, 2, 2
+#: Steps of the second grid; the least decrease of a log determinant that goes on.
+FINE, LEAST_GAIN = 4096, 1e-6
+#: Rows that a group's language counts for, and a language's table.
+PRIOR_ROWS = 50
+GROUP = ["lang", "source"]
 _D = len(FEATURES)
 _PAIRS = [(i, j) for i in range(_D) for j in range(i + 1)]
+_SUMS = ["n", *[f"s{i}" for i in range(_D)], *[f"q{i}{j}" for i, j in _PAIRS]]
+_MODEL = [*[f"m{i}" for i in range(_D)], *[f"l{i}{j}" for i, j in _PAIRS]]
 
 
 def chi2_tail(x: float, d: int) -> float:
@@ -108,99 +121,158 @@ CUT = chi2_point(TAIL, _D)
 
 def _moments() -> list[Column]:
     sums = [F.sum(f"f{i}").alias(f"s{i}") for i in range(_D)]
-    return [F.count(F.lit(1)).alias("n"), *sums, *[F.sum(F.col(f"f{i}") * F.col(f"f{j}")).alias(f"q{i}{j}") for i, j in _PAIRS]]
+    products = [F.sum(F.col(f"f{i}") * F.col(f"f{j}")).alias(f"q{i}{j}") for i, j in _PAIRS]
+    return [F.count(F.lit(1)).cast("double").alias("n"), *sums, *products]
 
 
-def _estimate(sums: DataFrame, keys: Sequence[str], factor: float) -> DataFrame:
-    """keys, means m and the Cholesky factor l of factor * covariance + least variances."""
+def _added() -> list[Column]:
+    return [F.sum(c).alias(c) for c in _SUMS]
+
+
+def _estimate(sums: DataFrame, factor: float) -> DataFrame:
+    """sums with the means m and the Cholesky factor l of factor * covariance + least
+    variances, and logdet."""
     floors = [v for _, v in FEATURES.values()]
     rows = sums.withColumns({f"m{i}": F.col(f"s{i}") / F.col("n") for i in range(_D)})
     cov = {f"c{i}{j}": factor * (F.col(f"q{i}{j}") / F.col("n") - F.col(f"m{i}") * F.col(f"m{j}")) + F.lit(floors[i] ** 2 if i == j else 0.0) for i, j in _PAIRS}
-    return _factored(rows.withColumns(cov), keys)
+    return _factored(rows.withColumns(cov))
 
 
-def _factored(rows: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _factored(rows: DataFrame) -> DataFrame:
     for j in range(_D):
         done = lambda a, b: sum((F.col(f"l{a}{k}") * F.col(f"l{b}{k}") for k in range(j)), F.lit(0.0))  # noqa: B023, E731
         # Rounding may leave a variance just below its floor; it can't become zero.
         rows = rows.withColumn(f"l{j}{j}", F.sqrt(F.greatest(F.col(f"c{j}{j}") - done(j, j), F.lit(1e-9))))
         rows = rows.withColumns({f"l{i}{j}": (F.col(f"c{i}{j}") - done(i, j)) / F.col(f"l{j}{j}") for i in range(j + 1, _D)})
     logdet = sum((2 * F.log(f"l{i}{i}") for i in range(_D)), F.lit(0.0))
-    return rows.select(*keys, *[f"m{i}" for i in range(_D)], *[f"l{i}{j}" for i, j in _PAIRS], logdet.alias("logdet"))
+    return rows.drop(*[f"c{i}{j}" for i, j in _PAIRS]).withColumn("logdet", logdet)
 
 
-def _distance() -> Column:
+def _distance(of: Callable[[str], Column] = F.col) -> Column:
+    """Squared Mahalanobis distance of the features from the model whose parts `of` gives."""
     y: list[Column] = []
     for i in range(_D):
-        rest = sum((F.col(f"l{i}{k}") * y[k] for k in range(i)), F.lit(0.0))
-        y.append((F.col(f"f{i}") - F.col(f"m{i}") - rest) / F.col(f"l{i}{i}"))
+        rest = sum((of(f"l{i}{k}") * y[k] for k in range(i)), F.lit(0.0))
+        y.append((F.col(f"f{i}") - of(f"m{i}") - rest) / of(f"l{i}{i}"))
     return sum((v * v for v in y), F.lit(0.0))
 
 
-def _step(distance: Column) -> Column:
-    """Number of a squared distance on a grid of four steps an octave."""
-    return F.least(F.greatest(F.floor(4 * F.log2(distance + F.lit(2.0**-8))), F.lit(-32)), F.lit(64)).cast("int")
+#: The first grid: squared distances from LOW, four steps an octave.
+LOW, FIRST, LAST = 2.0**-8, -32, 64
+
+
+def _bin(distance: Column) -> Column:
+    """Number of a squared distance on the first grid."""
+    return F.least(F.greatest(F.floor(4 * F.log2(distance + F.lit(LOW))), F.lit(FIRST)), F.lit(LAST)).cast("int")
+
+
+def _fine(distance: Column, number: Column) -> Column:
+    """Number of a squared distance on the second grid, within its bin of the first."""
+    low, high = F.pow(F.lit(2.0), number / 4) - LOW, F.pow(F.lit(2.0), (number + 1) / 4) - LOW
+    return F.least(F.greatest(F.floor(FINE * (distance - low) / (high - low)), F.lit(0)), F.lit(FINE)).cast("int")
+
+
+def _draw(start: int) -> Column:
+    """A number in [0, 1) of each vector and start."""
+    key = F.concat_ws(":", F.lit(str(start)), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))
+    return F.conv(F.substring(F.md5(key.cast("binary")), 1, 8), 16, 10).cast("double") / 2.0**32
 
 
 def _by_median(rows: DataFrame) -> DataFrame:
-    """Starts from medians and interquartile ranges, both from histograms of 64 bins."""
+    """Starts from medians and interquartile ranges, both from histograms of 64 bins, as if
+    of one row each."""
     cells = F.array(*[F.struct(F.lit(i).alias("k"), F.least(F.floor(F.col(f"f{i}") * (16 if i == 0 else 64)), F.lit(63)).cast("int").alias("bin")) for i in range(_D)])
     counts = rows.select(*GROUP, F.explode(cells).alias("c")).groupBy(*GROUP, "c.k", "c.bin").agg(F.count(F.lit(1)).alias("n"))
     window = Window.partitionBy(*GROUP, "k")
     counts = counts.withColumn("upto", F.sum("n").over(window.orderBy("bin"))).withColumn("all", F.sum("n").over(window))
     quartile = lambda p: F.min(F.when(F.col("upto") >= p * F.col("all"), (F.col("bin") + 0.5) / F.when(F.col("k") == 0, 16).otherwise(64)))
     found = counts.groupBy(*GROUP, "k").agg(quartile(0.25).alias("a"), quartile(0.5).alias("b"), quartile(0.75).alias("c"))
-    floors = [v for _, v in FEATURES.values()]
-    cast = [F.max(F.when(F.col("k") == i, F.col("b"))).alias(f"m{i}") for i in range(_D)]
-    cast += [F.max(F.when(F.col("k") == i, ((F.col("c") - F.col("a")) / 1.349) ** 2 + floors[i] ** 2)).alias(f"c{i}{i}") for i in range(_D)]
-    wide = found.groupBy(*GROUP).agg(*cast).withColumns({f"c{i}{j}": F.lit(0.0) for i, j in _PAIRS if i != j})
-    return _factored(wide.withColumn("start", F.lit(1)), [*GROUP, "start"])
+    middle = [F.max(F.when(F.col("k") == i, F.col("b"))).alias(f"s{i}") for i in range(_D)]
+    spread = [F.max(F.when(F.col("k") == i, ((F.col("c") - F.col("a")) / 1.349) ** 2)).alias(f"v{i}") for i in range(_D)]
+    wide = found.groupBy(*GROUP).agg(*middle, *spread).withColumn("n", F.lit(1.0))
+    moments = {f"q{i}{j}": F.col(f"s{i}") * F.col(f"s{j}") + (F.col(f"v{i}") if i == j else F.lit(0.0)) for i, j in _PAIRS}
+    return wide.withColumns(moments).select(*GROUP, F.lit(1).alias("start"), *_SUMS)
+
+
+def _starts(rows: DataFrame, whole: DataFrame) -> DataFrame:
+    """GROUP, start and _SUMS of the starts. whole: GROUP and _SUMS of all rows."""
+    drawn = F.array(*[F.struct(F.lit(2 + k).alias("start"), _draw(k).alias("x")) for k in range(RANDOM)])
+    sized = keyed_join(rows, whole.select(*GROUP, F.col("n").alias("size")), GROUP)
+    # A row is in few subsets: they are chosen before rows multiply.
+    own = sized.withColumn("d", F.filter(drawn, lambda d: d["x"] * F.col("size") < DRAWN)).where(F.size("d") > 0)
+    random = own.select(*GROUP, *FEATURES, F.explode("d.start").alias("start")).groupBy(*GROUP, "start").agg(*_moments())
+    return whole.select(*GROUP, F.lit(0).alias("start"), *_SUMS).unionByName(_by_median(rows)).unionByName(random.select(*GROUP, "start", *_SUMS))
+
+
+def _same(keys: Sequence[str], a: str, b: str) -> Column:
+    return F.expr(" AND ".join(f"{a}.{k} <=> {b}.{k}" for k in keys))
 
 
-def estimates(vectors: DataFrame) -> DataFrame:
-    """level (0: lang and source, 1: lang), lang, source, n, means and factor of each
-    group's minimum-covariance-determinant estimate. vectors: lang, source and FEATURES."""
-    levels = F.explode(F.array(F.struct(F.lit(0).alias("level"), "lang", "source"), F.struct(F.lit(1).alias("level"), "lang", F.lit(None).cast("string").alias("source"))))
-    rows = vectors.select(levels.alias("g"), *FEATURES).select("g.*", *FEATURES)
+def _concentrated(rows: DataFrame, models: DataFrame, n_groups: int) -> DataFrame:
+    """GROUP, start, _SUMS, _MODEL and logdet of the half-set of each model (GROUP, start,
+    _MODEL): one concentration step. Groups without a model are left out."""
     keys = [*GROUP, "start"]
+    packed = models.groupBy(*GROUP).agg(F.collect_list(F.struct("start", *_MODEL)).alias("models"))
+    known = keyed_join(rows, packed, GROUP, known=n_groups).where("models IS NOT NULL")
+    far = known.select(*GROUP, *FEATURES, F.explode(F.transform("models", lambda m: F.struct(m["start"].alias("start"), _distance(lambda c: m[c]).alias("d")))).alias("x"))
+    far = far.select(*GROUP, "x.start", *FEATURES, F.col("x.d").alias("d"), _bin(F.col("x.d")).alias("bin"))
+    cells = materialize(far.groupBy(*keys, "bin").agg(*_moments()), "quality-cells")
+    window = Window.partitionBy(*keys)
+    upto, half = F.sum("n").over(window.orderBy("bin")), F.ceil(SHARE * F.sum("n").over(window))
+    cells = cells.withColumns({"upto": upto, "half": half})
+    inside = cells.where("upto <= half").select(*keys, *_SUMS)
+    edges = cells.where("upto > half AND upto - n < half").select(*keys, F.col("bin").alias("edge"), (F.col("half") - F.col("upto") + F.col("n")).alias("need"))
+    near = keyed_join(far, edges, keys, known=(2 + RANDOM) * n_groups).where("bin = edge").withColumn("fine", _fine(F.col("d"), F.col("edge")))
+    small = near.groupBy(*keys, "need", "fine").agg(*_moments())
+    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("fine"))
+    weight = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("need") - F.col("upto") + F.col("n")) / F.col("n")))
+    part = small.withColumn("upto", upto).withColumn("w", weight).select(*keys, *[(F.col("w") * F.col(c)).alias(c) for c in _SUMS])
+    return _estimate(inside.unionByName(part).groupBy(*keys).agg(*_added()), CONSISTENCY)
+
+
+def half_sets(rows: DataFrame) -> DataFrame:
+    """GROUP, start, _SUMS, _MODEL and logdet of the half-set of least determinant that was
+    found for each group. rows: doc_id, GROUP and FEATURES."""
     whole = materialize(rows.groupBy(*GROUP).agg(*_moments()), "quality-groups")
-    now = _estimate(whole.withColumn("start", F.lit(0)), keys, 1.0).unionByName(_by_median(rows))
-    now = materialize(now, "quality-step")
-    both = rows.withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
     n_groups = whole.count()
-    names = ["n", *[f"s{i}" for i in range(_D)], *[f"q{i}{j}" for i, j in _PAIRS]]
-    for _ in range(STEPS):
-        far = keyed_join(both, now, keys, known=2 * n_groups).withColumn("bin", _step(_distance()))
-        cells = far.groupBy(*keys, "bin").agg(*_moments())
-        window = Window.partitionBy(*keys)
-        upto, total = F.sum("n").over(window.orderBy("bin")), F.sum("n").over(window)
-        near = cells.withColumns({"upto": upto, "all": total}).where(F.col("upto") - F.col("n") < SHARE * F.col("all"))
-        sums = near.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in names])
-        now = materialize(_estimate(sums, keys, CONSISTENCY), "quality-step")
-    order = F.struct("logdet", "start")
-    best = now.groupBy(*GROUP).agg(F.min_by(F.struct("start", *[f"m{i}" for i in range(_D)], *[f"l{i}{j}" for i, j in _PAIRS]), order).alias("b"))
-    return best.select(*GROUP, "b.*").join(whole.select(*[F.col(c).alias(f"w_{c}") for c in GROUP], "n"), F.expr(" AND ".join(f"{c} <=> w_{c}" for c in GROUP))).drop(*[f"w_{c}" for c in GROUP], "start")
+    now = materialize(_estimate(_starts(rows, whole), 1.0), "quality-step")
+    for _ in range(TRIAL):
+        now = materialize(_concentrated(rows, now, n_groups), "quality-step", replaces=[now])
+    order = Window.partitionBy(*GROUP).orderBy("logdet", "start")
+    best = now.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= BEST).drop("__r")
+    best = materialize(best.withColumn("improved", F.lit(True)), "quality-best", replaces=[now])
+    while not (active := best.where("improved")).isEmpty():
+        both = best.alias("x").join(_concentrated(rows, active, n_groups).alias("y"), _same([*GROUP, "start"], "x", "y"), "left")
+        better = F.coalesce(F.col("y.logdet") < F.col("x.logdet") - LEAST_GAIN, F.lit(False))
+        newer = [F.when(better, F.col(f"y.{c}")).otherwise(F.col(f"x.{c}")).alias(c) for c in [*_SUMS, *_MODEL, "logdet"]]
+        best = materialize(both.select(*[f"x.{k}" for k in [*GROUP, "start"]], *newer, better.alias("improved")), "quality-best", replaces=[best])
+    return best.withColumn("__r", F.row_number().over(order)).where("__r = 1").drop("__r", "improved")
+
+
+def estimates(halves: DataFrame) -> DataFrame:
+    """GROUP and _MODEL of each group, its half-set drawn towards its language's and that
+    towards the whole table's."""
+    drawn = lambda own, wide: [(F.col(f"{own}.{c}") + PRIOR_ROWS * F.col(f"{wide}.{c}") / F.col(f"{wide}.n")).alias(c) for c in _SUMS]
+    whole = halves.agg(*_added())
+    langs = halves.groupBy("lang").agg(*_added()).alias("x").join(F.broadcast(whole).alias("y"))  # one row
+    langs = langs.select("x.lang", *drawn("x", "y"))
+    groups = halves.alias("x").join(langs.alias("y"), _same(["lang"], "x", "y")).select("x.lang", "x.source", *drawn("x", "y"))
+    return _estimate(groups, CONSISTENCY).select(*GROUP, *_MODEL)
 
 
 def judge(docs: DataFrame) -> DataFrame:
-    """doc_id, COUNTS, base_failed, distance (squared; null where nothing is estimated)
+    """doc_id, COUNTS, base_failed, distance (squared; null where the base rules failed)
     and kept, one row for each row of docs.
 
     Null text has no words; null languages and sources are groups of their own; repeated
-    rows count as often as they are there. A group is estimated over all its rows that
-    pass the base rules. An empty table gives no rows; columns other than doc_id, text,
-    lang and source are not read."""
+    rows count as often as they are there, ties at the edge of a half-set in equal parts. A
+    group is estimated over all its rows that pass the base rules. An empty table gives no
+    rows; columns other than doc_id, text, lang and source are not read."""
     counted = with_counts(docs, "doc_id", "lang", "source").withColumn("base_failed", base_failed())
     counted = materialize(counted.select("*", *[make().cast("double").alias(name) for name, (make, _) in FEATURES.items()]), "quality-counts")
-    passed = counted.where("NOT base_failed")
-    found = materialize(estimates(passed), "quality-estimates")
-    n_groups = found.count()
-    own = found.where((F.col("level") == 0) & (F.col("n") >= MIN_ROWS)).drop("n", "level")
-    wide = found.where((F.col("level") == 1) & (F.col("n") >= MIN_ROWS)).drop("n", "level", "source")
-    parts = [f"m{i}" for i in range(_D)] + [f"l{i}{j}" for i, j in _PAIRS]
-    rows = keyed_join(counted, own.withColumn("own", F.lit(True)), ["lang", "source"], known=n_groups)
-    rows = keyed_join(rows, wide.withColumnsRenamed({c: f"w_{c}" for c in parts}), ["lang"], known=n_groups)
-    rows = rows.withColumns({c: F.when(F.col("own"), F.col(c)).otherwise(F.col(f"w_{c}")) for c in parts})
+    passed = counted.where("NOT base_failed").select("doc_id", *GROUP, *FEATURES)
+    found = materialize(estimates(half_sets(passed)), "quality-estimates")
+    rows = keyed_join(counted, found, GROUP)
     rows = rows.withColumn("distance", F.when(~F.col("base_failed"), _distance()))
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUT, F.lit(True))
     return rows.select("doc_id", *COUNTS, "base_failed", "distance", kept.alias("kept"))
@@ -210,5 +282,4 @@ def keep_good(docs: DataFrame, most: int = 500_000) -> DataFrame:
     """docs without the rejected documents; a document goes with any rejected row of its
     doc_id, and a null doc_id stays. All columns pass through."""
     bad = materialize(judge(docs).where("NOT kept AND doc_id IS NOT NULL").select("doc_id").distinct(), "rejected")
-    marked = keyed_join(docs, bad.withColumn("__bad", F.lit(True)), ["doc_id"], most=most)
-    return marked.where("__bad IS NULL").drop("__bad")
+    return without(docs, bad, "doc_id", most=most)

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import itertools
 import math
 import random
 import re
@@ -7,6 +8,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from tessera.llm import quality as q
 from tests.llm import data
@@ -35,28 +37,37 @@ def features(c):
     return [math.log(max(chars, 1) / max(n_words, 1)), math.sqrt(symbols / max(chars, 1)), math.sqrt(rep / max(n_words, 1)), math.sqrt(dup / max(n_words, 1))]
 
 
-def factored(mean, cov):
-    return mean, np.linalg.cholesky(cov)
+FLOORS = np.diag([v**2 for _, v in q.FEATURES.values()])
 
 
-def robust(x):
-    """The same steps in NumPy: two starts, grid half-sets, the smaller determinant."""
-    floors = np.diag([v**2 for _, v in q.FEATURES.values()])
-    starts = [factored(x.mean(0), np.cov(x.T, bias=True) + floors)]
-    width = np.array([16, 64, 64, 64])
-    bins = np.minimum(np.floor(x * width), 63)
-    quartile = lambda p: np.array([(sorted(b)[math.ceil(p * len(b)) - 1] + 0.5) for b in bins.T]) / width
-    starts.append(factored(quartile(0.5), np.diag(((quartile(0.75) - quartile(0.25)) / 1.349) ** 2) + floors))
-    ends = []
-    for m, l in starts:
-        for _ in range(q.STEPS):
-            d = (np.linalg.solve(l, (x - m).T) ** 2).sum(0)
-            step = np.clip(np.floor(4 * np.log2(d + 2.0**-8)), -32, 64)
-            cut = next(s for s in np.unique(step) if (step <= s).sum() >= q.SHARE * len(x))
-            near = x[step <= cut]
-            m, l = factored(near.mean(0), q.CONSISTENCY * np.cov(near.T, bias=True) + floors)
-        ends.append((2 * np.log(np.diag(l)).sum(), m, l))
-    return min(ends, key=lambda e: e[0])[1:]
+def spread(x, w):
+    """Mean, and what a half-set is judged by: its covariance, corrected, with floors."""
+    m = (w[:, None] * x).sum(0) / w.sum()
+    return m, q.CONSISTENCY * ((w[:, None] * x).T @ x / w.sum() - np.outer(m, m)) + FLOORS
+
+
+def nearest(x, m, cov):
+    """Weights of the exact half-set: ties at its edge have equal parts."""
+    d = ((x - m) @ np.linalg.inv(cov) * (x - m)).sum(1)
+    half = math.ceil(q.SHARE * len(x))
+    edge = np.sort(d)[half - 1]
+    tie = np.isclose(d, edge, rtol=1e-6, atol=1e-12)
+    below = (d < edge) & ~tie
+    return below + tie * (half - below.sum()) / tie.sum()
+
+
+def drawn(groups, best):
+    """The models of groups from their half-sets, by the same priors."""
+    sums = {g: (w.sum(), w @ groups[g], (w[:, None] * groups[g]).T @ groups[g]) for g, w in best.items()}
+    add = lambda parts: tuple(sum(p[i] for p in parts) for i in range(3))
+    prior = lambda own, wide: tuple(own[i] + q.PRIOR_ROWS * wide[i] / wide[0] for i in range(3))
+    whole = add(list(sums.values()))
+    out = {}
+    for g, own in sums.items():
+        lang = prior(add([s for h, s in sums.items() if h[0] == g[0]]), whole)
+        n, s, p = prior(own, lang)
+        out[g] = s / n, q.CONSISTENCY * (p / n - np.outer(s / n, s / n)) + FLOORS
+    return out
 
 
 @pytest.fixture(scope="module")
@@ -75,6 +86,58 @@ def mixed():
     return out + [None, ""]
 
 
+def grouped(rows):
+    groups = {}
+    for lang, source, *f in rows:
+        groups.setdefault((lang, source), []).append(f)
+    return {k: np.array(v) for k, v in groups.items()}
+
+
+def found_halves(spark, rows):
+    df = spark.createDataFrame([(i, *r) for i, r in enumerate(rows)], "doc_id long, lang string, source string, f0 double, f1 double, f2 double, f3 double")
+    out = {}
+    for r in q.half_sets(df.repartition(3)).collect():
+        cov = np.zeros((4, 4))
+        for i in range(4):
+            for j in range(i + 1):
+                cov[i, j] = cov[j, i] = r[f"l{i}{j}"]
+        low = np.tril(cov)
+        out[r.lang, r.source] = r, np.array([r[f"m{i}"] for i in range(4)]), low @ low.T
+    return out
+
+
+def test_half_sets_equal_exhaustive_search(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(6):
+        n = 8 + k
+        x = rng.normal([1.5, 0.2, 0.3, 0.1], [0.2, 0.05, 0.1, 0.03], (n, 4))
+        x[: n // 5] += rng.normal(0.8, 0.2, (n // 5, 4))  # outliers
+        rows += [(None if k == 5 else f"l{k % 2}", f"s{k}", *map(float, v)) for v in x]
+    groups, found = grouped(rows), found_halves(spark, rows)
+    least = 0
+    for g, x in groups.items():
+        half = math.ceil(q.SHARE * len(x))
+        dets = [np.linalg.slogdet(spread(x[list(c)], np.ones(half))[1])[1] for c in itertools.combinations(range(len(x)), half)]
+        r, m, cov = found[g]
+        assert abs(r.n - half) < 1e-9 and abs(np.linalg.slogdet(cov)[1] - r.logdet) < 1e-9
+        assert min(dets) - 1e-9 <= r.logdet <= min(dets) + 0.15
+        least += r.logdet < min(dets) + 1e-9
+        # It is its own half-set: a further step changes nothing.
+        again = spread(x, nearest(x, m, cov))
+        assert np.linalg.slogdet(again[1])[1] >= r.logdet - q.LEAST_GAIN
+    assert least >= 4
+
+
+def test_ties_at_the_edge_have_equal_parts(spark):
+    rows = [("en", "a", 1.0, 0.1, 0.2, 0.1)] * 30 + [("en", "a", 1.4, 0.1, 0.2, 0.1)] * 6 + [("en", "a", 0.6, 0.1, 0.2, 0.1)] * 4
+    r, m, _ = found_halves(spark, rows)["en", "a"]
+    assert r.n == 30 and abs(m[0] - 1.0) < 1e-9  # the 30 alike, whatever the others do
+    rows = [("en", "a", 1.0, 0.1, 0.2, 0.1)] * 20 + [("en", "a", 1.01, 0.1, 0.2, 0.1)] * 20
+    r, m, _ = found_halves(spark, rows)["en", "a"]
+    assert r.n == 30 and min(abs(m[0] - x) for x in (1.01 - 0.01 / 3, 1.0 + 0.01 / 3)) < 1e-9  # 20 of one, 10 parts of 20
+
+
 def test_distances_equal_numpy(spark, mixed):
     docs = data.documents(spark, mixed, langs=("en", "de", "en"))
     rows = {r.doc_id: r for r in q.judge(docs.repartition(5)).collect()}
@@ -86,28 +149,32 @@ def test_distances_equal_numpy(spark, mixed):
         if failed:
             assert not rows[r.doc_id].kept and rows[r.doc_id].distance is None
         else:
-            own[r.doc_id] = (r.lang, r.source, features(c))
-    groups = {}
-    for lang, source, f in own.values():
-        groups.setdefault((lang, source), []).append(f)
-        groups.setdefault((lang, None), []).append(f)
-    models = {k: robust(np.array(v)) for k, v in groups.items() if len(v) >= q.MIN_ROWS}
-    for i, (lang, source, f) in own.items():
-        model = models.get((lang, source), models.get((lang, None)))
-        want = None if model is None else (np.linalg.solve(model[1], np.array(f) - model[0]) ** 2).sum()
-        got = rows[i].distance
-        assert (got is None) == (want is None) and (want is None or abs(got - want) < 1e-6 * max(1, want))
-        assert rows[i].kept == (want is None or want <= q.CUT)
+            own[r.doc_id] = (r.lang, r.source, *features(c))
+    groups, best = grouped(own.values()), {}
+    for g, (r, m, cov) in found_halves(spark, list(own.values())).items():
+        best[g] = nearest(groups[g], m, cov)
+        assert np.allclose(spread(groups[g], best[g])[0], m, atol=1e-3)
+    models = drawn(groups, best)
+    for i, (lang, source, *f) in own.items():
+        m, cov = models[lang, source]
+        want = (f - m) @ np.linalg.inv(cov) @ (f - m)
+        assert abs(rows[i].distance - want) < 0.05 * want + 0.05
+        assert rows[i].kept == (rows[i].distance <= q.CUT)
     assert not any(rows[i].kept for i in own if i % 9 == 0) and sum(rows[i].kept for i in own if i % 9) > 0.97 * sum(i % 9 > 0 for i in own)
 
 
 def test_small_and_empty_tables(spark):
     docs = data.clashing(data.documents(spark))
+    docs = docs.withColumns({"__gone": F.lit("x"), "__lang": F.lit("x"), "a`b": F.lit("x")})
     rows = q.judge(docs.union(docs.limit(3))).collect()
-    assert len(rows) == docs.count() + 3 and all(r.kept != r.base_failed for r in rows)  # too few rows to reject by distance
+    assert len(rows) == docs.count() + 3 and all(not (r.kept and r.base_failed) for r in rows)
     assert q.judge(docs.limit(0)).count() == 0
     kept = q.keep_good(docs)
-    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == {r.doc_id for r in rows if r.kept}
+    own = {r.doc_id for r in q.judge(docs).where("kept").collect()}
+    assert kept.columns == docs.columns and {r.doc_id for r in kept.collect()} == own
+    assert {r.doc_id for r in q.keep_good(docs.repartition(3), most=2).collect()} == own
+    one = docs.where("doc_id = 66").withColumn("lang", F.lit(None).cast("string"))
+    assert q.judge(one).count() == 1
 
 
 def test_chi_square():
