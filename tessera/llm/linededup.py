@@ -8,9 +8,10 @@
    the number of documents and the largest id of each are counted exactly.
 3. Every document is read again and loses its confirmed lines.
 
-The filter's size is fixed (`filter_bits`), so its broadcast is bounded; a corpus too
-large for it makes more suspects, never a different result. Confirmed keys are
-broadcast up to `most_keys`, and beyond that joined by document.
+The filters are sized by the number of documents, up to MOST_BITS (64 MB each in a task,
+compressed in the broadcast); a corpus too large for them makes more suspects, in the end
+all long lines' digests, never a different result. Confirmed keys are broadcast up to
+`most_keys`; beyond that suspects meet them in a join and lost keys go to their documents.
 """
 
 from __future__ import annotations
@@ -24,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACES, code_points, lean, materialize, small_batches
+from tessera.llm.common import SPACES, code_points, free_name, hot_join, keyed_join, lean, materialize, small_batches, text_udf
 
 CHUNK_BITS = 1 << 18
+#: Bits a document, for some 32 long lines, and the bounds of a filter.
+DOC_BITS, LEAST_BITS, MOST_BITS = 256, 1 << 24, 1 << 29
 MIN_CHARS, MIN_DOCS = 40, 5
 
 
@@ -135,14 +138,17 @@ def twice_filter(docs: DataFrame, filter_bits: int, min_chars: int) -> np.ndarra
     return out
 
 
-def confirmed_keys(
-    docs: DataFrame, filter_bits: int, min_chars: int, min_docs: int
-) -> DataFrame:
-    """(key binary, keep long): each key of min_docs documents or more, and the largest
-    id that holds it."""
+def bits_for(n_docs: int) -> int:
+    """The size of the filters for so many documents: a power of two."""
+    return min(MOST_BITS, max(LEAST_BITS, 1 << (n_docs * DOC_BITS).bit_length()))
+
+
+def suspects(docs: DataFrame, filter_bits: int, min_chars: int) -> DataFrame:
+    """(key binary, doc_id): keys of long lines that two documents may share, once for each
+    of a document's rows."""
     twice = docs.sparkSession.sparkContext.broadcast(_packed(twice_filter(docs, filter_bits, min_chars)))
 
-    def suspects(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = _unpacked(twice.value)
         for batch in batches:
             ids: list[int | None] = []
@@ -156,15 +162,16 @@ def confirmed_keys(
                 yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(ids, pa.int64())], ["key", "doc_id"]).filter(pa.array(hit))
 
     rows = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    found = rows.mapInArrow(lean("linededup", suspects), "key binary, doc_id long")
+    return rows.mapInArrow(lean("linededup", run), "key binary, doc_id long")
+
+
+def confirmed_keys(found: DataFrame, min_docs: int) -> DataFrame:
+    """(key binary, keep long): each key of suspects in min_docs documents or more, and the
+    largest id that holds it."""
     # Repeated rows of a document count once; a hot key's documents are dealt by (key, doc_id).
     pairs = found.groupBy("key", "doc_id").agg(F.lit(1).alias("one"))
-    return (
-        pairs.groupBy("key")
-        .agg(F.count("doc_id").alias("n"), F.max("doc_id").alias("keep"))
-        .where(F.col("n") >= min_docs)
-        .select("key", "keep")
-    )
+    counts = pairs.groupBy("key").agg(F.count("doc_id").alias("n"), F.max("doc_id").alias("keep"))
+    return counts.where(F.col("n") >= min_docs).select("key", "keep")
 
 
 def drop_lines(text: bytes, doc: int | None, keep: dict[bytes, int], min_chars: int) -> tuple[bytes, int, int]:
@@ -178,69 +185,58 @@ def drop_lines(text: bytes, doc: int | None, keep: dict[bytes, int], min_chars:
 def dedup_lines(
     docs: DataFrame,
     *,
-    filter_bits: int = 1 << 27,
+    filter_bits: int | None = None,
     min_chars: int = MIN_CHARS,
     min_docs: int = MIN_DOCS,
     most_keys: int = 1_000_000,
+    counts: bool = True,
 ) -> DataFrame:
-    """docs with text replaced, and n_lines, n_dropped (long) added.
+    """docs with text replaced, and n_lines, n_dropped (long) added if counts is true.
 
     A key of at least min_chars code points in at least min_docs documents loses its
     lines in all but the document with the largest doc_id. Null text is one empty line
     and becomes empty; an empty table stays empty. Rows with a null doc_id take no part
     in counts and keep their lines. Rows that repeat a doc_id count as one document.
-    Other columns pass through; columns named n_lines or n_dropped are replaced."""
+    Only doc_id and text go through Python; other columns pass through, whatever their
+    names, but n_lines and n_dropped are replaced if counts is true."""
     small_batches(docs)
-    docs = docs.drop("n_lines", "n_dropped")
-    keys = materialize(confirmed_keys(docs, filter_bits, min_chars, min_docs), "line-keys")
-    others = [c for c in docs.columns if c != "text"]
-    rows = docs.select(*others, F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
+    docs = docs.drop("n_lines", "n_dropped") if counts else docs
+    bits = bits_for(docs.count()) if filter_bits is None else filter_bits
+    found = materialize(suspects(docs, bits, min_chars), "suspects")
+    keys = materialize(confirmed_keys(found, min_docs), "line-keys")
     few = keys.limit(most_keys + 1).count() <= most_keys
+    own = free_name(docs, "__drop")
     if few:
         table = keys.toArrow()
         held = docs.sparkSession.sparkContext.broadcast(
             (b"".join(table["key"].to_pylist()), table["keep"].to_numpy().tobytes())
         )
+        rows = docs.withColumn(own, F.lit(None).cast("array<binary>"))
     else:
-        rows = _with_own_keys(rows, docs, keys, min_chars)
-    at = {c: i for i, c in enumerate(rows.columns)}
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # What a document loses is bounded by its own lines; a common line stays where it is.
+        lost = hot_join(found.where("doc_id IS NOT NULL"), keys, "key").where("doc_id <> keep")
+        lost = materialize(lost.groupBy("doc_id").agg(F.collect_set("key").alias(own)), "lost-lines")
+        id_name = free_name(docs, "__id")
+        rows = docs.withColumn(id_name, F.col("doc_id").cast("long"))
+        rows = keyed_join(rows, lost.withColumnRenamed("doc_id", id_name), [id_name], most=0, salts=8).drop(id_name)
+
+    def run(batches: Iterator[tuple[pa.Array, ...]]) -> Iterator[pa.Array]:
         if few:
             raw, ids = held.value
             keep = {raw[16 * i : 16 * i + 16]: k for i, k in enumerate(np.frombuffer(ids, np.int64).tolist())}
-        for batch in batches:
+        for columns in batches:
             out: list[tuple[bytes, int, int]] = []
-            doc_ids = batch.column(at["doc_id"]).cast(pa.int64()).to_pylist()
-            own = [None] * len(doc_ids) if few else batch.column(at["__drop"]).to_pylist()
-            for doc, text, drop in zip(doc_ids, batch.column(at["text"]).to_pylist(), own, strict=True):
+            for doc, text, drop in zip(*(c.to_pylist() for c in columns), strict=True):
                 if not few:
                     keep = {k: doc + 1 for k in drop or ()}
                 out.append(drop_lines(text, doc, keep if doc is not None else {}, min_chars))
-            columns = [batch.column(at[c]) for c in others]
             text, n, gone = zip(*out, strict=True) if out else ((), (), ())
-            columns += [pa.array(text, pa.binary()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, [*others, "text", "n_lines", "n_dropped"])
-
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema.fields if f.name != "text"]
-    done = rows.mapInArrow(lean("linededup", run), ", ".join([*fields, "text binary, n_lines long, n_dropped long"]))
-    return done.select(*[F.col("text").cast("string").alias("text") if c == "text" else F.col(c) for c in docs.columns], "n_lines", "n_dropped")
-
-
-def _with_own_keys(rows: DataFrame, docs: DataFrame, keys: DataFrame, min_chars: int) -> DataFrame:
-    """rows with __drop, the digests that each document loses, by two joins."""
-
-    def own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            pairs = [
-                (d, k)
-                for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True)
-                for d in {d for d in long_digests(text, min_chars) if d}
-            ]
-            yield pa.RecordBatch.from_arrays([pa.array([p[0] for p in pairs], pa.binary()), pa.array([p[1] for p in pairs], pa.int64())], ["key", "__doc"])
-
-    text = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
-    pairs = text.where(F.col("doc_id").isNotNull()).mapInArrow(lean("linededup", own), "key binary, __doc long")
-    lost = pairs.join(keys, "key").where(F.col("__doc") != F.col("keep"))
-    per_doc = lost.groupBy("__doc").agg(F.collect_set("key").alias("__drop"))
-    return rows.join(per_doc, F.col("doc_id").cast("long") == F.col("__doc"), "left").drop("__doc")
+            yield pa.StructArray.from_arrays([pa.array(text, pa.binary()), pa.array(n, pa.int64()), pa.array(gone, pa.int64())], ["text", "n_lines", "n_dropped"])
+
+    done = text_udf("linededup", run, "struct<text: binary, n_lines: bigint, n_dropped: bigint>")
+    new = free_name(rows, "__new")
+    rows = rows.withColumn(new, done(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).cast("binary"), F.col(own)))
+    rows = rows.withColumn("text", F.col(new)["text"].cast("string"))
+    if counts:
+        rows = rows.withColumns({c: F.col(new)[c] for c in ("n_lines", "n_dropped")})
+    return rows.drop(new, own)

@@ -6,7 +6,8 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
-from tessera.llm.linededup import TwiceFilter, dedup_lines, digest
+from tessera.llm import common
+from tessera.llm.linededup import MOST_BITS, TwiceFilter, bits_for, dedup_lines, digest
 from tests.llm import data
 
 STRIP = " \t\n\x0b\x0c\r"
@@ -39,6 +40,25 @@ def test_equals_brute_force(spark, most):
     assert got.columns[-2:] == ["n_lines", "n_dropped"]
 
 
+def test_other_columns_keep_their_names_and_values(spark):
+    docs = data.clashing(data.documents(spark)).withColumnsRenamed({"t": "__new", "n": "__drop", "rep": "__id", "band": "a`b"})
+    for most in (1_000_000, 0):
+        got = dedup_lines(docs, counts=False, most_keys=most)
+        assert got.columns == docs.columns and {r.n_lines for r in got.select("n_lines").collect()} == {"x"}
+
+
+def test_the_filter_grows_with_the_table():
+    sizes = [bits_for(n) for n in (0, 10**3, 10**5, 10**6, 10**12)]
+    assert sizes == sorted(sizes) and sizes[0] == 1 << 24 and sizes[2] < sizes[3] and sizes[-1] == MOST_BITS
+
+
+def test_a_hot_line_beyond_the_broadcast(spark, monkeypatch):
+    monkeypatch.setattr(common, "HOT_ROWS", 5)
+    docs = data.documents(spark, data.texts() + [data.LICENSE] * 30)
+    got = dedup_lines(docs, filter_bits=1 << 18, most_keys=0).collect()
+    assert sorted((r.doc_id, r.n_lines, r.n_dropped, r.text) for r in got) == sorted(brute([(r.doc_id, r.text) for r in docs.collect()]))
+
+
 def test_empty_table(spark):
     assert dedup_lines(data.documents(spark).limit(0)).count() == 0
 
