@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import lean, small_batches
+from tessera.llm.common import lean, small_batches, text_udf
 
 #: Most strings that a part of a regex is spelled out into.
 MOST = 128
@@ -193,12 +193,13 @@ BASE_RULES = (
     Rule("access", "AKIA[A-Z0-9]+", 0, 20),
     Rule("hex", "[0-9a-f]+", 0, 24),
 )
-#: Published shapes of keys.
+_GAP = r"[\x20\x09-\x0D]+"
+#: Published shapes of keys; of a private key the whole block.
 MORE_RULES = (
     Rule("github", "gh[oprsu]_[A-Za-z0-9]+", 0, 40),
     Rule("slack", "xox[abprs]-[A-Za-z0-9-]+", 0, 20),
     Rule("jwt", r"eyJ[A-Za-z0-9_-]+\.eyJ[A-Za-z0-9_-]+\.[A-Za-z0-9_-]+", 0, 30),
-    Rule("pem", "-----BEGIN [A-Z ]*PRIVATE KEY-----", 0, 1),
+    Rule("pem", rf"-----BEGIN [A-Z ]*PRIVATE KEY-----({_GAP}[A-Za-z0-9+/]{{16,}}=*)*(({_GAP}[A-Za-z0-9+/=]+)?{_GAP}-----END [A-Z ]*PRIVATE KEY-----)?", 0, 1),
 )
 RULES = BASE_RULES + MORE_RULES
 
@@ -213,24 +214,22 @@ class Segment:
 
     def __init__(self, wanted: set[bytes]) -> None:
         self.wanted = sorted(wanted)
-        codes = np.array([int.from_bytes(t, "big") for t in self.wanted], np.uint32)
-        self.number = np.full(1 << 24, -1, np.int16)
-        self.number[codes] = np.arange(len(codes), dtype=np.int16)
-        self.starts = np.unique(codes >> 8)
+        self.codes = np.array([int.from_bytes(t, "big") for t in self.wanted], np.uint32)
         self.begins = np.zeros(1 << 16, bool)
-        self.begins[self.starts] = True
+        self.begins[self.codes >> 8] = True
 
     def postings(self, data: np.ndarray, offsets: np.ndarray) -> dict[bytes, np.ndarray]:
         """For each wanted trigram which texts hold it. data: the texts' bytes in a row."""
         n = len(offsets) - 1
         held = np.zeros((len(self.wanted), n), bool)
         step = 1 << 20
-        for i in range(0, max(0, len(data) - 2), step):
+        for i in range(0, max(0, len(data) - 2) if self.wanted else 0, step):
             b = self._lower[data[i : i + step + 2]]
             two = (b[:-1] << 8) | b[1:]
             at = np.flatnonzero(self.begins[two[:-1]])  # most positions end here
-            which = self.number[(two[at] << 8) | b[at + 2]]
-            hit = which >= 0
+            code = (two[at] << 8) | b[at + 2]
+            which = np.minimum(np.searchsorted(self.codes, code), len(self.codes) - 1)
+            hit = self.codes[which] == code
             at, which = at[hit] + i, which[hit]
             doc = np.searchsorted(offsets, at, "right") - 1
             inside = at + 3 <= offsets[doc + 1]
@@ -246,13 +245,12 @@ def spans_of(texts: list[bytes], rules: Sequence[Rule], segment: Segment) -> lis
     offsets = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
     postings = segment.postings(np.frombuffer(b"".join(texts), np.uint8), offsets)
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    decoded: dict[int, str] = {}
-    for k, rule in enumerate(rules):
-        for i in np.flatnonzero(rule.query.answer(postings, len(texts))).tolist():
-            text = decoded.get(i)
-            if text is None:
-                text = decoded[i] = texts[i].decode("utf-8", "replace")
-            out[i].extend((a, k, b) for a, b in rule.spans(text))
+    asked = [rule.query.answer(postings, len(texts)) for rule in rules]
+    for i in np.flatnonzero(np.logical_or.reduce(asked)).tolist():
+        text = texts[i].decode("utf-8", "replace")  # of one text at a time
+        for k, rule in enumerate(rules):
+            if asked[k][i]:
+                out[i].extend((a, k, b) for a, b in rule.spans(text))
     for spans in out:
         spans.sort()
     return out
@@ -299,27 +297,28 @@ def scan_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES) -> DataFrame:
 def redact_secrets(docs: DataFrame, rules: Sequence[Rule] = RULES, mark: str = "[SECRET]") -> DataFrame:
     """docs with each span (overlapping ones as one) of its text replaced by the mark.
 
-    Null text stays null; all other columns pass through untouched."""
+    Null text stays null and empty text empty; rows that share an id are redacted each; an
+    empty table stays empty. Only text goes through Python: all other columns, whatever
+    their names, pass through untouched."""
     small_batches(docs)
-    names = docs.columns
-    at = names.index("text")
-    rows = docs.select(*[F.coalesce(c, F.lit("")).cast("binary").alias(c) if c == "text" else F.col(c) for c in docs.columns], F.col("text").isNull().alias("__null"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         segment = _segment(rules)
-        for part, texts in _blocks(batches, at):
-            out: list[str | None] = []
-            nulls = part.column(part.num_columns - 1).to_pylist()
-            for text, spans, null in zip(texts, spans_of(texts, rules, segment), nulls, strict=True):
-                whole, pieces, end = text.decode("utf-8", "replace"), [], 0
-                for a, b in merged((a, b) for a, _, b in spans):
-                    pieces += [whole[end:a], mark]
-                    end = b
-                out.append(None if null else "".join([*pieces, whole[end:]]))
-            columns = [pa.array(out, pa.string()) if i == at else part.column(i) for i in range(len(names))]
-            yield pa.RecordBatch.from_arrays(columns, names)
-
-    return rows.mapInArrow(lean("secrets", run), docs.schema)
+        for batch in batches:
+            out: list[bytes | None] = []
+            for i in range(0, len(batch), 256):
+                texts = batch.slice(i, 256).to_pylist()
+                for text, spans in zip(texts, spans_of([t or b"" for t in texts], rules, segment), strict=True):
+                    if spans:
+                        whole, pieces, end = text.decode("utf-8", "replace"), [], 0
+                        for a, b in merged((a, b) for a, _, b in spans):
+                            pieces += [whole[end:a], mark]
+                            end = b
+                        text = "".join([*pieces, whole[end:]]).encode()
+                    out.append(text)
+            yield pa.array(out, pa.binary())
+
+    return docs.withColumn("text", text_udf("secrets", run, "binary")(F.col("text").cast("binary")).cast("string"))
 
 
 def merged(spans: Iterator[tuple[int, int]]) -> list[tuple[int, int]]:
