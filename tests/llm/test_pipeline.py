@@ -1,8 +1,11 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import duckdb
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tessera.llm import queries
@@ -39,6 +42,29 @@ def test_stages_equal_brute_force(spark):
     assert sorted(map(tuple, pieces.collect())) == sorted(map(tuple, pack_texts(clean, P.path("word_bpe_49k.json")).collect()))
 
 
+ODD = {"__null": "x", "__bad": "x", "__gone": "x", "__drop": "x", "__new": "x", "__salt": "x", "n_lines": "y", "n_dropped": "y", "a`b": "z", "kept": "x", "label": "x"}
+
+
+@pytest.mark.parametrize("name", [n for n, _ in corpus_pipeline.STAGES])
+def test_odd_tables_of_each_stage(spark, name):
+    stage = dict(corpus_pipeline.STAGES)[name]
+    docs = data.documents(spark, data.texts(24))
+    docs = docs.union(docs.limit(20)).union(docs.limit(12).selectExpr("CAST(NULL AS long)", "text", "lang", "source", "n_chars"))
+    docs = docs.withColumns({c: F.lit(v) for c, v in ODD.items()})
+    rows = stage(spark, docs, "").collect()
+    assert stage(spark, docs.limit(0), "").count() == 0
+    if name == "packing":
+        assert {r.doc_id for r in rows} == {r.doc_id for r in docs.collect()}
+        return
+    assert all(r[c] == v for r in rows for c, v in ODD.items()) and list(rows[0].asDict()) == docs.columns
+    assert sum(r.doc_id is None for r in rows) == 12  # null ids stay
+    if name in ("line_dedup", "secret_scan"):
+        assert len(rows) == docs.count()
+    else:
+        n = Counter(r.doc_id for r in docs.collect())
+        assert all(k == n[i] for i, k in Counter(r.doc_id for r in rows).items())  # with all rows of a document
+
+
 def test_run_keeps_columns(spark):
     rows = corpus_pipeline.run(spark, SF)
     assert rows.columns[:7] == ["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"] and rows.count() > 50
