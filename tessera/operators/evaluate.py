@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.errors import SourceError
+from tessera.functions.text import tokens
 
 #: Fixed value: the frozen acceptance threshold.
 THRESHOLD = 0.895
@@ -16,28 +17,41 @@ THRESHOLD = 0.895
 Reranker = Callable[[list[str], list[str]], list[float | None]]
 
 
-def overlap_scorer(queries: list[str], documents: list[str]) -> list[float | None]:
-    """Share of a query's distinct words that its document has: a deterministic stand-in
-    for a model."""
-    import re
+def overlap_scores(pairs: DataFrame) -> DataFrame:
+    """qid, id, rerank_score of (qid, id, query, document): the share of a query's distinct
+    words that its document has, null without words. A deterministic stand-in for a model,
+    in built-in functions."""
+    words = F.array_distinct(tokens(F.col("query")))
+    rows = pairs.select("qid", "id", words.alias("w"), tokens(F.col("document")).alias("d"))
+    share = F.size(F.array_intersect("w", "d")) / F.size("w")
+    return rows.select("qid", "id", F.when(F.size("w") > 0, share).alias("rerank_score"))
 
-    words = [set(re.findall(r"[a-z0-9]+", q.lower())) for q in queries]
-    held = [set(re.findall(r"[a-z0-9]+", d.lower())) for d in documents]
-    return [len(w & h) / len(w) if w else None for w, h in zip(words, held, strict=True)]
 
+#: Rerankers by name: a function that makes a scorer, or None for the stand-in. Models and
+#: services are added here (see RemoteReranker).
+RERANKERS: dict[str, Callable[[], Reranker] | None] = {"overlap": None}
 
-def rerank_scores(pairs: DataFrame, scorer: Reranker = overlap_scorer) -> DataFrame:
-    """qid, id, rerank_score of (qid, id, query, document) by a scorer over Arrow batches;
-    scores must be finite and one a pair."""
+
+def rerank_scores(pairs: DataFrame, reranker: str | Callable[[], Reranker] = "overlap") -> DataFrame:
+    """qid, id, rerank_score of (qid, id, query, document) by a reranker: one of RERANKERS,
+    or a function that makes a scorer over lists in each task. Scores must be finite, one a
+    pair or none for it."""
+    make = RERANKERS[reranker] if isinstance(reranker, str) else reranker
+    if make is None:
+        return overlap_scores(pairs)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        scorer = make()
         for batch in batches:
             scores = scorer(batch.column(2).to_pylist(), batch.column(3).to_pylist())
             if len(scores) != batch.num_rows or any(s is not None and not abs(s) < float("inf") for s in scores):
                 raise SourceError("the scorer must give one finite score or none for each pair")
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(scores, pa.float64())], ["qid", "id", "rerank_score"])
 
-    return pairs.select(F.col("qid").cast("long"), F.col("id").cast("long"), "query", "document").mapInArrow(run, "qid long, id long, rerank_score double")
+    rows = pairs.select(F.col("qid").cast("long"), F.col("id").cast("long"), "query", "document")
+    # A service takes the documents of one query together.
+    rows = rows.sortWithinPartitions("qid", "id")
+    return rows.mapInArrow(run, "qid long, id long, rerank_score double")
 
 
 def attach_rerank(candidates: DataFrame, scores: DataFrame) -> DataFrame:
@@ -72,7 +86,7 @@ def decide(candidates: DataFrame, queries: DataFrame, threshold: float = THRESHO
     found = scored.groupBy("qid").agg(F.count_if(F.col("rerank_score") >= threshold).alias("n"), F.max("rerank_score").alias("max_score"), best.alias("best_id"))
     rows = queries.select("qid").distinct().join(found, "qid", "left")
     mapped = F.coalesce(F.col("n") > 0, F.lit(False))
-    reason = F.when(mapped, None).when(F.col("max_score").isNull(), "no reranked candidates").otherwise(F.concat(F.lit("max rerank score "), F.format_string("%.4f", "max_score"), F.lit(f" < {threshold}")))
+    reason = F.when(mapped, None).when(F.col("max_score").isNull(), "nothing scored").otherwise(F.concat(F.lit("best score "), F.format_string("%.4f", "max_score"), F.lit(f" is under {threshold}")))
     return rows.select("qid", F.when(mapped, "mapped").otherwise("unmapped").alias("status"), F.coalesce("n", F.lit(0)).cast("long").alias("n_matches"), "max_score", "best_id", reason.alias("abstain_reason"))
 
 
@@ -82,17 +96,25 @@ def evidence(candidates: DataFrame, k: int = 10, threshold: float = THRESHOLD) -
     return rows.select("qid", "id", F.col("rank").alias("retrieval_rank"), "rerank_rank", "rerank_score", (F.col("rerank_score") >= threshold).alias("selected"))
 
 
+#: The grids of acceptance policies.
+RANK_CUTS, SCORE_CUTS = (1, 2, 3, 5, 10), (0.9, 0.8, 0.7, 0.5, 0.3)
+MARGINS, TOP_3_SCORES = (0.2, 0.1, 0.05, 0.01), (0.8, 0.5, 0.3)
+#: Name and SQL condition of each policy; margin: of a first candidate over the second.
+RULES: list[tuple[str, str]] = [
+    *[(f"rank<={k}", f"rerank_rank <= {k}") for k in RANK_CUTS],
+    *[(f"score>={s}", f"rerank_score >= {s}") for s in SCORE_CUTS],
+    *[(f"margin>={m}", f"rerank_rank = 1 AND margin >= {m}") for m in MARGINS],
+    *[(f"rank<=3&score>={s}", f"rerank_rank <= 3 AND rerank_score >= {s}") for s in TOP_3_SCORES],
+]
+
+
 def policies(candidates: DataFrame) -> DataFrame:
     """policy, qid, id of what each acceptance policy selects: rank cuts, score cuts,
     margins of the first over the second (a lone one is accepted), rank and score."""
     order = Window.partitionBy("qid").orderBy("rerank_rank")
-    rows = candidates.where("rerank_rank IS NOT NULL").withColumn("margin", F.col("rerank_score") - F.lead("rerank_score").over(order))
-    rank, score = F.col("rerank_rank"), F.col("rerank_score")
-    rules: list[tuple[str, Column]] = [(f"rank<={k}", rank <= k) for k in (1, 2, 3, 5, 10)]
-    rules += [(f"score>={s}", score >= s) for s in (0.9, 0.8, 0.7, 0.5, 0.3)]
-    rules += [(f"margin>={m}", (rank == 1) & (F.col("margin").isNull() | (F.round("margin", 6) >= m))) for m in (0.2, 0.1, 0.05, 0.01)]
-    rules += [(f"rank<=3&score>={s}", (rank <= 3) & (score >= s)) for s in (0.8, 0.5, 0.3)]
-    named = F.filter(F.array(*[F.when(on, F.lit(name)) for name, on in rules]), lambda x: x.isNotNull())
+    margin = F.round(F.col("rerank_score") - F.lead("rerank_score").over(order), 6)
+    rows = candidates.where("rerank_rank IS NOT NULL").withColumn("margin", F.coalesce(margin, F.lit(1.0)))
+    named = F.filter(F.array(*[F.when(F.expr(on), F.lit(name)) for name, on in RULES]), lambda x: x.isNotNull())
     return rows.select("qid", "id", F.explode(named).alias("policy"))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.errors import CycleError, HierarchyError
 from tessera.operators.constraints import Constraint
+from tessera.operators.scratch import kept
 
 
 def guards(nodes: DataFrame, edges: DataFrame, group: str = "group") -> list[Constraint]:
@@ -33,21 +34,46 @@ def guards(nodes: DataFrame, edges: DataFrame, group: str = "group") -> list[Con
     ]
 
 
-def on_cycles(edges: DataFrame, rounds: int = 64) -> DataFrame:
+def on_cycles(edges: DataFrame) -> DataFrame:
     """id of the nodes that lie on a cycle or below one only: what is left when edges
-    whose parents have no parents left are removed, level by level."""
+    whose parents have no parents left are removed, level by level, until nothing goes."""
     left = edges.select("child", "parent").distinct()
-    n = left.count()
-    for _ in range(rounds):
+    n, m = -1, left.count()
+    while 0 < m != n:
         inner = left.select(F.col("child").alias("__c")).distinct()
-        left = left.join(inner, F.col("parent") == F.col("__c"), "left_semi").checkpoint()
-        m = left.count()
-        if m == n or not m:
-            break
-        n = m
+        left = kept(left.join(inner, F.col("parent") == F.col("__c"), "left_semi"))
+        n, m = m, left.count()
     return left.select(F.col("child").alias("id")).distinct()
 
 
+def cycle_trail(edges: DataFrame) -> list[str]:
+    """One cycle, from its least id up through the parents and back to it; none: empty.
+
+    The edges left by on_cycles are cut from below too: what remains are cycles and what
+    lies between two of them. The walk asks for one parent at a time."""
+    some = kept(on_cycles(edges))
+    left = edges.select("child", "parent").distinct()
+    for end in ("child", "parent"):
+        left = left.join(some.select(F.col("id").alias("__c")), F.col(end) == F.col("__c"), "left_semi")
+    left = kept(left)
+    n, m = -1, left.count()
+    while 0 < m != n:
+        outer = left.select(F.col("parent").alias("__p")).distinct()
+        left = kept(left.join(outer, F.col("child") == F.col("__p"), "left_semi"))
+        n, m = m, left.count()
+    up = left.groupBy("child").agg(F.min("parent").alias("parent"))
+    start = up.agg(F.min("child").alias("child")).first().child
+    trail: list[str] = []
+    while start is not None and start not in trail:
+        trail.append(start)
+        start = up.where(F.col("child") == start).first().parent
+    if not trail:
+        return []
+    ring = trail[trail.index(start) :]
+    low = ring.index(min(ring))
+    return [*ring[low:], *ring[:low], ring[low]]
+
+
 def canonical_paths(nodes: DataFrame, edges: DataFrame, roots: DataFrame, most_levels: int = 64) -> DataFrame:
     """id and path (array of ids from the root to the node): the longest, ties to the
     least array. roots: column id. A node below a cycle raises CycleError."""
@@ -57,11 +83,11 @@ def canonical_paths(nodes: DataFrame, edges: DataFrame, roots: DataFrame, most_l
     for _ in range(most_levels):
         grown = frontier.join(links, F.col("id") == F.col("parent")).select(F.col("child").alias("id"), F.concat("path", F.array("child")).alias("path"))
         # All paths of one level are equally long: the least is the level's best.
-        frontier = grown.groupBy("id").agg(F.min("path").alias("path")).checkpoint()
+        frontier = kept(grown.groupBy("id").agg(F.min("path").alias("path")))
         if frontier.isEmpty():
             return levels.groupBy("id").agg(F.max_by("path", F.size("path")).alias("path"))
         if not frontier.where(F.size(F.array_distinct("path")) < F.size("path")).isEmpty():
-            raise CycleError("a node is its own ancestor")
+            raise CycleError("a node is its own ancestor: " + " > ".join(cycle_trail(links)))
         levels = levels.unionByName(frontier)
     raise HierarchyError(f"more than {most_levels} levels")
 
@@ -93,12 +119,12 @@ def walk_up(forest: DataFrame, most_levels: int = 64) -> DataFrame:
     done = None
     for _ in range(most_levels):
         step = live.join(links, F.col("at") == F.col("up").cast("string"), "left")
-        step = step.select(
+        step = kept(step.select(
             "id",
             F.concat(F.array("at"), F.col("path")).alias("path"),
             F.col("next").cast("string").alias("at"),
             F.when(F.array_contains("path", F.col("at")), "cycle").when(F.col("up").isNull() | ~F.col("named"), "missing").when(F.col("next").isNull(), "ok").alias("state"),
-        ).checkpoint()
+        ))
         ended = step.where("state IS NOT NULL").select("id", "path", "state")
         done = ended if done is None else done.unionByName(ended)
         live = step.where("state IS NULL").select("id", "path", "at")

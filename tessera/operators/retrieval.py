@@ -2,14 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections import Counter
+from collections.abc import Iterator, Mapping, Sequence
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tessera.errors import SourceError
+from tessera.functions.analysis import ANALYZERS
 from tessera.functions.text import tokens
+from tessera.operators.scratch import kept
 
 #: BM25 saturation, length weight and constant mean length.
 BM25_K, BM25_B, BM25_MEAN = 1.2, 0.75, 256.0
@@ -26,15 +30,11 @@ def sized(df: DataFrame, most: int = MOST_BROADCAST) -> DataFrame:
     return F.broadcast(df) if df.limit(most + 1).count() <= most else df
 
 
-def term_counts(points: DataFrame, id_col: str, text_col: str = "text", only: DataFrame | None = None) -> DataFrame:
-    """id, term, tf, dl (tokens of the point), dt (distinct tokens of it); of the terms in
-    `only` (column term) if given. Counting is within the row: no shuffle."""
+def term_counts(points: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
+    """id, term, tf, dl (tokens of the point). Counting is within the row: no shuffle."""
     words = points.select(F.col(id_col).alias("id"), tokens(F.col(text_col)).alias("t"))
-    words = words.select("id", "t", F.size("t").alias("dl"), F.size(F.array_distinct("t")).alias("dt"))
-    rows = words.select("id", "dl", "dt", F.explode("t").alias("term"))
-    if only is not None:
-        rows = rows.join(sized(only.select("term").distinct()), "term", "left_semi")
-    return rows.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"), F.first("dt").alias("dt"))
+    rows = words.select("id", F.size("t").alias("dl"), F.explode("t").alias("term"))
+    return rows.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
 
 
 def bm25_weight(tf: Column, dl: Column, k: float = BM25_K, b: float = BM25_B, mean: float = BM25_MEAN) -> Column:
@@ -51,16 +51,170 @@ def query_terms(queries: DataFrame, id_col: str, text_col: str = "text") -> Data
     return words.select("qid", F.size("t").alias("qn"), F.explode("t").alias("term"))
 
 
-def lexical_matches(queries: DataFrame, qid: str, points: DataFrame, pid: str) -> DataFrame:
-    """qid, id, bm25, shared (common terms), qn, dt for each pair with a common term."""
-    wanted = query_terms(queries, qid)
-    counts = term_counts(points, pid, only=wanted).persist()  # read for df, sizes and pairs
+def rounded(x: np.ndarray) -> np.ndarray:
+    """To six digits, halves away from zero as SQL does."""
+    return np.copysign(np.floor(np.abs(x) * 1e6 + 0.5) / 1e6, x)
+
+
+class Best:
+    """The k best entries of each group met so far: scores down, of equal ones the least
+    id. Groups are numbered from 0. Memory: k entries a group and `most` besides."""
+
+    def __init__(self, groups: int, k: int, most: int = 1 << 20) -> None:
+        self.k, self.most = k, most
+        self.least = np.full(groups, -np.inf)
+        self.parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        self.n = 0
+
+    def add(self, group: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        good = scores >= self.least[group]
+        self.parts.append((group[good], ids[good], scores[good]))
+        self.n += int(good.sum())
+        if self.n > self.most:
+            self.parts = [self.take()]
+            self.n = len(self.parts[0][0])
+            self.most = max(self.most, 2 * self.n)
+
+    def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """group, ids and scores of the best, by group and rank."""
+        if not self.parts:
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        group, ids, scores = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+        order = np.lexsort((ids, -scores, group))
+        group, ids, scores = group[order], ids[order], scores[order]
+        place = np.arange(len(group)) - np.searchsorted(group, group)
+        last = place == self.k - 1
+        self.least[group[last]] = scores[last]
+        few = place < self.k
+        return group[few], ids[few], scores[few]
+
+
+#: Terms of queries that tasks look for at most; with more, they keep all terms.
+MOST_TERMS = 200_000
+KINDS = ("lexical", "semantic", "label")
+
+
+def term_rows(points: DataFrame, id_col: str, text_col: str, wanted: frozenset[str] | None, analyzer: str) -> DataFrame:
+    """id, dl (terms of the point), dt (distinct ones), and terms and tfs of those in
+    `wanted` (None: of all); points without any are left out. One pass, no shuffle."""
+    held = points.sparkSession.sparkContext.broadcast(wanted)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        analyze, some = ANALYZERS[analyzer], held.value
+        for batch in batches:
+            out = []
+            for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                found = Counter(analyze(text))
+                terms = list(found) if some is None else [t for t in found if t in some]
+                if terms:
+                    out.append((key, found.total(), len(found), terms, [found[t] for t in terms]))
+            columns = list(zip(*out, strict=True)) or [()] * 5
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.string()), pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, kinds, strict=True)], ["id", "dl", "dt", "terms", "tfs"])
+
+    rows = points.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("t"))
+    return rows.mapInArrow(run, "id long, dl long, dt long, terms array<string>, tfs array<long>")
+
+
+def _flat(lists: Sequence[Sequence], kind: type) -> tuple[np.ndarray, np.ndarray]:
+    """Items of all lists in a row, and where each list begins (with the end)."""
+    ends = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int64)
+    return np.array([y for x in lists for y in x], kind), ends
+
+
+class QueryBlock:
+    """A block of queries as postings: for each term the queries that ask for it."""
+
+    def __init__(self, ids: Sequence[int], terms: Sequence[Sequence[str]]) -> None:
+        self.ids = np.array(ids, np.int64)
+        self.sizes = np.array([len(t) for t in terms], float)
+        asked: dict[str, list[int]] = {}
+        for i, own in enumerate(terms):
+            for t in own:
+                asked.setdefault(t, []).append(i)
+        self.number = {t: i for i, t in enumerate(asked)}
+        self.queries, self.ends = _flat(list(asked.values()), np.int64)
+        self.idf = np.zeros(len(asked))
+
+    def scores(self, rows: pa.RecordBatch, kinds: Sequence[str]) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Channel number, query numbers, ids and scores of the pairs with a common term."""
+        n_rows, n = rows.num_rows, len(self.ids)
+        term = [[(self.number[t], k) for t, k in zip(ts, ks, strict=True) if t in self.number] for ts, ks in zip(rows.column(3).to_pylist(), rows.column(4).to_pylist(), strict=True)]
+        flat, ends = _flat(term, np.int64)
+        if not len(flat):
+            return
+        row = np.repeat(np.arange(n_rows), np.diff(ends))
+        dl, dt = (rows.column(i).to_numpy().astype(float) for i in (1, 2))
+        t, tf = flat[:, 0], flat[:, 1].astype(float)
+        weight = self.idf[t] * tf * (BM25_K + 1) / (tf + BM25_K * (1 - BM25_B + BM25_B * dl[row] / BM25_MEAN))
+        times = self.ends[t + 1] - self.ends[t]
+        which = np.repeat(np.arange(len(t)), times)
+        first = np.concatenate([[0], np.cumsum(times)])[:-1]
+        q = self.queries[self.ends[t][which] + np.arange(len(which)) - first[which]]
+        cell, at = np.unique(row[which] * n + q, return_inverse=True)
+        bm25, shared = np.bincount(at, weight[which]), np.bincount(at).astype(float)
+        q, d = cell % n, cell // n
+        ids, qn, dt = rows.column(0).to_numpy()[d], self.sizes[q], dt[d]
+        of = {"lexical": lambda: bm25, "semantic": lambda: shared / np.sqrt(qn * dt), "label": lambda: shared / (qn + dt - shared)}
+        for c, kind in enumerate(kinds):
+            yield c, q, ids, rounded(of[kind]())
+
+
+def lexical_hits(queries: DataFrame, qid: str, points: DataFrame, pid: str, k: int = 100, kinds: Sequence[str] = KINDS, *, query_text: str = "text", text: str = "text", analyzer: str = "plain", block: int = 4096, strict: bool = False) -> DataFrame:
+    """qid, id, channel, rank, score: the k best points of each query and channel, of those
+    with a common term: lexical (BM25), semantic (cosine of binary term vectors) and label
+    (Jaccard); ties go by id.
+
+    Points are analyzed once; queries go out in blocks as postings, a task scores its points
+    and keeps its k best a query and channel, so only those shuffle: pairs never do. strict:
+    a query without terms is an error. Rows that repeat a point's id count each."""
+    spark = points.sparkSession
+    own = queries.select(F.col(qid).cast("long").alias("id"), F.col(query_text).alias("t"))
+    parts = max(1, -(-own.count() // block))
+
+    def asked(p: int) -> tuple[list[int], list[list[str]]]:
+        rows = own.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == p).toArrow()  # block rows or so
+        terms = [list(dict.fromkeys(ANALYZERS[analyzer](t))) for t in rows["t"].to_pylist()]
+        if strict and [] in terms:
+            raise SourceError(f"query {rows['id'][terms.index([])].as_py()} has no terms")
+        return rows["id"].to_pylist(), terms
+
+    wanted: set[str] | None = set()
+    for p in range(parts):
+        wanted.update(t for ts in asked(p)[1] for t in ts)
+        if len(wanted) > MOST_TERMS:
+            wanted = None
+            break
+    rows = kept(term_rows(points, pid, text, None if wanted is None else frozenset(wanted), analyzer))
     n = points.count()
-    df = counts.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-    weighted = wanted.join(sized(df), "term").select("qid", "qn", "term", idf(F.lit(n), F.col("df")).alias("idf"))
-    pairs = counts.join(sized(weighted), "term")
-    score = F.sum(F.col("idf") * bm25_weight(F.col("tf"), F.col("dl")))
-    return pairs.groupBy("qid", "id").agg(score.alias("bm25"), F.count(F.lit(1)).alias("shared"), F.first("qn").alias("qn"), F.first("dt").alias("dt"))
+    named = rows.select(F.explode("terms").alias("term"))
+    found = None
+    for p in range(parts):
+        made = QueryBlock(*asked(p))
+        terms = list(made.number)
+        few = spark.createDataFrame(pa.table({"term": pa.array(terms, pa.string())}))
+        # As many rows as the block has terms.
+        met = named.join(F.broadcast(few), "term").groupBy("term").agg(F.count(F.lit(1)).alias("df")).collect()
+        for r in met:
+            made.idf[made.number[r.term]] = np.log(1 + (n - r.df + 0.5) / (r.df + 0.5))
+        held = spark.sparkContext.broadcast(made)
+
+        def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
+            made = held.value
+            best = Best(len(kinds) * len(made.ids), k)
+            for batch in batches:
+                for i in range(0, batch.num_rows, 512):
+                    for c, q, ids, score in made.scores(batch.slice(i, 512), kinds):
+                        best.add(q * len(kinds) + c, ids, score)
+            group, ids, score = best.take()
+            channel = pa.array([kinds[c] for c in group % len(kinds)], pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array(made.ids[group // len(kinds)]), pa.array(ids), channel, pa.array(score)], ["qid", "id", "channel", "score"])
+
+        part = rows.mapInArrow(run, "qid long, id long, channel string, score double")
+        order = Window.partitionBy("qid", "channel").orderBy(F.desc("score"), "id")
+        part = part.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= k)
+        found = part if found is None else found.unionByName(part)
+    return found.select("qid", "id", "channel", "rank", "score")
 
 
 def top_k(scores: DataFrame, k: int, group: str = "qid", score: str = "score", tie: str = "id") -> DataFrame:
@@ -71,20 +225,6 @@ def top_k(scores: DataFrame, k: int, group: str = "qid", score: str = "score", t
     return rows.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= k)
 
 
-def channels(matches: DataFrame, k: int = 100) -> DataFrame:
-    """qid, id, channel, rank, score: the k best of lexical (BM25), semantic (cosine of
-    binary term vectors) and label (Jaccard) scores."""
-    shared, qn, dt = (F.col(c).cast("double") for c in ("shared", "qn", "dt"))
-    kinds = F.array(
-        F.struct(F.lit("lexical").alias("channel"), F.col("bm25").alias("score")),
-        F.struct(F.lit("semantic").alias("channel"), (shared / F.sqrt(qn * dt)).alias("score")),
-        F.struct(F.lit("label").alias("channel"), (shared / (qn + dt - shared)).alias("score")),
-    )
-    rows = matches.select("qid", "id", F.explode(kinds).alias("c")).select("qid", "id", "c.channel", F.round("c.score", 6).alias("score"))
-    order = Window.partitionBy("qid", "channel").orderBy(F.desc("score"), "id")
-    return rows.withColumn("rank", F.row_number().over(order).cast("long")).where(F.col("rank") <= k)
-
-
 def rrf(hits: DataFrame, weights: Mapping[str, float] = RRF_WEIGHTS, k: int = RRF_K, top: int = 100) -> DataFrame:
     """Weighted reciprocal rank fusion: qid, rank, id, fused, and each channel's rank and
     score (null where it has none).
@@ -124,8 +264,8 @@ def unit_rows(v: np.ndarray) -> np.ndarray:
 def cosine_top_k(queries: DataFrame, points: DataFrame, k: int, block: int = 4096) -> DataFrame:
     """qid, rank, id, score: the k points (id, vec) of another id with the largest cosine.
 
-    Queries go out in blocks; a task multiplies a batch of points by the block and keeps
-    its k best a query (ties at the k-th included), so only those rows shuffle."""
+    Queries go out in blocks; a task multiplies its points by the block and keeps its k
+    best a query, so only those rows shuffle."""
     spark = points.sparkSession
     found = None
     for ids, vectors in _blocks(queries, block):
@@ -133,16 +273,18 @@ def cosine_top_k(queries: DataFrame, points: DataFrame, k: int, block: int = 409
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             qid, q = held.value
+            best = Best(len(qid), k)
             for batch in batches:
                 own = batch.column(0).to_numpy()
-                v = np.array(batch.column(1).to_pylist(), float)
                 if not len(own):
                     continue
-                score = np.round(q @ unit_rows(v).T, 6)
+                score = rounded(q @ unit_rows(np.array(batch.column(1).to_pylist(), float)).T)
                 score[qid[:, None] == own[None, :]] = -np.inf
                 least = np.partition(score, -k, axis=1)[:, -k] if len(own) > k else np.full(len(qid), -np.inf)
                 a, b = np.nonzero((score >= least[:, None]) & (score > -np.inf))
-                yield pa.RecordBatch.from_arrays([pa.array(qid[a]), pa.array(own[b]), pa.array(score[a, b])], ["qid", "id", "score"])
+                best.add(a, own[b], score[a, b])
+            a, ids, score = best.take()
+            yield pa.RecordBatch.from_arrays([pa.array(qid[a]), pa.array(ids), pa.array(score)], ["qid", "id", "score"])
 
         part = top_k(points.select("id", "vec").mapInArrow(run, "qid long, id long, score double"), k)
         found = part if found is None else found.unionByName(part)
@@ -151,9 +293,13 @@ def cosine_top_k(queries: DataFrame, points: DataFrame, k: int, block: int = 409
     return found.select("qid", "rank", "id", "score")
 
 
-def maxsim(queries: DataFrame, variants: DataFrame, block: int = 4096) -> DataFrame:
-    """qid, record, score: the largest cosine of a query and a record's variants
-    (record, vec); partial maxima leave the tasks."""
+def maxsim(queries: DataFrame, variants: DataFrame, k: int, block: int = 4096) -> DataFrame:
+    """qid, rank, id, score: the k records with the largest cosine of a query and one of
+    their variants (record, vec).
+
+    A task takes the maximum over the variants that it has of a record and keeps its k best
+    records a query: a record among the k best of all is among those of the task with its
+    best variant."""
     spark = variants.sparkSession
     found = None
     for ids, vectors in _blocks(queries, block):
@@ -161,19 +307,32 @@ def maxsim(queries: DataFrame, variants: DataFrame, block: int = 4096) -> DataFr
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             qid, q = held.value
+            best = Best(len(qid), k)
             for batch in batches:
-                records = np.array(batch.column(0).to_pylist())
+                records = np.array(batch.column(0).to_pylist(), np.int64)
                 if not len(records):
                     continue
-                score = q @ unit_rows(np.array(batch.column(1).to_pylist(), float)).T
-                for r in np.unique(records):
-                    best = score[:, records == r].max(axis=1)
-                    yield pa.RecordBatch.from_arrays([pa.array(qid), pa.array(np.full(len(qid), r, np.int64)), pa.array(best)], ["qid", "record", "score"])
+                order = np.argsort(records, kind="stable")
+                some, first = np.unique(records[order], return_index=True)
+                score = rounded(q @ unit_rows(np.array(batch.column(1).to_pylist(), float)[order]).T)
+                score = np.maximum.reduceat(score, first, axis=1)
+                # A record's variants may lie in several batches: its best alone counts.
+                a, met, old = best.take()
+                group, own = np.repeat(np.arange(len(qid)), len(some)), np.tile(some, len(qid))
+                pairs = np.concatenate([np.column_stack([a, met]), np.column_stack([group, own])])
+                names, at = np.unique(pairs, axis=0, return_inverse=True)
+                top = np.full(len(names), -np.inf)
+                np.maximum.at(top, at.ravel(), np.concatenate([old, score.ravel()]))
+                best.parts, best.n = [(names[:, 0], names[:, 1], top)], len(names)
+            a, met, score = best.take()
+            yield pa.RecordBatch.from_arrays([pa.array(qid[a]), pa.array(met), pa.array(score)], ["qid", "record", "score"])
 
         part = variants.select("record", "vec").mapInArrow(run, "qid long, record long, score double")
-        part = part.groupBy("qid", "record").agg(F.round(F.max("score"), 6).alias("score"))
-        found = part if found is None else found.unionByName(part)
-    return found if found is not None else spark.createDataFrame([], "qid long, record long, score double")
+        part = part.groupBy("qid", "record").agg(F.max("score").alias("score")).withColumnRenamed("record", "id")
+        found = top_k(part, k) if found is None else found.unionByName(top_k(part, k))
+    if found is None:
+        found = spark.createDataFrame([], "qid long, id long, score double, rank long")
+    return found.select("qid", "rank", "id", "score")
 
 
 def norm_report(vectors: DataFrame, tolerance: float = 1e-3) -> DataFrame:

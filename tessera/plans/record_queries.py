@@ -46,12 +46,6 @@ edges AS (SELECT 'n' || lpad(CAST(n_nationkey AS VARCHAR), 10, '0') AS child, 'r
     FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_custkey % 10 = 0)"""
 
 
-def checkpointed(spark: SparkSession) -> None:
-    """Iterations cut their lineage in spark.checkpoint.dir; a local session gets one."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_checkpoints")
-
-
 @register("hierarchy_paths", "WITH RECURSIVE " + TREE + """,
 p AS (SELECT id, [id] AS path FROM nodes WHERE type = 'group' AND length(code) = 1
   UNION ALL SELECT child, list_append(path, child) FROM p JOIN edges ON parent = id),
@@ -63,7 +57,6 @@ SELECT id, max(n) AS level, any_value(node) FILTER (WHERE pos = n - 1) AS parent
   coalesce(string_agg(node, '>' ORDER BY pos) FILTER (WHERE pos < n), '') AS path_ids,
   coalesce(string_agg(label, ' > ' ORDER BY pos) FILTER (WHERE pos < n), '') AS path_text FROM j GROUP BY id""")
 def hierarchy_paths(spark, sf_dir):
-    checkpointed(spark)
     nodes, edges = tree(spark, sf_dir)
     roots = nodes.where("type = 'group' AND length(code) = 1")
     return hi.derived(hi.canonical_paths(nodes, edges, roots), nodes)
@@ -96,7 +89,6 @@ SELECT row_id, l1 AS declared_root, split_part(path, '>', 1) AS canonical_root,
   CASE WHEN path IS NULL THEN 'unresolved' WHEN l1 = 'R1' THEN 'it' ELSE 'secondary' END AS route
 FROM o LEFT JOIN p ON p.node = o.key LEFT JOIN f a ON a.id = l1 LEFT JOIN f b ON b.id = l3""")
 def category_resolve(spark, sf_dir):
-    checkpointed(spark)
     r, n, c = (table(spark, sf_dir, t) for t in ("region", "nation", "customer"))
     forest = r.select(F.concat(F.lit("R"), "r_regionkey").alias("id"), F.col("r_name").alias("name"), F.lit(None).cast("string").alias("parent_id"))
     forest = forest.union(n.select(F.concat(F.lit("N"), "n_nationkey"), "n_name", F.concat(F.lit("R"), "n_regionkey")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import evaluate as ev
 from tessera.operators import retrieval as rt
+from tessera.operators.scratch import kept
 from tessera.plans.registry import register
 
 
@@ -16,12 +17,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rt.lexical_matches(table(spark, sf_dir, "benchmark"), "item_id", table(spark, sf_dir, "documents"), "doc_id")
+def hits(spark: SparkSession, sf_dir: str, k: int = 100, kinds: tuple[str, ...] = rt.KINDS) -> DataFrame:
+    return rt.lexical_hits(table(spark, sf_dir, "benchmark"), "item_id", table(spark, sf_dir, "documents"), "doc_id", k, kinds)
 
 
 def fused(spark: SparkSession, sf_dir: str, **how) -> DataFrame:
-    return rt.rrf(rt.channels(matches(spark, sf_dir)), **how)
+    return rt.rrf(hits(spark, sf_dir), **how)
 
 
 def with_texts(spark: SparkSession, sf_dir: str, candidates: DataFrame) -> DataFrame:
@@ -33,12 +34,13 @@ def with_texts(spark: SparkSession, sf_dir: str, candidates: DataFrame) -> DataF
 
 
 def pool(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fused candidates, kept: a hundred rows a query that several steps read."""
-    return fused(spark, sf_dir).persist()
+    """The fused candidates, written once: a hundred rows a query that several steps read."""
+    return kept(fused(spark, sf_dir))
 
 
 def gold(spark: SparkSession, sf_dir: str, candidates: DataFrame) -> DataFrame:
-    """(qid, id): candidates whose text holds the query's whole text."""
+    """(qid, id): candidates whose text holds the query's whole text. What measures are
+    made of it are measures within the pool."""
     pairs = with_texts(spark, sf_dir, candidates.select("qid", "id"))
     return pairs.where(F.contains("document", "query")).select("qid", "id")
 
@@ -95,7 +97,7 @@ WITH = "WITH "
 SELECT qid, rank, id, score FROM (SELECT qid, id, round(bm25, 6) AS score,
   row_number() OVER (PARTITION BY qid ORDER BY round(bm25, 6) DESC, id) AS rank FROM m) WHERE rank <= 10""")
 def bm25_topk(spark, sf_dir):
-    return rt.top_k(matches(spark, sf_dir).withColumn("score", F.col("bm25")), 10).select("qid", "rank", "id", "score")
+    return hits(spark, sf_dir, 10, ("lexical",)).select("qid", "rank", "id", "score")
 
 
 @register("bm25_weights", WITH + MATCHES + """
@@ -130,11 +132,13 @@ def cosine_topk(spark, sf_dir):
 
 
 @register("maxsim_by_group", WITH + VECTORS + """
-SELECT q.id AS qid, CAST(p.label AS BIGINT) AS record, round(max(list_cosine_similarity(q.v, p.v)), 6) AS score
-FROM e q, e p GROUP BY q.id, p.label""")
+SELECT qid, rank, record, score FROM (SELECT *, row_number() OVER (PARTITION BY qid ORDER BY score DESC, record) AS rank FROM (
+  SELECT q.id AS qid, CAST(p.label AS BIGINT) AS record, round(max(list_cosine_similarity(q.v, p.v)), 6) AS score
+  FROM e q, e p GROUP BY q.id, p.label)) WHERE rank <= 5""")
 def maxsim_by_group(spark, sf_dir):
     e = table(spark, sf_dir, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").cast("array<double>").alias("vec"), F.col("label").cast("long").alias("record"))
-    return rt.maxsim(e.select("id", "vec"), e)
+    found = rt.maxsim(e.select("id", "vec"), e, 5)
+    return found.select("qid", "rank", F.col("id").alias("record"), "score")
 
 
 @register("unit_norm_check", WITH + VECTORS + """
@@ -147,7 +151,7 @@ def unit_norm_check(spark, sf_dir):
 
 @register("channel_hits", WITH + CHANNELS + " SELECT qid, id, channel, rank, score FROM c")
 def channel_hits(spark, sf_dir):
-    return rt.channels(matches(spark, sf_dir)).select("qid", "id", "channel", "rank", "score")
+    return hits(spark, sf_dir)
 
 
 @register("rrf_fuse", WITH + FUSED + """
@@ -165,10 +169,10 @@ s AS (SELECT weight, qid, id, rank FROM (SELECT *, row_number() OVER ({_ORDER.fo
   FROM w, (SELECT unnest([CAST(1 AS DOUBLE), 2, 4]) AS weight))) WHERE rank <= 20)
 SELECT weight, qid, id, rank FROM s""")
 def rrf_weight_sweep(spark, sf_dir):
-    hits = rt.channels(matches(spark, sf_dir))
+    met = kept(hits(spark, sf_dir))
     out = None
     for w in SWEEP:
-        part = rt.rrf(hits, {"label": 1.0, "semantic": w, "lexical": 1.0}, top=20).select(F.lit(w).alias("weight"), "qid", "id", "rank")
+        part = rt.rrf(met, {"label": 1.0, "semantic": w, "lexical": 1.0}, top=20).select(F.lit(w).alias("weight"), "qid", "id", "rank")
         out = part if out is None else out.unionByName(part)
     return out
 
@@ -201,8 +205,8 @@ def score_blend(spark, sf_dir):
 b AS (SELECT qid, count(*) FILTER (WHERE rerank_score >= 0.895) AS n, max(rerank_score) AS max_score, arg_min(id, rerank_rank) AS best_id
   FROM r WHERE rerank_score IS NOT NULL GROUP BY qid)
 SELECT item_id AS qid, CASE WHEN n > 0 THEN 'mapped' ELSE 'unmapped' END AS status, coalesce(n, 0) AS n_matches, max_score, best_id,
-  CASE WHEN n > 0 THEN NULL WHEN max_score IS NULL THEN 'no reranked candidates'
-  ELSE 'max rerank score ' || printf('%.4f', max_score) || ' < 0.895' END AS abstain_reason
+  CASE WHEN n > 0 THEN NULL WHEN max_score IS NULL THEN 'nothing scored'
+  ELSE 'best score ' || printf('%.4f', max_score) || ' is under 0.895' END AS abstain_reason
 FROM benchmark LEFT JOIN b ON qid = item_id""")
 def threshold_decision(spark, sf_dir):
     return ev.decide(reranked(spark, sf_dir, pool(spark, sf_dir)), items(spark, sf_dir))
@@ -214,10 +218,7 @@ def topk_evidence(spark, sf_dir):
     return ev.evidence(reranked(spark, sf_dir, pool(spark, sf_dir)))
 
 
-_RULES = [(f"rank<={k}", f"rerank_rank <= {k}") for k in (1, 2, 3, 5, 10)]
-_RULES += [(f"score>={s}", f"rerank_score >= {s}") for s in (0.9, 0.8, 0.7, 0.5, 0.3)]
-_RULES += [(f"margin>={m}", f"rerank_rank = 1 AND coalesce(round(margin, 6), 1) >= {m}") for m in (0.2, 0.1, 0.05, 0.01)]
-_RULES += [(f"rank<=3&score>={s}", f"rerank_rank <= 3 AND rerank_score >= {s}") for s in (0.8, 0.5, 0.3)]
+_RULES = [(name, rule.replace("margin >=", "coalesce(round(margin, 6), 1) >=")) for name, rule in ev.RULES]
 _PICKED = " UNION ALL ".join(f"SELECT '{name}' AS policy, qid, id FROM v WHERE {rule}" for name, rule in _RULES)
 
 
@@ -257,7 +258,7 @@ SELECT coalesce(bucket, 'all') AS slice, count(*) AS n, {_METRICS} FROM k GROUP
 UNION ALL SELECT 'answerable', count(*), {_METRICS} FROM k WHERE first IS NOT NULL""")
 def metric_slices(spark, sf_dir):
     candidates = pool(spark, sf_dir)
-    first = ev.first_hits(candidates, gold(spark, sf_dir, candidates), items(spark, sf_dir)).persist()
+    first = kept(ev.first_hits(candidates, gold(spark, sf_dir, candidates), items(spark, sf_dir)))
     sliced = first.rollup("bucket").agg(*ev.metric_columns()).withColumnRenamed("bucket", "slice")
     sliced = sliced.withColumn("slice", F.coalesce("slice", F.lit("all")))
     answerable = first.where("first IS NOT NULL").agg(*ev.metric_columns()).withColumn("slice", F.lit("answerable"))
@@ -269,8 +270,8 @@ SELECT channel, count(DISTINCT qid) AS queries, count(*) AS hits, (SELECT count(
 FROM c GROUP BY channel""")
 def coverage_channels(spark, sf_dir):
     n = table(spark, sf_dir, "benchmark").count()
-    hits = rt.channels(matches(spark, sf_dir)).groupBy("channel").agg(F.count_distinct("qid").alias("queries"), F.count(F.lit(1)).alias("hits"))
-    return hits.withColumn("without", F.lit(n).cast("long") - F.col("queries"))
+    met = hits(spark, sf_dir).groupBy("channel").agg(F.count_distinct("qid").alias("queries"), F.count(F.lit(1)).alias("hits"))
+    return met.withColumn("without", F.lit(n).cast("long") - F.col("queries"))
 
 
 @register("lexical_miss", WITH + FUSED + """
@@ -288,8 +289,8 @@ SELECT qid, id, max(rank) FILTER (WHERE channel = 'label') AS label_rank, max(ra
 WHERE id IN (SELECT doc_id FROM labels WHERE toxic = 1) GROUP BY qid, id""")
 def pool_probe(spark, sf_dir):
     suspects = table(spark, sf_dir, "labels").where("toxic = 1").select(F.col("doc_id").alias("id")).distinct()
-    hits = rt.channels(matches(spark, sf_dir)).join(suspects, "id", "left_semi")
-    return hits.groupBy("qid", "id").agg(*[F.max(F.when(F.col("channel") == c, F.col("rank"))).alias(f"{c}_rank") for c in ("label", "semantic", "lexical")])
+    met = hits(spark, sf_dir).join(suspects, "id", "left_semi")
+    return met.groupBy("qid", "id").agg(*[F.max(F.when(F.col("channel") == c, F.col("rank"))).alias(f"{c}_rank") for c in ("label", "semantic", "lexical")])
 
 
 @register("near_miss", WITH + RERANKED + """,
@@ -297,7 +298,7 @@ b AS (SELECT qid, max(rerank_score) AS s FROM r GROUP BY qid)
 SELECT source, count(*) AS n FROM r JOIN b USING (qid) JOIN documents d ON d.doc_id = r.id
 WHERE rerank_rank = 1 AND s < 0.895 GROUP BY source ORDER BY n DESC, source LIMIT 10""")
 def near_miss(spark, sf_dir):
-    rows = reranked(spark, sf_dir, pool(spark, sf_dir)).persist()
+    rows = kept(reranked(spark, sf_dir, pool(spark, sf_dir)))
     unmapped = ev.decide(rows, items(spark, sf_dir)).where("status = 'unmapped'").select("qid")
     first = rows.where("rerank_rank = 1").join(unmapped, "qid", "left_semi").select("id")
     named = first.join(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "source"), "id")

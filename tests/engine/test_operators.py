@@ -49,7 +49,10 @@ def test_cosine_equals_numpy(spark):
         want = sorted((i for i in range(90) if i != q), key=lambda i: (-s[q, i], i))[:4]
         assert [r.id for r in sorted((x for x in got if x.qid == q), key=lambda x: x.rank)] == want
     records = df.withColumn("record", df.id % 3)
-    best = {(r.qid, r.record): r.score for r in rt.maxsim(df, records, block=50).collect()}
+    best = {(r.qid, r.id): r.score for r in rt.maxsim(df, records, 1000, block=50).collect()}
+    few = rt.maxsim(df, records.repartition(5), 2, block=50).collect()
+    ranked = lambda q: sorted((-s, i) for (a, i), s in best.items() if a == q)[:2]
+    assert sorted((r.qid, r["rank"], -r.score, r.id) for r in few) == [(q, k + 1, *x) for q in sorted({q for q, _ in best}) for k, x in enumerate(ranked(q))]
     assert all(abs(best[q, g] - s[q, g::3].max()) < 2e-6 for q in range(90) for g in range(3))
 
 
@@ -107,16 +110,16 @@ def test_rerank_decide_and_metrics(spark):
     assert [x.rerank_rank for x in r] == [2, 1, None, None] and [x.id for x in r] == [1, 2, 3, 4]
     q = spark.createDataFrame([(0,), (1,), (2,)], "qid long")
     made = {x.qid: x for x in ev.decide(ev.attach_rerank(c, s), q).collect()}
-    assert made[0].status == "mapped" and made[0].best_id == 2 and made[1].abstain_reason == made[2].abstain_reason == "no reranked candidates"
+    assert made[0].status == "mapped" and made[0].best_id == 2 and made[1].abstain_reason == made[2].abstain_reason == "nothing scored"
     low = {x.qid: x for x in ev.decide(ev.attach_rerank(c, s), q, 0.96).collect()}
-    assert low[0].abstain_reason == "max rerank score 0.9500 < 0.96"
+    assert low[0].abstain_reason == "best score 0.9500 is under 0.96"
     gold = spark.createDataFrame([(0, 2), (1, 9)], "qid long, id long")
     m = ev.first_hits(c, gold, q).agg(*ev.metric_columns()).first()
     assert (m.n, m.hit_1, m.hit_5, m.mrr_10, m.zero_hit) == (3, 0.0, round(1 / 3, 6), round(1 / 6, 6), round(2 / 3, 6))
     p = {x.policy: x for x in ev.policy_metrics(ev.policies(ev.attach_rerank(c, s)), gold, q).collect()}
     assert (p["rank<=1"].tp, p["rank<=1"].fp, p["rank<=1"].fn) == (1, 0, 1) and p["margin>=0.2"].f1 == round(2 / 3, 6)
     with pytest.raises(Exception, match="one finite score"):
-        ev.rerank_scores(spark.createDataFrame([(0, 1, "a", "b")], "qid long, id long, query string, document string"), lambda q, d: []).collect()
+        ev.rerank_scores(spark.createDataFrame([(0, 1, "a", "b")], "qid long, id long, query string, document string"), lambda: lambda q, d: []).collect()
 
 
 def test_blend_of_flat_lists(spark):
