@@ -104,17 +104,23 @@ def without(rows: DataFrame, gone: DataFrame, key: str, *, most: int = 50_000) -
     return marked.where(F.col(mark).isNull()).drop(mark)
 
 
-#: Keys with fewer rows are never hot.
-HOT_ROWS = 1000
+#: Keys with fewer rows are never hot: a task bears as many.
+HOT_ROWS = 200_000
 
 
-def hot_join(rows: DataFrame, params: DataFrame, key: str, *, share: float = 0.001) -> DataFrame:
+def hot_join(rows: DataFrame, params: DataFrame, key: str, *, most: int = 0, written: bool = False, share: float = 0.001) -> DataFrame:
     """rows JOIN params USING (key), for keys that may hold a large part of the rows.
-    params has one row a key; rows is read three times, so a written table.
+    params has one row a key. written: rows is a written table, cheap to read again.
 
-    Keys with more than `share` of the rows, 1 / share of them at most, are broadcast with
-    their params, and their rows stay where they are; all others meet in a shuffle."""
+    With at most `most` rows, params is broadcast. Otherwise keys with more than `share` of
+    the rows (and HOT_ROWS), 1 / share of them at most, are broadcast with their params, and
+    their rows stay where they are; all others meet in a shuffle."""
+    if most and params.limit(most + 1).count() <= most:
+        return rows.join(F.broadcast(params), key)
     n = rows.count()
+    if n <= HOT_ROWS:
+        return rows.join(params, key)
+    rows = rows if written else materialize(rows, "hot-rows")
     hot = rows.groupBy(key).agg(F.count(F.lit(1)).alias("__n")).where(F.col("__n") > max(HOT_ROWS, share * n)).select(key)
     hot = materialize(hot, "hot-keys")
     if hot.isEmpty():

@@ -26,13 +26,13 @@ def components(edges: DataFrame) -> DataFrame:
     if edges.isEmpty():
         return edges.select(F.col("a").alias("node"), F.col("b").alias("label"))
     while True:
-        low = materialize(_stars(edges), "stars")
+        low = _stars(edges)
         # Large star: larger neighbours go to the smallest label around a node. Small
         # star: so do the node and its smaller neighbours.
         both = edges.select("a", "b").union(edges.select("b", "a"))
         moved = hot_join(both, low, "a").select(F.col("b").alias("x"), "m").union(low.select(F.col("a").alias("x"), "m"))
         new = moved.where("x <> m").select(F.greatest("x", "m").alias("a"), F.least("x", "m").alias("b")).distinct()
-        new = materialize(new, "edges", replaces=[edges, low])
+        new = materialize(new, "edges", replaces=[edges])
         # Done when every edge ends in a root: no node is both an upper and a lower end,
         # and none has two lower ends.
         ups = new.groupBy("a").agg(F.count(F.lit(1)).alias("n"))

@@ -214,7 +214,7 @@ def dedup_lines(
         rows = docs.withColumn(own, F.lit(None).cast("array<binary>"))
     else:
         # What a document loses is bounded by its own lines; a common line stays where it is.
-        lost = hot_join(found.where("doc_id IS NOT NULL"), keys, "key").where("doc_id <> keep")
+        lost = hot_join(found.where("doc_id IS NOT NULL"), keys, "key", written=True).where("doc_id <> keep")
         lost = materialize(lost.groupBy("doc_id").agg(F.collect_set("key").alias(own)), "lost-lines")
         id_name = free_name(docs, "__id")
         rows = docs.withColumn(id_name, F.col("doc_id").cast("long"))

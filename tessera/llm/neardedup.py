@@ -175,7 +175,7 @@ def _linked(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
 
 def _hub_pairs(banded: DataFrame, buckets: DataFrame) -> DataFrame:
     """Distinct pairs (a < b) of bucket members and their bucket's hubs."""
-    met = hot_join(banded, buckets, "band").select("doc", F.explode(F.array("low", "high", "any")).alias("hub"))
+    met = hot_join(banded, buckets, "band", most=MOST, written=True).select("doc", F.explode(F.array("low", "high", "any")).alias("hub"))
     return met.where("doc <> hub").select(F.least("doc", "hub").alias("a"), F.greatest("doc", "hub").alias("b")).distinct()
 
 
@@ -191,8 +191,7 @@ def _estimated(pairs: DataFrame, signed: DataFrame) -> DataFrame:
     exact = both / (F.size("sa") + F.size("sb") - both)
     s = F.when(F.col("sa").isNotNull() & F.col("sb").isNotNull(), exact).otherwise(estimate(_differing("pa", "pb")))
     # A bucket's least id is a of nearly all its pairs, its greatest b of many.
-    first = materialize(hot_join(pairs, x, "a"), "first-ends")
-    return hot_join(first, y, "b").select("a", "b", s.alias("s")).where(F.col("s") >= MIN_ESTIMATE)
+    return hot_join(hot_join(pairs, x, "a", written=True), y, "b").select("a", "b", s.alias("s")).where(F.col("s") >= MIN_ESTIMATE)
 
 
 def _best(pairs: DataFrame) -> DataFrame:
@@ -207,11 +206,11 @@ def _strays(banded: DataFrame, labels: DataFrame) -> DataFrame:
     """band, doc, label, n, k, lead: members of buckets of several components, with the
     bucket's members, those outside its largest component, and that component."""
     rows = keyed_join(banded, labels.withColumnRenamed("node", "doc"), ["doc"], most=MOST)
-    rows = materialize(rows.select("band", "doc", F.coalesce("label", "doc").alias("label")), "labelled")
+    rows = rows.select("band", "doc", F.coalesce("label", "doc").alias("label"))
     own = rows.groupBy("band", "label").agg(F.count(F.lit(1)).alias("c"))
     mixed = own.groupBy("band").agg(F.sum("c").alias("n"), F.max(F.struct("c", "label")).alias("top"))
     mixed = mixed.where("n > top.c").select("band", "n", (F.col("n") - F.col("top.c")).alias("k"), F.col("top.label").alias("lead"))
-    return materialize(hot_join(rows, materialize(mixed, "mixed"), "band"), "strays", replaces=[rows])
+    return hot_join(rows, materialize(mixed, "mixed"), "band", most=MOST)
 
 
 def _cells(rows: DataFrame, *others: str) -> DataFrame:

@@ -98,7 +98,7 @@ def test_hot_joins(spark, monkeypatch):
     monkeypatch.setattr(common, "HOT_ROWS", 10)
     rows = common.materialize(spark.range(3000).selectExpr("IF(id % 3 = 0, -1, id) AS k", "id"), "rows")
     params = spark.range(-1, 2000).selectExpr("id AS k", "id * 2 AS v")
-    got = common.hot_join(rows, params, "k", share=0.1)
+    got = common.hot_join(rows, params, "k", written=True, share=0.1)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, rows.join(params, "k").collect()))
     assert "BroadcastHashJoin" in got._jdf.queryExecution().toString()
 
