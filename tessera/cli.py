@@ -19,17 +19,34 @@ def session() -> SparkSession:
     return SparkSession.builder.appName("tessera").config("spark.sql.session.timeZone", "UTC").getOrCreate()
 
 
+#: Commands that build an index, and the last stage of each: what is done is kept, so each
+#: goes on from the one before. An index's tables are its store, so nothing is uploaded.
+STEPS = {
+    "ingest": ("records", "make the canonical records of a concept package"),
+    "validate": ("validate", "check the records and report on them"),
+    "embed": ("lexical", "encode labels and documents"),
+    "verify": ("verify", "check the index as a whole"),
+    "build": ("verify", "build an index of a concept package, all stages"),
+}
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tessera")
     sub = p.add_subparsers(dest="command", required=True)
-    b = sub.add_parser("build", help="build an index of a concept package")
-    b.add_argument("--source", required=True)
-    b.add_argument("--work", required=True)
-    b.add_argument("--config")
-    b.add_argument("--promote", metavar="POINTER")
+    for name, (until, what) in STEPS.items():
+        b = sub.add_parser(name, help=what)
+        b.add_argument("--source", required=True)
+        b.add_argument("--work", required=True)
+        b.add_argument("--config")
+        b.set_defaults(until=until, promote=None)
+        if until == "verify":
+            b.add_argument("--promote", metavar="POINTER")
     m = sub.add_parser("match-jobs", help="match postings to the promoted index")
-    for name in ("jobs", "categories", "pointer", "work"):
+    for name in ("jobs", "categories", "work"):
         m.add_argument(f"--{name}", required=True)
+    which = m.add_mutually_exclusive_group(required=True)
+    which.add_argument("--pointer", help="names the promoted index")
+    which.add_argument("--index-build", help="an index's folder, whatever is promoted")
     m.add_argument("--config")
     r = sub.add_parser("promote", help="point at a verified build")
     r.add_argument("--build-dir", required=True)
@@ -43,12 +60,13 @@ def parser() -> argparse.ArgumentParser:
 
 def decide(spark: SparkSession, build_dir: str, out: str, threshold: float) -> dict:
     """Writes decisions and the unmapped ones as JSON, a summary and a Markdown report."""
-    made = match.decisions(spark, bd.Build(Path(build_dir), match.STAGES), threshold).persist()
+    made = match.decisions(spark, bd.Build(Path(build_dir), match.STAGES), threshold).persist()  # read by three sinks
     made.write.mode("overwrite").json(f"{out}/decisions")
     made.where("status = 'unmapped'").write.mode("overwrite").json(f"{out}/unmapped")
     counts = {r.status: r["count"] for r in made.groupBy("status").count().collect()}
     whole = made.agg(F.sum("n_matches").alias("pairs"), F.avg("n_matches").alias("mean")).first()
     summary = {"postings": sum(counts.values()), "threshold": threshold, **counts, "pairs": whole.pairs or 0}
+    made.unpersist()
     write_json(Path(out) / "summary.json", summary)
     (Path(out) / "report.md").write_text(markdown_table(["figure", "value"], summary.items()))
     return summary
@@ -61,13 +79,13 @@ def main(argv: list[str] | None = None) -> int:
             bd.promote(bd.Build(Path(args.build_dir), index.STAGES), args.pointer)
             return 0
         spark = session()
-        if args.command == "build":
-            made = index.build_index(spark, args.source, args.work, load_settings(args.config, index.DEFAULTS))
+        if args.command in STEPS:
+            made = index.build_index(spark, args.source, args.work, load_settings(args.config, index.DEFAULTS), args.until)
             if args.promote:
                 bd.promote(made, args.promote)
             print(made.path)
         elif args.command == "match-jobs":
-            made = match.match_postings(spark, args.jobs, args.categories, args.pointer, args.work, load_settings(args.config, match.DEFAULTS))
+            made = match.match_postings(spark, args.jobs, args.categories, args.pointer, args.work, load_settings(args.config, match.DEFAULTS), args.index_build)
             print(made.path)
         else:
             print(decide(spark, args.build_dir, args.out, args.threshold))

@@ -9,6 +9,8 @@ import re
 from collections.abc import Callable
 from functools import lru_cache
 
+from tessera.functions.plugins import resolve
+
 Analyzer = Callable[[str | None], list[str]]
 
 _RUN = re.compile("[a-z0-9]+")
@@ -35,8 +37,13 @@ def english(text: str | None) -> list[str]:
     return [stem(w) for w in words if len(w) <= LONGEST and w not in STOP_WORDS]
 
 
+#: Sparse backends by name.
 ANALYZERS: dict[str, Analyzer] = {"plain": plain, "english": english}
 
+
+def analyzer_of(name: str) -> Analyzer:
+    return resolve("analyzer", name, ANALYZERS)
+
 # ---------------------------------------------------------------------- stemmer
 
 _VOWEL = "aeiouy"

@@ -115,5 +115,6 @@ def fit_column(rows: DataFrame, id_col: str, parts: Sequence[tuple[str, str, str
                 ["id", "text", "tokens_before", "tokens", "truncated", "shortened"],
             )
 
-    schema = "id long, text string, tokens_before long, tokens long, truncated boolean, shortened string"
-    return rows.select(F.col(id_col).cast("long").alias("id"), *columns).mapInArrow(run, schema)
+    own = rows.select(F.col(id_col).alias("id"), *columns)
+    schema = f"id {own.schema['id'].dataType.simpleString()}, text string, tokens_before long, tokens long, truncated boolean, shortened string"
+    return own.mapInArrow(run, schema)

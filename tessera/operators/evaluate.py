@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.errors import SourceError
+from tessera.functions.plugins import resolve
 from tessera.functions.text import tokens
 
 #: Fixed value: the frozen acceptance threshold.
@@ -27,8 +28,14 @@ def overlap_scores(pairs: DataFrame) -> DataFrame:
     return rows.select("qid", "id", F.when(F.size("w") > 0, share).alias("rerank_score"))
 
 
-#: Rerankers by name: a function that makes a scorer, or None for the stand-in. Models and
-#: services are added here (see RemoteReranker).
+def _remote(url: str) -> Callable[[], Reranker]:
+    from tessera.functions.remote import RemoteReranker
+
+    return lambda: RemoteReranker(url)
+
+
+#: Rerankers by name: a function that makes a scorer, or None for the stand-in. A build may
+#: also name "remote:URL" or "module:attribute".
 RERANKERS: dict[str, Callable[[], Reranker] | None] = {"overlap": None}
 
 
@@ -36,7 +43,7 @@ def rerank_scores(pairs: DataFrame, reranker: str | Callable[[], Reranker] = "ov
     """qid, id, rerank_score of (qid, id, query, document) by a reranker: one of RERANKERS,
     or a function that makes a scorer over lists in each task. Scores must be finite, one a
     pair or none for it."""
-    make = RERANKERS[reranker] if isinstance(reranker, str) else reranker
+    make = resolve("reranker", reranker, RERANKERS, {"remote": _remote}) if isinstance(reranker, str) else reranker
     if make is None:
         return overlap_scores(pairs)
 

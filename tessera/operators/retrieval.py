@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera.errors import SourceError
-from tessera.functions.analysis import ANALYZERS
+from tessera.functions.analysis import analyzer_of
 from tessera.functions.text import tokens
 from tessera.operators.scratch import kept
 
@@ -98,9 +98,10 @@ def term_rows(points: DataFrame, id_col: str, text_col: str, wanted: frozenset[s
     """id, dl (terms of the point), dt (distinct ones), and terms and tfs of those in
     `wanted` (None: of all); points without any are left out. One pass, no shuffle."""
     held = points.sparkSession.sparkContext.broadcast(wanted)
+    analyze = analyzer_of(analyzer)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        analyze, some = ANALYZERS[analyzer], held.value
+        some = held.value
         for batch in batches:
             out = []
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -168,13 +169,13 @@ def lexical_hits(queries: DataFrame, qid: str, points: DataFrame, pid: str, k: i
     Points are analyzed once; queries go out in blocks as postings, a task scores its points
     and keeps its k best a query and channel, so only those shuffle: pairs never do. strict:
     a query without terms is an error. Rows that repeat a point's id count each."""
-    spark = points.sparkSession
+    spark, analyze = points.sparkSession, analyzer_of(analyzer)
     own = queries.select(F.col(qid).cast("long").alias("id"), F.col(query_text).alias("t"))
     parts = max(1, -(-own.count() // block))
 
     def asked(p: int) -> tuple[list[int], list[list[str]]]:
         rows = own.where(F.pmod(F.xxhash64("id"), F.lit(parts)) == p).toArrow()  # block rows or so
-        terms = [list(dict.fromkeys(ANALYZERS[analyzer](t))) for t in rows["t"].to_pylist()]
+        terms = [list(dict.fromkeys(analyze(t))) for t in rows["t"].to_pylist()]
         if strict and [] in terms:
             raise SourceError(f"query {rows['id'][terms.index([])].as_py()} has no terms")
         return rows["id"].to_pylist(), terms

@@ -93,10 +93,7 @@ class Build:
         entry = self.manifest()["stages"].get(name, {})
         if entry.get("state") != COMPLETED or "digest" not in entry:
             return False
-        try:
-            return table_digest(self.read(spark, name)) == entry["digest"]
-        except Exception:  # any way of not reading is damage
-            return False
+        return self._reads_as(spark, self._where(name), entry["digest"])
 
     def table(self, spark: SparkSession, name: str, make: Callable[[], DataFrame], after: Sequence[str] = ()) -> DataFrame:
         """The table of a stage: kept if intact, adopted from a sibling of equal
@@ -117,6 +114,42 @@ class Build:
             self._set(name, FAILED, error=str(e)[:500])
             raise
 
+    def sharded(self, spark: SparkSession, name: str, make: Callable[[int], DataFrame], shards: int, after: Sequence[str] = ()) -> DataFrame:
+        """Like table, in `shards` parts (make takes a part's number): a stage that stopped
+        goes on with the parts that aren't written and intact yet."""
+        if self.intact(spark, name):
+            return self.read(spark, name)
+        self.require(*after)
+        if donor := self.donor(spark, name):
+            self._set(name, COMPLETED, **donor)
+            return self.read(spark, name)
+        entry = self.manifest()["stages"].get(name, {})
+        same = entry.get("shards") == shards and entry.get("fingerprint") == self.fingerprints.get(name)
+        done: dict[str, dict] = dict(entry.get("done", {})) if same else {}
+        more = {"shards": shards, "fingerprint": self.fingerprints.get(name)}
+        try:
+            for i in range(shards):
+                path = f"{self.table_path(name)}/shard-{i:05}-of-{shards:05}"
+                if str(i) in done and self._reads_as(spark, path, done[str(i)]):
+                    continue
+                self._set(name, RUNNING, done=done, **more)
+                make(i).write.mode("overwrite").option("compression", "zstd").parquet(path)
+                done[str(i)] = table_digest(spark.read.parquet(path))
+            path = f"{self.table_path(name)}/shard-*-of-{shards:05}"
+            whole = spark.read.parquet(path)
+            self._set(name, COMPLETED, digest=table_digest(whole), path=path)
+            return whole
+        except BaseException as e:
+            self._set(name, FAILED, error=str(e)[:500], done=done, **more)
+            raise
+
+    @staticmethod
+    def _reads_as(spark: SparkSession, path: str, digest: dict) -> bool:
+        try:
+            return table_digest(spark.read.parquet(path)) == digest
+        except Exception:  # any way of not reading is damage
+            return False
+
     def step(self, name: str, run: Callable[[], Mapping], after: Sequence[str] = ()) -> dict:
         """A stage that leaves a report only."""
         self.require(*after)

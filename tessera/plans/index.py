@@ -18,6 +18,7 @@ from tessera.operators import constraints as ct
 from tessera.operators import documents as dc
 from tessera.operators import hierarchy as hi
 from tessera.operators import retrieval as rt
+from tessera.operators.scratch import checkpointed, kept
 from tessera.plans.build import Build, fingerprint, layered
 from tessera.sources.package import Package, collection_uris, load_package, profile
 
@@ -76,9 +77,9 @@ def nodes_and_edges(package: Package, occupations: DataFrame) -> tuple[DataFrame
 
 def records(spark: SparkSession, package: Package, settings: dict) -> DataFrame:
     """Canonical records of released occupations."""
-    occupations = released(package).persist()
+    occupations = kept(released(package))
     nodes, edges = nodes_and_edges(package, occupations)
-    nodes = nodes.persist()
+    nodes = kept(nodes)
     ct.enforce([*hi.guards(nodes, edges), ct.unique(nodes, "id")])
     roots = nodes.where("type = 'group' AND length(code) = 1")
     paths = hi.canonical_paths(nodes, edges, roots)
@@ -157,11 +158,12 @@ def label_variants(rows: DataFrame) -> DataFrame:
     return open_.unionByName(rows.select("id", F.explode("hidden_labels").alias("label"), F.lit(True).alias("hidden")))
 
 
-def build_index(spark: SparkSession, source: str, work: str, settings: dict | None = None) -> Build:
-    """All stages; what is there and intact is kept. Returns the verified build."""
+def build_index(spark: SparkSession, source: str, work: str, settings: dict | None = None, until: str = "verify") -> Build:
+    """The stages up to `until`; what is there and intact is kept. Only a build with all of
+    them is verified and can be promoted."""
     settings = DEFAULTS | (settings or {})
-    if spark.sparkContext.getCheckpointDir() is None and not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(f"{work}/checkpoints")
+    wanted = STAGES[: STAGES.index(until) + 1]
+    checkpointed(spark)
     package = load_package(spark, source)
     layers = layered([("records", [VERSION, package.checksum, settings["version"], settings["language"]]), ("vectors", settings["encoder"])])
     prints = {s: layers["records"] for s in ("records", "validate", "lexical")} | {s: layers["vectors"] for s in ("labels", "semantic", "verify")}
@@ -172,15 +174,17 @@ def build_index(spark: SparkSession, source: str, work: str, settings: dict | No
         ct.enforce(record_constraints(rows))
         return {"source": profile(package), "statistics": statistics(rows)}
 
-    if build.state("validate") != "completed":
+    if "validate" in wanted and build.state("validate") != "completed":
         build.step("validate", validate, ["records"])
+    if "lexical" not in wanted:
+        return build
     variants = label_variants(rows)
     build.table(spark, "labels", lambda: encoded_labels(variants.where("NOT hidden"), settings["encoder"]), ["validate"])
     text = dc.semantic_text(F.col("preferred_label"), F.col("description"), F.col("definition"), F.col("scope_note"), F.col("path_text"))
     build.table(spark, "semantic", lambda: encode_column(rows.withColumn("text", text), "id", "text", settings["encoder"]), ["validate"])
     lexical = rows.select("id", F.array_join(F.concat(F.array("preferred_label"), "alternative_labels", "hidden_labels"), "\n").alias("text"))
     build.table(spark, "lexical", lambda: lexical, ["validate"])
-    if build.state("verify") != "completed":
+    if "verify" in wanted and build.state("verify") != "completed":
         build.step("verify", lambda: verify(spark, build), ["labels", "semantic", "lexical"])
     return build
 

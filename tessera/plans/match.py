@@ -17,6 +17,7 @@ from tessera.operators import documents as dc
 from tessera.operators import evaluate as ev
 from tessera.operators import hierarchy as hi
 from tessera.operators import retrieval as rt
+from tessera.operators.scratch import checkpointed
 from tessera.plans.build import Build, check_pointer, fingerprint, layered, promoted, table_digest
 from tessera.plans.index import STAGES as INDEX_STAGES
 from tessera.sources.package import read_postings, read_taxonomy
@@ -25,15 +26,16 @@ VERSION = 1
 STAGES = ("postings", "validate", "queries", "retrieve", "rerank", "verify")
 #: Fixed value: the root of IT categories.
 IT_ROOT = "257"
-DEFAULTS = {"it_root": IT_ROOT, "encoder": "hash", "label_tokens": 128, "semantic_tokens": 4096, "instruction": "", "candidates": 100, "top_k": 100, "rrf_k": 60, "weights": {"label": 1.0, "semantic": 2.0, "lexical": 1.0}, "rerank_top": 100, "threshold": ev.THRESHOLD}
+DEFAULTS = {"it_root": IT_ROOT, "platform": "jobs", "shards": 4, "analyzer": "english", "reranker": "overlap", "encoder": "hash", "label_tokens": 128, "semantic_tokens": 4096, "instruction": "", "candidates": 100, "top_k": 100, "rrf_k": 60, "weights": {"label": 1.0, "semantic": 2.0, "lexical": 1.0}, "rerank_top": 100, "threshold": ev.THRESHOLD}
 
 
-def canonical_postings(postings: DataFrame, taxonomy: DataFrame, it_root: str = IT_ROOT) -> DataFrame:
+def canonical_postings(postings: DataFrame, taxonomy: DataFrame, it_root: str = IT_ROOT, platform: str = "jobs") -> DataFrame:
     """Completed postings with cleaned texts and categories routed to it, secondary or
-    unresolved; content_hash covers texts and IT paths only."""
+    unresolved; content_hash covers texts and IT paths only. platform names the source of
+    postings that don't say and begins their ids."""
     rows = postings.where("status = 'completed'")
     rows = rows.select(
-        F.trim("externalId").alias("external_id"), F.coalesce(F.nullif(F.trim("platformId"), F.lit("")), F.lit("topcv")).alias("platform"), F.concat(F.lit("topcv:"), F.trim("externalId")).alias("job_id"),
+        F.trim("externalId").alias("external_id"), F.coalesce(F.nullif(F.trim("platformId"), F.lit("")), F.lit(platform)).alias("platform"), F.concat(F.lit(f"{platform}:"), F.trim("externalId")).alias("job_id"),
         F.col("sourceUrl").alias("source_url"), tx.date_of(F.col("updatedAt")).alias("updated_at"),
         tx.clean_text(F.col("title")).alias("title"), tx.clean_text(F.col("description")).alias("description"), tx.clean_text(F.col("requireCandidate")).alias("require_candidate"), tx.clean_text(F.col("experience")).alias("experience"),
         tx.clean_strings(F.col("requireSummary")).alias("require_summary"), tx.clean_strings(F.transform("knowledge", lambda x: x["title"])).alias("knowledge"), tx.clean_map(F.col("commonInfo")).alias("common_info"), F.col("categories"),
@@ -75,54 +77,67 @@ def _names(paths: str, one: str) -> Column:
 
 
 def queries(rows: DataFrame, settings: dict) -> DataFrame:
-    """job_id, and the label, semantic and lexical query texts, fitted to their budgets."""
+    """qid (a number of the row's own), job_id, and the label, semantic and lexical query
+    texts, fitted to their budgets."""
     terminals = F.array_distinct(_names("it_category_paths", "terminal_label"))
     paths = F.array_distinct(F.transform("it_category_paths", lambda x: F.coalesce(F.nullif(x["declared_path"], F.lit("")), x["observed_name"])))
     needs = F.array_join(F.concat(F.array_compact(F.array("require_candidate")), "require_summary"), "\n")
-    numbered = rows.withColumns({"n": F.xxhash64("job_id"), "terminals": F.array_join(terminals, "; "), "paths": F.array_join(paths, "; "), "needs": needs})
-    label = dc.fit_column(numbered, "n", [("title", "Title", "title", 90), ("category", "IT categories", "terminals", 10)], settings["label_tokens"], settings["instruction"])
-    semantic = dc.fit_column(numbered, "n", [("title", "Title", "title", 90), ("category", "Category context", "paths", 50), ("responsibilities", "Responsibilities", "description", 10), ("requirements", "Requirements", "needs", 20)], settings["semantic_tokens"], settings["instruction"])
+    made = rows.withColumns({"terminals": F.array_join(terminals, "; "), "paths": F.array_join(paths, "; "), "needs": needs})
+    label = dc.fit_column(made, "job_id", [("title", "Title", "title", 90), ("category", "IT categories", "terminals", 10)], settings["label_tokens"], settings["instruction"])
+    semantic = dc.fit_column(made, "job_id", [("title", "Title", "title", 90), ("category", "Category context", "paths", 50), ("responsibilities", "Responsibilities", "description", 10), ("requirements", "Requirements", "needs", 20)], settings["semantic_tokens"], settings["instruction"])
     lexical = F.array_join(F.filter(F.concat(F.array("title"), terminals, "knowledge"), lambda x: x.isNotNull() & (x != "")), "\n")
-    out = numbered.select("job_id", "n", lexical.alias("lexical"))
-    return out.join(label.select(F.col("id").alias("n"), F.col("text").alias("label")), "n").join(semantic.select(F.col("id").alias("n"), F.col("text").alias("semantic")), "n").drop("n")
+    out = made.select("job_id", "content_hash", lexical.alias("lexical"))
+    out = out.join(label.select(F.col("id").alias("job_id"), F.col("text").alias("label")), "job_id").join(semantic.select(F.col("id").alias("job_id"), F.col("text").alias("semantic")), "job_id")
+    # The table is written at once, so the numbers stay as they are.
+    return out.withColumn("qid", F.monotonically_increasing_id())
 
 
 def retrieve(spark: SparkSession, asked: DataFrame, index: Build, settings: dict) -> DataFrame:
-    """Fused candidates (qid, id are hashes; job_id and concept_id name them)."""
+    """Fused candidates (id is the hash of concept_id), with the content hash of their
+    posting and the name of the index."""
     k = settings["candidates"]
-    ids = asked.select(F.xxhash64("job_id").alias("id"), "job_id", "label", "semantic", "lexical")
+    ids = asked.withColumn("id", F.col("qid"))
     points = index.read(spark, "records").select("id").withColumn("pid", F.xxhash64("id"))
     if points.groupBy("pid").count().where("count > 1").count():
         raise ConstraintError("two concept ids share a hash")
     vectors = {c: encode_column(ids, "id", c, settings["encoder"]).select(F.col("id").cast("long").alias("id"), "vec") for c in ("label", "semantic")}
     labels = index.read(spark, "labels").select(F.xxhash64("id").alias("record"), "vec")
     semantic = index.read(spark, "semantic").select(F.xxhash64("id").alias("id"), "vec")
+    words = index.read(spark, "lexical").withColumn("id", F.xxhash64("id"))
     hit = lambda df, channel: df.select("qid", "id", F.lit(channel).alias("channel"), "rank", "score")
-    best = rt.top_k(rt.maxsim(vectors["label"], labels).withColumnRenamed("record", "id"), k)
+    best = rt.maxsim(vectors["label"], labels, k)
     near = rt.cosine_top_k(vectors["semantic"], semantic, k)
-    words = rt.lexical_matches(ids.select("id", "lexical").withColumnRenamed("lexical", "text"), "id", index.read(spark, "lexical").withColumn("id", F.xxhash64("id")), "id")
-    lexical = rt.top_k(words.withColumn("score", F.col("bm25")), k)
-    hits = hit(best, "label").unionByName(hit(near, "semantic")).unionByName(hit(lexical, "lexical"))
+    lexical = rt.lexical_hits(ids, "id", words, "id", k, ("lexical",), query_text="lexical", analyzer=settings["analyzer"], strict=True)
+    hits = hit(best, "label").unionByName(hit(near, "semantic")).unionByName(lexical)
     fused = rt.rrf(hits, settings["weights"], settings["rrf_k"], settings["top_k"])
     named = fused.join(points.select(F.col("id").alias("concept_id"), F.col("pid").alias("id")), "id")
-    return named.join(ids.select(F.col("id").alias("qid"), "job_id"), "qid")
+    return named.join(asked.select("qid", "job_id", "content_hash"), "qid").withColumn("index_build", F.lit(index.path.name))
 
 
-def match_postings(spark: SparkSession, postings_path: str, taxonomy_path: str, pointer: str, work: str, settings: dict | None = None) -> Build:
-    """All stages against the promoted index, which mustn't move meanwhile."""
+def rerank_pairs(candidates: DataFrame, asked: DataFrame, texts: DataFrame) -> DataFrame:
+    """qid, id, query, document of candidates; a candidate without a document, or without
+    its posting's query, is an error."""
+    ct.enforce([ct.references(candidates, "concept_id", texts, "concept_id"), ct.references(candidates, "job_id", asked, "job_id")])
+    pairs = candidates.join(asked.select("job_id", F.col("semantic").alias("query")), "job_id").join(texts, "concept_id")
+    return pairs.select("qid", "id", "query", "document")
+
+
+def match_postings(spark: SparkSession, postings_path: str, taxonomy_path: str, pointer: str | None, work: str, settings: dict | None = None, index_build: str | None = None) -> Build:
+    """All stages against the promoted index, which mustn't move meanwhile, or against
+    index_build, whatever is promoted."""
     settings = DEFAULTS | (settings or {})
-    if spark.sparkContext.getCheckpointDir() is None and not spark.conf.get("spark.checkpoint.dir", None):
-        spark.sparkContext.setCheckpointDir(f"{work}/checkpoints")
-    at = promoted(pointer)
+    checkpointed(spark)
+    at = index_build or promoted(pointer)
+    unmoved = lambda: index_build or check_pointer(pointer, at)
     index = Build(Path(at), INDEX_STAGES)
     index.require("records", "validate", "verify")
     source = read_postings(spark, postings_path)
     taxonomy = read_taxonomy(spark, taxonomy_path)
-    data = [VERSION, table_digest(source.select(F.to_json(F.struct("*")).alias("j"))), table_digest(taxonomy), settings["it_root"]]
-    layers = layered([("postings", data), ("queries", [settings[k] for k in ("label_tokens", "semantic_tokens", "instruction")]), ("retrieve", [at, settings["encoder"], *[settings[k] for k in ("candidates", "top_k", "rrf_k", "weights")]]), ("rerank", settings["rerank_top"])])
+    data = [VERSION, table_digest(source.select(F.to_json(F.struct("*")).alias("j"))), table_digest(taxonomy), settings["it_root"], settings["platform"]]
+    layers = layered([("postings", data), ("queries", [settings[k] for k in ("label_tokens", "semantic_tokens", "instruction")]), ("retrieve", [at, settings["encoder"], settings["analyzer"], settings["shards"], *[settings[k] for k in ("candidates", "top_k", "rrf_k", "weights")]]), ("rerank", [settings["rerank_top"], settings["reranker"]])])
     prints = {"postings": layers["postings"], "queries": layers["queries"], "retrieve": layers["retrieve"], "rerank": layers["rerank"]}
     build = Build(Path(work) / fingerprint(layers), STAGES, prints)
-    rows = build.table(spark, "postings", lambda: canonical_postings(source, taxonomy, settings["it_root"]))
+    rows = build.table(spark, "postings", lambda: canonical_postings(source, taxonomy, settings["it_root"], settings["platform"]))
 
     def validate() -> dict:
         ct.enforce(posting_constraints(rows))
@@ -131,32 +146,41 @@ def match_postings(spark: SparkSession, postings_path: str, taxonomy_path: str,
     if build.state("validate") != "completed":
         build.step("validate", validate, ["postings"])
     asked = build.table(spark, "queries", lambda: queries(rows, settings), ["validate"])
-    found = build.table(spark, "retrieve", lambda: retrieve(spark, asked, index, settings), ["queries"])
-    check_pointer(pointer, at)
+    shard = F.pmod(F.xxhash64("job_id"), F.lit(settings["shards"]))
+    found = build.sharded(spark, "retrieve", lambda i: retrieve(spark, asked.where(shard == i), index, settings), settings["shards"], ["queries"])
+    unmoved()
 
     def rerank() -> DataFrame:
         texts = index.read(spark, "lexical").select(F.col("id").alias("concept_id"), F.col("text").alias("document"))
-        few = found.where(F.col("rank") <= settings["rerank_top"])
-        pairs = few.join(asked.select("job_id", F.col("semantic").alias("query")), "job_id").join(texts, "concept_id")
-        return ev.attach_rerank(found, ev.rerank_scores(pairs.select("qid", "id", "query", "document")))
+        pairs = rerank_pairs(found.where(F.col("rank") <= settings["rerank_top"]), asked, texts)
+        return ev.attach_rerank(found, ev.rerank_scores(pairs, settings["reranker"]))
 
     done = build.table(spark, "rerank", rerank, ["retrieve"])
     if build.state("verify") != "completed":
-        build.step("verify", lambda: verify(done, rows, index.read(spark, "records")), ["rerank"])
-    check_pointer(pointer, at)
+        build.step("verify", lambda: verify(done, rows, index.read(spark, "records"), index.path.name), ["rerank"])
+    unmoved()
     return build
 
 
-def verify(matches: DataFrame, rows: DataFrame, concepts: DataFrame) -> dict:
-    """Ranks run from 1, candidates differ and exist, and scores are finite."""
-    ranks = matches.groupBy("job_id").agg(F.max("rank").alias("m"), F.count(F.lit(1)).alias("n"), F.count_distinct("concept_id").alias("d"))
+def verify(matches: DataFrame, rows: DataFrame, concepts: DataFrame, index_build: str) -> dict:
+    """Ranks and rerank ranks run from 1, candidates differ and exist, scores are finite,
+    and every match is of this index and of its posting as it is now."""
+    ranks = matches.groupBy("job_id").agg(
+        F.max("rank").alias("m"), F.count(F.lit(1)).alias("n"), F.count_distinct("concept_id").alias("d"),
+        F.count("rerank_score").alias("scored"), F.count("rerank_rank").alias("placed"), F.count_distinct("rerank_rank").alias("places"), F.max("rerank_rank").alias("last"),
+    )
     key = F.col("job_id").alias("key")
+    fresh = rows.select("job_id", F.col("content_hash").alias("now"))
+    stale = matches.join(fresh, "job_id").where("NOT content_hash <=> now")
     ct.enforce(
         [
             ct.Constraint("ranks from 1 without gaps", ranks.where("m <> n OR d <> n").select(key)),
+            ct.Constraint("rerank ranks from 1 without gaps", ranks.where("scored <> placed OR places <> placed OR coalesce(last, 0) <> placed").select(key)),
+            ct.Constraint("postings as they were matched", stale.select(key)),
+            ct.Constraint("matches of this index", matches.where(F.col("index_build") != index_build).select(key)),
             ct.references(matches, "concept_id", concepts, "id"),
             ct.references(matches, "job_id", rows, "job_id"),
-            ct.Constraint("finite scores", matches.where("isnan(rerank_score) OR isnan(fused)").select(key)),
+            ct.Constraint("finite scores", matches.where("isnan(rerank_score) OR isnan(fused) OR abs(fused) = double('inf')").select(key)),
         ]
     )
     return {"jobs": rows.count(), "matched": ranks.count(), "candidates": matches.count()}
@@ -165,6 +189,6 @@ def verify(matches: DataFrame, rows: DataFrame, concepts: DataFrame) -> dict:
 def decisions(spark: SparkSession, build: Build, threshold: float = ev.THRESHOLD) -> DataFrame:
     """A decision for each posting of a verified build."""
     build.require("verify")
-    jobs = build.read(spark, "postings").select("job_id", F.xxhash64("job_id").alias("qid"))
+    jobs = build.read(spark, "queries").select("job_id", "qid")
     made = ev.decide(build.read(spark, "rerank"), jobs.select("qid"), threshold)
     return jobs.join(made, "qid").drop("qid")

@@ -30,9 +30,9 @@ def test_strict_csv():
 def test_package(spark, tmp_path):
     p = pk.load_package(spark, fx.write_package(tmp_path / "p.zip"))
     report = pk.profile(p)
-    assert report["occupations"]["rows"] == 3 and "inScheme" in report["occupations"]["extra"]
-    assert [r.conceptUri for r in pk.collection_uris(p.tables["research"]).collect()] == [fx.PARENT]
-    assert "tests." in p.tables["occupations"].where("_row = 0").first().description
+    assert report["occupations"]["rows"] == 5 and "inScheme" in report["occupations"]["extra"]
+    assert {r.conceptUri for r in pk.collection_uris(p.tables["research"]).collect()} == {fx.TASTING, fx.PASTRY}
+    assert p.tables["occupations"].where("_row = 1").first().description.endswith('"raw" cheese,\nfrom curdling to pressing.')
     fewer = pk.load_package(spark, fx.write_package(tmp_path / "f.zip", {"greenShareOcc_en.csv": None}))
     assert "shares" not in fewer.tables
     with pytest.raises(SourceError):
@@ -44,8 +44,8 @@ def test_package(spark, tmp_path):
 
 def test_json_and_csv_files(spark, tmp_path):
     rows = pk.read_postings(spark, fx.write_json(tmp_path / "j.json", fx.POSTINGS))
-    assert rows.count() == 3 and rows.schema == pk.POSTING
-    assert pk.read_taxonomy(spark, fx.write_json(tmp_path / "t.json", fx.TAXONOMY)).count() == 5
+    assert rows.count() == 6 and rows.schema == pk.POSTING
+    assert pk.read_taxonomy(spark, fx.write_json(tmp_path / "t.json", fx.TAXONOMY)).count() == 7
     with pytest.raises(SourceError):
         pk.read_taxonomy(spark, fx.write_json(tmp_path / "d.json", fx.TAXONOMY + fx.TAXONOMY[:1]))
     (tmp_path / "c.csv").write_text('a,b\n1,2\n"x\ny",3\n4\n5,6,7\n')
