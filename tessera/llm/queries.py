@@ -59,9 +59,9 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tessera.llm.warc import digests
+    from tessera.llm.warc import derived
 
-    return digests(table(spark, sf_dir, "pages"))
+    return derived(table(spark, sf_dir, "pages"))
 
 
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
