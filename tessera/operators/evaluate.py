@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from tessera.errors import SourceError
 from tessera.functions.plugins import resolve
 from tessera.functions.text import tokens
+from tessera.operators.retrieval import sized
 
 #: Fixed value: the frozen acceptance threshold.
 THRESHOLD = 0.895
@@ -182,16 +183,19 @@ def concentration(counts: DataFrame, catalog: int) -> DataFrame:
 
 
 def stratified_sample(rows: DataFrame, key: str, strata: Sequence[str], n: int, seed: int = 7, floor: int = 1, minimums: dict[tuple[str, str], int] | None = None) -> DataFrame:
-    """About n rows: at least `floor` of each stratum and the minimums ((column, value) ->
-    rows), filled up by hash order. The same rows give the same sample in any process."""
-    order = F.xxhash64(F.col(key), F.lit(seed))
-    rows = rows.withColumn("__h", order)
-    rows = rows.withColumn("__s", F.row_number().over(Window.partitionBy(*strata).orderBy("__h", key)))
-    must = F.col("__s") <= floor
+    """n rows (all, if fewer): at least `floor` of each stratum and the minimums ((column,
+    value) -> rows), filled up by the order of a hash of the key. Where these are more than
+    n, the first n of them. The same rows give the same sample in any process.
+
+    Of a stratum a task passes on `floor` rows, of the others the first n: no group of any
+    size meets in one task."""
+    whole = rows.withColumn("__h", F.md5(F.concat_ws(":", F.col(key).cast("string"), F.lit(str(seed))).cast("binary")))
+    order = ["__h", key]
+    place = F.row_number().over(Window.partitionBy(*strata).orderBy(*order))
+    must = whole.withColumn("__s", place).where(F.col("__s") <= floor).drop("__s")
     for (column, value), least in (minimums or {}).items():
-        r = F.row_number().over(Window.partitionBy(column).orderBy("__h", key))
-        rows = rows.withColumn(f"__m_{column}", r) if f"__m_{column}" not in rows.columns else rows
-        must = must | ((F.col(column) == value) & (F.col(f"__m_{column}") <= least))
-    rows = rows.withColumn("__first", F.when(must, 0).otherwise(1))
-    taken = rows.orderBy("__first", "__h", key).limit(n)
-    return taken.drop("__h", "__s", "__first", *[c for c in rows.columns if c.startswith("__m_")])
+        must = must.unionByName(whole.where(F.col(column) == value).orderBy(*order).limit(least))
+    must = must.dropDuplicates([key])
+    first = whole.orderBy(*order).limit(n)
+    both = must.withColumn("__r", F.lit(0)).unionByName(first.join(sized(must.select(key)), key, "left_anti").select(*must.columns).withColumn("__r", F.lit(1)))
+    return both.orderBy("__r", *order).limit(n).select(*rows.columns)

@@ -276,12 +276,6 @@ def token_truncate(spark, sf_dir):
     return rows.select("conv_id", "turn", F.size("ids").cast("long").alias("before"), F.array_join(cut.cast("array<string>"), ",").alias("ids"))
 
 
-@register("budget_fit")
-def budget_fit(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", F.split_part("text", F.lit("\n"), F.lit(1)).alias("title"), "text")
-    return dc.fit_column(rows, "doc_id", [("title", "Title", "title", 90), ("body", "Responsibilities", "text", 10)], 128, "Find the concept").drop("text")
-
-
 # ------------------------------------------------------------------ statistics
 
 
@@ -367,12 +361,6 @@ def gold_audit(spark, sf_dir):
     return counts.select("n", "ids", (F.col("n") - F.col("ids")).alias("repeated"), "unknown", "both")
 
 
-@register("stratified_sample")
-def stratified_sample(spark, sf_dir):
-    rows = table(spark, sf_dir, "documents").select("doc_id", "lang", "source")
-    return ev.stratified_sample(rows, "doc_id", ["lang", "source"], 200, minimums={("lang", "en"): 40, ("lang", "es"): 15})
-
-
 @register("constraint_report", """SELECT 'lang in domain' AS "constraint", count(*) AS n FROM documents WHERE lang IS NULL OR lang NOT IN ('en', 'de', 'fr') HAVING count(*) > 0
 UNION ALL SELECT 'unique o_custkey', count(*) FROM (SELECT o_custkey FROM orders GROUP BY o_custkey HAVING count(*) > 1) HAVING count(*) > 0
 UNION ALL SELECT 'o_custkey references c_custkey', count(DISTINCT o_custkey) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer) HAVING count(*) > 0""")
