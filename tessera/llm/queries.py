@@ -122,9 +122,10 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    from tessera.llm import neardedup, secrets, warc
+    from tessera.llm import neardedup, quality_sql, secrets, warc
 
     return {
+        "op3_quality_rules": quality_sql.oracle_sql(),
         "op4_secret_scans": secrets.oracle_sql(),
         "op5_exact_topk": OP5_SQL,
         "op6_warc": warc.oracle_sql(),
