@@ -218,6 +218,8 @@ def _enter(owner: str) -> None:
     if _owner != owner:
         for clear in _clear:
             clear()
+        if _owner is not None:
+            _trim()
         _owner = owner
 
 

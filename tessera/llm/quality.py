@@ -208,26 +208,34 @@ def _same(keys: Sequence[str], a: str, b: str) -> Column:
     return F.expr(" AND ".join(f"{a}.{k} <=> {b}.{k}" for k in keys))
 
 
+#: Of so many groups, what remains of a step after its aggregations (some hundred rows a
+#: group) is one task's work; of more, it is dealt by group. The results are the same.
+FEW_GROUPS = 2000
+
+
 def _concentrated(rows: DataFrame, models: DataFrame, n_groups: int) -> DataFrame:
     """GROUP, start, _SUMS, _MODEL and logdet of the half-set of each model (GROUP, start,
     _MODEL): one concentration step. Groups without a model are left out."""
-    keys = [*GROUP, "start"]
-    packed = models.groupBy(*GROUP).agg(F.collect_list(F.struct("start", *_MODEL)).alias("models"))
+    keys, few = [*GROUP, "start"], n_groups <= FEW_GROUPS
+    own = models.coalesce(1) if few else models
+    packed = own.groupBy(*GROUP).agg(F.collect_list(F.struct("start", *_MODEL)).alias("models"))
     known = keyed_join(rows, packed, GROUP, known=n_groups).where("models IS NOT NULL")
     far = known.select(*GROUP, *FEATURES, F.explode(F.transform("models", lambda m: F.struct(m["start"].alias("start"), _distance(lambda c: m[c]).alias("d")))).alias("x"))
     far = far.select(*GROUP, "x.start", *FEATURES, F.col("x.d").alias("d"), _bin(F.col("x.d")).alias("bin"))
-    cells = materialize(far.groupBy(*keys, "bin").agg(*_moments()), "quality-cells")
+    counts = far.groupBy(*keys, "bin").agg(F.count(F.lit(1)).alias("n"))
+    counts = counts.repartition(1) if few else counts
     window = Window.partitionBy(*keys)
-    upto, half = F.sum("n").over(window.orderBy("bin")), F.ceil(SHARE * F.sum("n").over(window))
-    cells = cells.withColumns({"upto": upto, "half": half})
-    inside = cells.where("upto <= half").select(*keys, *_SUMS)
-    edges = cells.where("upto > half AND upto - n < half").select(*keys, F.col("bin").alias("edge"), (F.col("half") - F.col("upto") + F.col("n")).alias("need"))
-    near = keyed_join(far, edges, keys, known=(2 + RANDOM) * n_groups).where("bin = edge").withColumn("fine", _fine(F.col("d"), F.col("edge")))
-    small = near.groupBy(*keys, "need", "fine").agg(*_moments())
-    upto = F.sum("n").over(Window.partitionBy(*keys).orderBy("fine"))
-    weight = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("need") - F.col("upto") + F.col("n")) / F.col("n")))
-    part = small.withColumn("upto", upto).withColumn("w", weight).select(*keys, *[(F.col("w") * F.col(c)).alias(c) for c in _SUMS])
-    return _estimate(inside.unionByName(part).groupBy(*keys).agg(*_added()), CONSISTENCY)
+    counts = counts.withColumns({"upto": F.sum("n").over(window.orderBy("bin")), "half": F.ceil(SHARE * F.sum("n").over(window))})
+    # The bin of the h-th row, and how many of its rows the half-set takes.
+    edges = counts.where("upto >= half AND upto - n < half").select(*keys, F.col("bin").alias("edge"), (F.col("half") - F.col("upto") + F.col("n")).alias("need"))
+    near = keyed_join(far, edges, keys, known=(2 + RANDOM) * n_groups).where("bin <= edge")
+    near = near.withColumn("fine", F.when(F.col("bin") < F.col("edge"), F.lit(-1)).otherwise(_fine(F.col("d"), F.col("edge"))))
+    sums = near.groupBy(*keys, "need", "fine").agg(*_moments())
+    sums = sums.repartition(1) if few else sums
+    upto = F.sum(F.when(F.col("fine") >= 0, F.col("n")).otherwise(0.0)).over(window.orderBy("fine"))
+    part = F.least(F.lit(1.0), F.greatest(F.lit(0.0), (F.col("need") - F.col("upto") + F.col("n")) / F.col("n")))
+    weighed = sums.withColumn("upto", upto).withColumn("w", F.when(F.col("fine") < 0, F.lit(1.0)).otherwise(part))
+    return _estimate(weighed.groupBy(*keys).agg(*[F.sum(F.col("w") * F.col(c)).alias(c) for c in _SUMS]), CONSISTENCY)
 
 
 def half_sets(rows: DataFrame) -> DataFrame:
@@ -239,10 +247,11 @@ def half_sets(rows: DataFrame) -> DataFrame:
     for _ in range(TRIAL):
         now = materialize(_concentrated(rows, now, n_groups), "quality-step", replaces=[now])
     order = Window.partitionBy(*GROUP).orderBy("logdet", "start")
-    best = now.withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= BEST).drop("__r")
+    whole_of = lambda df: df.coalesce(1) if n_groups <= FEW_GROUPS else df
+    best = whole_of(now).withColumn("__r", F.row_number().over(order)).where(F.col("__r") <= BEST).drop("__r")
     best = materialize(best.withColumn("improved", F.lit(True)), "quality-best", replaces=[now])
     while not (active := best.where("improved")).isEmpty():
-        both = best.alias("x").join(_concentrated(rows, active, n_groups).alias("y"), _same([*GROUP, "start"], "x", "y"), "left")
+        both = whole_of(best).alias("x").join(_concentrated(rows, active, n_groups).alias("y"), _same([*GROUP, "start"], "x", "y"), "left")
         better = F.coalesce(F.col("y.logdet") < F.col("x.logdet") - LEAST_GAIN, F.lit(False))
         newer = [F.when(better, F.col(f"y.{c}")).otherwise(F.col(f"x.{c}")).alias(c) for c in [*_SUMS, *_MODEL, "logdet"]]
         best = materialize(both.select(*[f"x.{k}" for k in [*GROUP, "start"]], *newer, better.alias("improved")), "quality-best", replaces=[best])

@@ -36,6 +36,16 @@ def test_equals_brute_force(spark):
     assert top_k(v.limit(0), v.limit(0)).count() == 0
 
 
+def test_repeated_ids(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.5, 0.5]), (3, [1.0, 1.0]), (3, [2.0, 1.0]), (50, [0.0, 1.0]), (None, [9.0, 9.0])]
+    v = int_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>"))
+    got = sorted(tuple(r) for r in top_k(v, v.where("vec_id % 50 = 0")).where("vec_id IS NOT NULL").collect())
+    # The least of a query's vectors asks; a repeated candidate counts each time; own rows don't.
+    q = np.array([128, 128])
+    want = sorted([(-int(q @ [512, 256]), 3), (-int(q @ [256, 256]), 3), (-int(q @ [0, 256]), 50)])
+    assert [(i, s) for a, _, i, s in got if a == 0] == [(i, -s) for s, i in want]
+
+
 def test_bounds_never_fall_short_and_prune():
     rng = np.random.default_rng(1)
     centres = rng.standard_normal((20, 64)) * 100
