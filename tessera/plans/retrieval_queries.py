@@ -311,3 +311,35 @@ def point_lookup(spark, sf_dir):
     wanted = table(spark, sf_dir, "benchmark").select(F.col("item_id").alias("id")).distinct()
     d = table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "source", "lang", F.length(F.coalesce("text", F.lit(""))).cast("long").alias("chars"))
     return d.join(rt.sized(wanted), "id", "left_semi")
+
+
+@register("rerank_pilot", WITH + RERANKED + ",\n" + GOLD + """,
+p AS (SELECT item_id AS qid FROM benchmark WHERE item_id % 3 = 0)
+SELECT p.qid, min(r.rank) FILTER (WHERE g.id IS NOT NULL) AS before, min(r.rerank_rank) FILTER (WHERE g.id IS NOT NULL) AS after, count(r.rerank_score) AS scored
+FROM p LEFT JOIN r ON r.qid = p.qid AND r.rank <= 20 LEFT JOIN g ON g.qid = r.qid AND g.id = r.id GROUP BY p.qid""")
+def rerank_pilot(spark, sf_dir):
+    """A trial of a reranker on some queries: ranks of the first gold candidate before and
+    after. Nothing that is stored changes."""
+    few = items(spark, sf_dir).where("qid % 3 = 0").select("qid")
+    candidates = kept(pool(spark, sf_dir).join(rt.sized(few), "qid", "left_semi"))
+    rows = reranked(spark, sf_dir, candidates).where("rank <= 20")
+    marked = rows.join(gold(spark, sf_dir, candidates).distinct().withColumn("hit", F.lit(True)), ["qid", "id"], "left")
+    best = marked.groupBy("qid").agg(F.min(F.when(F.col("hit"), F.col("rank"))).alias("before"), F.min(F.when(F.col("hit"), F.col("rerank_rank"))).alias("after"), F.count("rerank_score").alias("scored"))
+    return few.join(best, "qid", "left").withColumn("scored", F.coalesce("scored", F.lit(0)).cast("long"))
+
+
+_RICH = CHANNELS.replace("coalesce(text, '')), '([a-z0-9]+)', 1) AS t FROM documents", "coalesce(text, '') || ' ' || coalesce(lang, '') || ' ' || coalesce(source, '')), '([a-z0-9]+)', 1) AS t FROM documents")
+
+
+@register("enrichment_probe", WITH + f"""plain AS ({WITH}{CHANNELS} SELECT qid, id, rank FROM c WHERE channel = 'lexical' AND rank <= 10),
+rich AS ({WITH}{_RICH} SELECT qid, id, rank FROM c WHERE channel = 'lexical' AND rank <= 10)
+SELECT coalesce(plain.qid, rich.qid) AS qid, count(*) FILTER (WHERE rich.id IS NULL) AS lost, count(*) FILTER (WHERE plain.id IS NULL) AS won, count(*) FILTER (WHERE plain.rank = rich.rank) AS same
+FROM plain FULL JOIN rich ON plain.qid = rich.qid AND plain.id = rich.id GROUP BY 1""")
+def enrichment_probe(spark, sf_dir):
+    """A trial of richer documents: what the best ten of each query lose and win when the
+    language and source are part of the text. The stored documents stay."""
+    docs = table(spark, sf_dir, "documents")
+    rich = docs.withColumn("text", F.concat_ws(" ", F.coalesce("text", F.lit("")), F.coalesce("lang", F.lit("")), F.coalesce("source", F.lit(""))))
+    found = [rt.lexical_hits(table(spark, sf_dir, "benchmark"), "item_id", d, "doc_id", 10, ("lexical",)).select("qid", "id", F.col("rank").alias(name)) for d, name in ((docs, "a"), (rich, "b"))]
+    both = found[0].join(found[1], ["qid", "id"], "full")
+    return both.groupBy("qid").agg(F.count_if(F.col("b").isNull()).alias("lost"), F.count_if(F.col("a").isNull()).alias("won"), F.count_if(F.col("a") == F.col("b")).alias("same"))

@@ -143,6 +143,7 @@ def profile(package: Package, members: Mapping[str, tuple[str, tuple[str, ...],
     }
 
 
+#: The fields of postings and of the taxonomy.
 _CATEGORY = T.StructType([T.StructField(c, T.StringType()) for c in ("key", "name", "url", "group", "level1Id", "level2Id", "level3Id")])
 POSTING = T.StructType(
     [T.StructField(c, T.StringType()) for c in ("externalId", "status", "platformId", "sourceUrl", "title", "description", "requireCandidate", "experience")]
