@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.errors import CycleError, HierarchyError
+from tessera.errors import CycleError
 from tessera.operators.constraints import Constraint
 from tessera.operators.scratch import kept
 
@@ -74,13 +74,13 @@ def cycle_trail(edges: DataFrame) -> list[str]:
     return [*ring[low:], *ring[:low], ring[low]]
 
 
-def canonical_paths(nodes: DataFrame, edges: DataFrame, roots: DataFrame, most_levels: int = 64) -> DataFrame:
+def canonical_paths(nodes: DataFrame, edges: DataFrame, roots: DataFrame) -> DataFrame:
     """id and path (array of ids from the root to the node): the longest, ties to the
     least array. roots: column id. A node below a cycle raises CycleError."""
     links = edges.select("child", "parent").distinct()
     frontier = roots.select("id", F.array("id").alias("path"))
     levels = frontier
-    for _ in range(most_levels):
+    while True:  # a path that goes on for ever meets a node twice
         grown = frontier.join(links, F.col("id") == F.col("parent")).select(F.col("child").alias("id"), F.concat("path", F.array("child")).alias("path"))
         # All paths of one level are equally long: the least is the level's best.
         frontier = kept(grown.groupBy("id").agg(F.min("path").alias("path")))
@@ -89,7 +89,6 @@ def canonical_paths(nodes: DataFrame, edges: DataFrame, roots: DataFrame, most_l
         if not frontier.where(F.size(F.array_distinct("path")) < F.size("path")).isEmpty():
             raise CycleError("a node is its own ancestor: " + " > ".join(cycle_trail(links)))
         levels = levels.unionByName(frontier)
-    raise HierarchyError(f"more than {most_levels} levels")
 
 
 def derived(paths: DataFrame, nodes: DataFrame, group: str = "group") -> DataFrame:
@@ -111,13 +110,13 @@ def derived(paths: DataFrame, nodes: DataFrame, group: str = "group") -> DataFra
     )
 
 
-def walk_up(forest: DataFrame, most_levels: int = 64) -> DataFrame:
+def walk_up(forest: DataFrame) -> DataFrame:
     """id, path (ids from the root) and state of each node of (id, name, parent_id): ok,
     missing (an ancestor isn't there or has no name) or cycle."""
     links = forest.select(F.col("id").alias("up"), F.col("parent_id").alias("next"), (F.coalesce(F.trim("name"), F.lit("")) != "").alias("named"))
     live = forest.select("id", F.array().cast("array<string>").alias("path"), F.col("id").cast("string").alias("at"))
     done = None
-    for _ in range(most_levels):
+    while True:  # a walk ends at a root, at a gap, or where it has been
         step = live.join(links, F.col("at") == F.col("up").cast("string"), "left")
         step = kept(step.select(
             "id",
@@ -130,4 +129,3 @@ def walk_up(forest: DataFrame, most_levels: int = 64) -> DataFrame:
         live = step.where("state IS NULL").select("id", "path", "at")
         if live.isEmpty():
             return done
-    raise HierarchyError(f"more than {most_levels} levels")
