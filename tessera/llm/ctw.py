@@ -8,7 +8,8 @@ counts of (context, byte) cells over all texts; cells met in held-out texts alon
 
 The tree is never in one place. Its cells are dealt by their nearest MIDDLE bytes; each
 task weighs the nodes of its contexts from DEPTH up to MIDDLE and sends what their parents
-need. The levels above meet by their nearest byte, the root's 255 nodes on the driver.
+need. The level above is dealt in the same way; the two top levels, 2**17 rows at most
+whatever the corpus, are weighed on the driver.
 On the way down each node turns the deeper levels' probability of a one, p, into a + b * p,
 which gives every cell its log10 probability: a table that grows with the corpus.
 
@@ -206,9 +207,13 @@ def _sum_rows(levels: Levels) -> Iterator[pa.RecordBatch]:
 
 
 def _middle(t: pa.Table) -> Levels:
-    """Levels 1 to MIDDLE - 1 out of summed rows, which are sorted by kind and id."""
+    """Levels 2 to MIDDLE - 1 out of summed rows, which are sorted by kind and id."""
+    return _levels(t, 2, MIDDLE - 1)
+
+
+def _levels(t: pa.Table, low: int, high: int) -> Levels:
     below = _numbers(t, "id", 0), _numbers(t, "v", 0, float)
-    return Levels(_numbers(t, "id", CELLS), _numbers(t, "v", CELLS, float), 1, MIDDLE - 1, below)
+    return Levels(_numbers(t, "id", CELLS), _numbers(t, "v", CELLS, float), low, high, below)
 
 
 def cell_scores(own: DataFrame) -> DataFrame:
@@ -224,23 +229,23 @@ def cell_scores(own: DataFrame) -> DataFrame:
         return df.groupBy("kind", "id").agg(F.sum("v").alias("v"))
 
     sums = materialize(summed(dealt.mapInArrow(lean("ctw", deep), _SUMS)), "tree")
-    near = F.shiftright("id", 8 * (MIDDLE - 1))
-    by_byte = sums.select(near.alias("g"), "kind", "id", "v").repartition("g").sortWithinPartitions("g", "kind", "id")
+    near = F.shiftright("id", 8 * (MIDDLE - 2))
+    dealt = sums.select(near.alias("g"), "kind", "id", "v").repartition("g").sortWithinPartitions("g", "kind", "id")
 
     def above(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _chunks(batches, "g"):
             yield from _sum_rows(_middle(t))
 
-    top = summed(by_byte.mapInArrow(lean("ctw", above), _SUMS)).orderBy("kind", "id").toArrow()  # 511 rows at most
-    below = _numbers(top, "id", 0), _numbers(top, "v", 0, float)
-    root = Levels(_numbers(top, "id", CELLS), _numbers(top, "v", CELLS, float), 0, 0, below).down(None)
+    # 256 contexts of 256 cells and 255 nodes at most.
+    top = summed(dealt.mapInArrow(lean("ctw", above), _SUMS)).orderBy("kind", "id").toArrow()
+    roots = own.sparkSession.sparkContext.broadcast(_levels(top, 0, 1).down(None))
 
     def descend(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _chunks(batches, "g"):
-            ids, a, b = _middle(t).down(root)
+            ids, a, b = _middle(t).down(roots.value)
             yield pa.RecordBatch.from_arrays([pa.array(ids.view(np.int64)), pa.array(a), pa.array(b)], ["id", "a", "b"])
 
-    nodes = by_byte.mapInArrow(lean("ctw", descend), "id long, a double, b double")
+    nodes = dealt.mapInArrow(lean("ctw", descend), "id long, a double, b double")
     # The nodes just above MIDDLE go to each group of theirs: 255 rows a group at most.
     groups = own.select(group.alias("g")).distinct()
     nodes = groups.join(nodes, F.shiftright("g", 8) == F.shiftright("id", 8))
