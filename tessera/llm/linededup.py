@@ -202,7 +202,7 @@ def dedup_lines(
     small_batches(docs)
     docs = docs.drop("n_lines", "n_dropped") if counts else docs
     bits = bits_for(docs.count()) if filter_bits is None else filter_bits
-    found = materialize(suspects(docs, bits, min_chars), "suspects")
+    found = suspects(docs, bits, min_chars)
     keys = materialize(confirmed_keys(found, min_docs), "line-keys")
     few = keys.limit(most_keys + 1).count() <= most_keys
     own = free_name(docs, "__drop")
@@ -214,7 +214,8 @@ def dedup_lines(
         rows = docs.withColumn(own, F.lit(None).cast("array<binary>"))
     else:
         # What a document loses is bounded by its own lines; a common line stays where it is.
-        lost = hot_join(found.where("doc_id IS NOT NULL"), keys, "key", written=True).where("doc_id <> keep")
+        found = materialize(found.where("doc_id IS NOT NULL"), "suspects")
+        lost = hot_join(found, keys, "key", written=True).where("doc_id <> keep")
         lost = materialize(lost.groupBy("doc_id").agg(F.collect_set("key").alias(own)), "lost-lines")
         id_name = free_name(docs, "__id")
         rows = docs.withColumn(id_name, F.col("doc_id").cast("long"))
