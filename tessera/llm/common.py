@@ -32,13 +32,15 @@ def shared_dir(spark: SparkSession) -> str:
     return (found or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_shared").rstrip("/")
 
 
-def materialize(df: DataFrame, name: str, replaces: Sequence[DataFrame] = ()) -> DataFrame:
+def materialize(df: DataFrame, name: str, replaces: Sequence[DataFrame] = (), few: bool = False) -> DataFrame:
     """Writes df as Parquet in the shared folder and reads it back, which cuts its
     lineage: a lost executor costs tasks of later stages only. Removed at exit; the
-    written tables that it replaces, which nothing may read any more, go at once."""
+    written tables that it replaces, which nothing may read any more, go at once. few: df has
+    few rows for its partitions; they are put together first, into files of Spark's advisory
+    size, since each file costs its task some system calls and each reader a split."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/tessera/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    (df.hint("rebalance") if few else df).write.parquet(path)
     if not _scratch:
         atexit.register(clear_scratch)
     _scratch.append((spark, path))

@@ -312,19 +312,19 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     banded = heads.select(F.explode("bands").alias("band"), F.col("doc_id").alias("doc"))
     pick = F.min_by("doc", F.xxhash64("doc", "band"))
     buckets = banded.groupBy("band").agg(F.min("doc").alias("low"), F.max("doc").alias("high"), pick.alias("any"), F.count(F.lit(1)).alias("n"))
-    buckets = materialize(buckets.where("low < high"), "buckets")
+    buckets = materialize(buckets.where("low < high"), "buckets", few=True)
     met = banded.join(F.broadcast(buckets.select("band")) if buckets.count() <= MOST else buckets.select("band"), "band", "left_semi")
     banded = materialize(met, "banded")
     hubs = materialize(_hub_pairs(banded, buckets), "hub-pairs")
-    near = materialize(_estimated(hubs, heads), "near", replaces=[hubs])
+    near = materialize(_estimated(hubs, heads), "near", replaces=[hubs], few=True)
     tried = materialize(_best(near), "tried")
     sets = materialize(shingle_sets(docs, materialize(_ends(near), "ends")).dropDuplicates(["doc"]), "sets")
-    links = materialize(confirm(tried, sets), "links")
+    links = materialize(confirm(tried, sets), "links", few=True)
     labels = materialize(components(links), "labels")
     more = materialize(_cross_pairs(banded, labels, heads).join(tried, ["a", "b"], "left_anti"), "cross")
     own = materialize(_ends(more).join(sets.select("doc"), "doc", "left_anti"), "ends")
     sets = sets.unionByName(materialize(shingle_sets(docs, own).dropDuplicates(["doc"]), "sets"))
-    late = materialize(confirm(more, sets), "late")
+    late = materialize(confirm(more, sets), "late", few=True)
     if not late.isEmpty():
         labels = materialize(components(links.union(late)), "labels")
     done = keyed_join(placed, labels.select(F.col("node").alias("rep"), "label"), ["rep"], most=MOST)
