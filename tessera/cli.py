@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import argparse
 import sys
-from pathlib import Path
 
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +12,7 @@ from tessera.errors import TesseraError
 from tessera.plans import build as bd
 from tessera.plans import index, match
 from tessera.sources.package import load_settings, markdown_table, write_json
+from tessera.sources.store import at
 
 
 def session() -> SparkSession:
@@ -60,15 +60,15 @@ def parser() -> argparse.ArgumentParser:
 
 def decide(spark: SparkSession, build_dir: str, out: str, threshold: float) -> dict:
     """Writes decisions and the unmapped ones as JSON, a summary and a Markdown report."""
-    made = match.decisions(spark, bd.Build(Path(build_dir), match.STAGES), threshold).persist()  # read by three sinks
+    made = match.decisions(spark, bd.Build(at(build_dir), match.STAGES), threshold).persist()  # read by three sinks
     made.write.mode("overwrite").json(f"{out}/decisions")
     made.where("status = 'unmapped'").write.mode("overwrite").json(f"{out}/unmapped")
     counts = {r.status: r["count"] for r in made.groupBy("status").count().collect()}
     whole = made.agg(F.sum("n_matches").alias("pairs"), F.avg("n_matches").alias("mean")).first()
     summary = {"postings": sum(counts.values()), "threshold": threshold, **counts, "pairs": whole.pairs or 0}
     made.unpersist()
-    write_json(Path(out) / "summary.json", summary)
-    (Path(out) / "report.md").write_text(markdown_table(["figure", "value"], summary.items()))
+    write_json(at(out) / "summary.json", summary)
+    (at(out) / "report.md").write_text(markdown_table(["figure", "value"], summary.items()))
     return summary
 
 
@@ -76,7 +76,7 @@ def main(argv: list[str] | None = None) -> int:
     args = parser().parse_args(argv)
     try:
         if args.command == "promote":
-            bd.promote(bd.Build(Path(args.build_dir), index.STAGES), args.pointer)
+            bd.promote(bd.Build(at(args.build_dir), index.STAGES), args.pointer)
             return 0
         spark = session()
         if args.command in STEPS:

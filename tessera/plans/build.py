@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from tessera.errors import StageError
 from tessera.sources.package import write_json
+from tessera.sources.store import StorePath, at, changed
 
 PENDING, RUNNING, COMPLETED, FAILED = "pending", "running", "completed", "failed"
 
@@ -46,12 +47,12 @@ class Build:
     """A build's folder and manifest. Stages come in order; completing one resets all that
     follow, so that nothing stale can be promoted."""
 
-    path: Path
+    path: Path | StorePath
     stages: Sequence[str]
     fingerprints: Mapping[str, str] = field(default_factory=dict)
 
     @property
-    def manifest_path(self) -> Path:
+    def manifest_path(self) -> Path | StorePath:
         return self.path / "manifest.json"
 
     def manifest(self) -> dict:
@@ -169,7 +170,7 @@ class Build:
         own = self.fingerprints.get(name)
         if not own or not self.path.parent.exists():
             return None
-        siblings = sorted((p for p in self.path.parent.glob("*/manifest.json") if p.parent != self.path), key=os.path.getmtime, reverse=True)
+        siblings = sorted((p for p in self.path.parent.glob("*/manifest.json") if p.parent != self.path), key=changed, reverse=True)
         for manifest in siblings:
             data = json.loads(manifest.read_text())
             entry = data["stages"].get(name, {})
@@ -183,18 +184,21 @@ class Build:
 def promote(build: Build, pointer: str | Path, verified: str = "verify") -> None:
     """Points at a build whose last check is completed; the pointer changes at once."""
     build.require(verified)
-    pointer = Path(pointer)
-    pointer.parent.mkdir(parents=True, exist_ok=True)
-    handle, name = tempfile.mkstemp(dir=pointer.parent)
+    target = at(pointer)
+    target.parent.mkdir(parents=True, exist_ok=True)
+    if isinstance(target, StorePath):
+        target.write_text(str(build.path))
+        return
+    handle, name = tempfile.mkstemp(dir=target.parent)
     with os.fdopen(handle, "w") as f:
         f.write(str(build.path))
-    os.replace(name, pointer)
+    os.replace(name, target)
 
 
 def promoted(pointer: str | Path) -> str:
     """The build a pointer names; read once, and asserted again by check_pointer."""
     try:
-        return Path(pointer).read_text().strip()
+        return at(pointer).read_text().strip()
     except FileNotFoundError as e:
         raise StageError(f"{pointer}: nothing is promoted") from e
 

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
-from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -21,6 +20,7 @@ from tessera.operators import retrieval as rt
 from tessera.operators.scratch import checkpointed, kept
 from tessera.plans.build import Build, fingerprint, layered
 from tessera.sources.package import Package, collection_uris, load_package, profile
+from tessera.sources.store import at
 
 VERSION = 1
 STAGES = ("records", "validate", "labels", "semantic", "lexical", "verify")
@@ -167,7 +167,7 @@ def build_index(spark: SparkSession, source: str, work: str, settings: dict | No
     package = load_package(spark, source)
     layers = layered([("records", [VERSION, package.checksum, settings["version"], settings["language"]]), ("vectors", settings["encoder"])])
     prints = {s: layers["records"] for s in ("records", "validate", "lexical")} | {s: layers["vectors"] for s in ("labels", "semantic", "verify")}
-    build = Build(Path(work) / fingerprint(layers), STAGES, prints)
+    build = Build(at(work) / fingerprint(layers), STAGES, prints)
     rows = build.table(spark, "records", lambda: records(spark, package, settings))
 
     def validate() -> dict:

@@ -3,7 +3,6 @@
 
 from __future__ import annotations
 
-from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +20,7 @@ from tessera.operators.scratch import checkpointed
 from tessera.plans.build import Build, check_pointer, fingerprint, layered, promoted, table_digest
 from tessera.plans.index import STAGES as INDEX_STAGES
 from tessera.sources.package import read_postings, read_taxonomy
+from tessera.sources.store import at
 
 VERSION = 1
 STAGES = ("postings", "validate", "queries", "retrieve", "rerank", "verify")
@@ -127,16 +127,16 @@ def match_postings(spark: SparkSession, postings_path: str, taxonomy_path: str,
     index_build, whatever is promoted."""
     settings = DEFAULTS | (settings or {})
     checkpointed(spark)
-    at = index_build or promoted(pointer)
-    unmoved = lambda: index_build or check_pointer(pointer, at)
-    index = Build(Path(at), INDEX_STAGES)
+    named = index_build or promoted(pointer)
+    unmoved = lambda: index_build or check_pointer(pointer, named)
+    index = Build(at(named), INDEX_STAGES)
     index.require("records", "validate", "verify")
     source = read_postings(spark, postings_path)
     taxonomy = read_taxonomy(spark, taxonomy_path)
     data = [VERSION, table_digest(source.select(F.to_json(F.struct("*")).alias("j"))), table_digest(taxonomy), settings["it_root"], settings["platform"]]
-    layers = layered([("postings", data), ("queries", [settings[k] for k in ("label_tokens", "semantic_tokens", "instruction")]), ("retrieve", [at, settings["encoder"], settings["analyzer"], settings["shards"], *[settings[k] for k in ("candidates", "top_k", "rrf_k", "weights")]]), ("rerank", [settings["rerank_top"], settings["reranker"]])])
+    layers = layered([("postings", data), ("queries", [settings[k] for k in ("label_tokens", "semantic_tokens", "instruction")]), ("retrieve", [named, settings["encoder"], settings["analyzer"], settings["shards"], *[settings[k] for k in ("candidates", "top_k", "rrf_k", "weights")]]), ("rerank", [settings["rerank_top"], settings["reranker"]])])
     prints = {"postings": layers["postings"], "queries": layers["queries"], "retrieve": layers["retrieve"], "rerank": layers["rerank"]}
-    build = Build(Path(work) / fingerprint(layers), STAGES, prints)
+    build = Build(at(work) / fingerprint(layers), STAGES, prints)
     rows = build.table(spark, "postings", lambda: canonical_postings(source, taxonomy, settings["it_root"], settings["platform"]))
 
     def validate() -> dict:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.errors import SourceError
+from tessera.sources.store import StorePath, at
 
 #: Members of a concept package, the columns each must have, and whether the
 #: package must have the member.
@@ -193,9 +194,12 @@ def load_settings(path: str | None, defaults: Mapping, env: Mapping[str, str] |
     return found
 
 
-def write_json(path: str | Path, value: object) -> None:
+def write_json(path: str | Path | StorePath, value: object) -> None:
     """Pretty JSON of a report, replaced as a whole or not at all."""
-    path = Path(path)
+    path = at(path)
+    if isinstance(path, StorePath):
+        path.write_text(json.dumps(value, ensure_ascii=False, indent=2, sort_keys=True, default=str))
+        return
     path.parent.mkdir(parents=True, exist_ok=True)
     handle, name = tempfile.mkstemp(dir=path.parent, prefix=".", suffix=".tmp")
     try:

@@ -13,6 +13,7 @@ from tessera.functions.plugins import resolve
 from tessera.operators import evaluate as ev
 from tessera.plans import build as bd
 from tessera.plans import index, match
+from tessera.sources.store import StorePath
 from tests.engine import fixtures as fx
 
 
@@ -273,3 +274,22 @@ def test_a_local_model():
 def test_command_line_errors(tmp_path, capsys):
     assert cli.main(["promote", "--build-dir", str(tmp_path), "--pointer", str(tmp_path / "p")]) == 1
     assert "not completed" in capsys.readouterr().err
+
+
+def test_builds_in_a_store(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    source = fx.write_package(tmp_path / "p.zip")
+    made = index.build_index(spark, source, f"{root}/work")
+    assert isinstance(made.path, StorePath) and made.state("verify") == "completed" and (made.path / "validate.json").exists()
+    bd.promote(made, f"{root}/at/now")
+    bd.promote(made, f"{root}/at/now")  # replaced
+    assert bd.promoted(f"{root}/at/now") == str(made.path) and [p.name for p in StorePath(f"{root}/at").glob("*")] == ["now"]
+    assert index.build_index(spark, source, f"{root}/work").manifest() == made.manifest()
+    other = index.build_index(spark, source, f"{root}/work", {"encoder": "tests.engine.test_builds:make_small"}, until="lexical")
+    assert other.manifest()["stages"]["records"]["adopted_from"] == made.path.name
+    with pytest.raises(StageError):
+        bd.promoted(f"{root}/at/nothing")
+
+
+def make_small():
+    return enc.HashEncoder(8)
