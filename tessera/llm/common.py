@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import uuid
 from collections.abc import Callable, Iterator, Sequence
 
@@ -48,11 +49,21 @@ def materialize(df: DataFrame, name: str, replaces: Sequence[DataFrame] = (), fe
         at = old._scratch_path
         _scratch.remove((spark, at))
         _delete(spark, at)
+    if replaces:
+        release(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
 
 
+def release(spark: SparkSession) -> None:
+    """Collects the driver's garbage. The plans of an iteration, their shuffles and broadcasts
+    go then, and the heap shrinks to what is in use; left alone it grows to its limit, which
+    the driver's other memory comes on top of."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def _delete(spark: SparkSession, path: str) -> None:
     at = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
@@ -98,12 +109,26 @@ def keyed_join(
     return left.join(right, on, "left").drop(*names, salt, other)
 
 
+#: Keys that share a row of a broadcast.
+PACKED = 32
+
+
 def without(rows: DataFrame, gone: DataFrame, key: str, *, most: int = 50_000) -> DataFrame:
     """rows whose key isn't among the distinct keys of gone (one column); a null key stays.
-    All columns of rows pass through, whatever their names."""
+    All columns of rows pass through, whatever their names.
+
+    Up to `most` keys are broadcast, PACKED in a row: the driver builds what it broadcasts,
+    and a row of its own for each key weighs some ten times as much."""
+    n = gone.count()
     mark = free_name(rows, "__gone")
-    marked = keyed_join(rows, gone.withColumn(mark, F.lit(True)), [key], most=most)
-    return marked.where(F.col(mark).isNull()).drop(mark)
+    if n > most:
+        marked = keyed_join(rows, gone.withColumn(mark, F.lit(True)), [key], most=most, known=n)
+        return marked.where(F.col(mark).isNull()).drop(mark)
+    own, other = free_name(rows, "__part"), free_name(rows, "__part_r")
+    part = F.pmod(F.xxhash64(key), F.lit(n // PACKED + 1)).cast("int")
+    packed = gone.groupBy(part.alias(other)).agg(F.collect_list(key).alias(mark))
+    marked = rows.withColumn(own, part).join(F.broadcast(packed), F.col(own) == F.col(other), "left")
+    return marked.where(~F.coalesce(F.array_contains(mark, F.col(key)), F.lit(False))).drop(own, other, mark)
 
 
 #: Keys with fewer rows are never hot: a task bears as many.
@@ -227,7 +252,6 @@ def _enter(owner: str) -> None:
 
 def _trim() -> None:
     import ctypes
-    import gc
 
     gc.collect()
     pa.default_memory_pool().release_unused()

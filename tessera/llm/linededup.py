@@ -97,8 +97,9 @@ def _unpacked(data: bytes) -> np.ndarray:
     return np.frombuffer(zlib.decompress(data), np.uint8)
 
 
-def twice_filter(docs: DataFrame, filter_bits: int, min_chars: int) -> np.ndarray:
-    """The merged filter of keys that two documents may share, filter_bits / 8 bytes."""
+def twice_chunks(docs: DataFrame, filter_bits: int, min_chars: int) -> dict[int, bytes]:
+    """The merged filter of keys that two documents may share: its chunks with a bit set, by
+    number and packed. Only tasks ever unpack it; the driver holds what it weighs packed."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         both = TwiceFilter(filter_bits)
@@ -131,10 +132,15 @@ def twice_filter(docs: DataFrame, filter_bits: int, min_chars: int) -> np.ndarra
     text = docs.select(F.coalesce(F.col("text"), F.lit("")).cast("binary").alias("text"))
     parts = text.mapInArrow(lean("linededup", build), "chunk int, once binary, twice binary")
     merged = parts.repartition("chunk").mapInArrow(lean("linededup", merge), "chunk int, twice binary")
+    return {row["chunk"]: bytes(row["twice"]) for row in merged.collect()}  # filter_bits at most, whatever the input
+
+
+def whole_filter(chunks: dict[int, bytes], filter_bits: int) -> np.ndarray:
+    """The filter of such chunks, filter_bits / 8 bytes."""
     out = np.zeros(filter_bits // 8, np.uint8)
     size = CHUNK_BITS // 8
-    for row in merged.collect():  # filter_bits at most, whatever the input
-        out[row["chunk"] * size : (row["chunk"] + 1) * size] = _unpacked(row["twice"])
+    for c, packed in chunks.items():
+        out[c * size : (c + 1) * size] = _unpacked(packed)
     return out
 
 
@@ -146,10 +152,10 @@ def bits_for(n_docs: int) -> int:
 def suspects(docs: DataFrame, filter_bits: int, min_chars: int) -> DataFrame:
     """(key binary, doc_id): keys of long lines that two documents may share, once for each
     of a document's rows."""
-    twice = docs.sparkSession.sparkContext.broadcast(_packed(twice_filter(docs, filter_bits, min_chars)))
+    twice = docs.sparkSession.sparkContext.broadcast(twice_chunks(docs, filter_bits, min_chars))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = _unpacked(twice.value)
+        bits = whole_filter(twice.value, filter_bits)
         for batch in batches:
             ids: list[int | None] = []
             keys: list[bytes] = []
@@ -209,7 +215,7 @@ def dedup_lines(
     if few:
         table = keys.toArrow()
         held = docs.sparkSession.sparkContext.broadcast(
-            (b"".join(table["key"].to_pylist()), table["keep"].to_numpy().tobytes())
+            (b"".join(b"".join(c.to_pylist()) for c in table["key"].chunks), table["keep"].to_numpy().tobytes())
         )
         rows = docs.withColumn(own, F.lit(None).cast("array<binary>"))
     else:

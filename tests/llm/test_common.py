@@ -43,3 +43,42 @@ def test_workers_keep_one_operators_stores():
     list(common.lean("two", iter)([]))
     assert len(emptied) == 2
     common._clear.remove(clear)
+
+
+def broadcast_bytes(df):
+    """Bytes of the broadcasts that df's rows needed (of a plan that isn't adaptive)."""
+    df.collect()
+    found, rest = 0, [df._jdf.queryExecution().executedPlan()]
+    while rest:
+        node = rest.pop()
+        if node.getClass().getSimpleName() == "BroadcastExchangeExec":
+            found += node.metrics().apply("dataSize").value()
+        children = node.children()
+        rest.extend(children.apply(i) for i in range(children.size()))
+    return found
+
+
+def test_keys_that_go_weigh_little_on_the_driver(spark):
+    gone = common.materialize(spark.range(0, 60_000, 2).withColumnRenamed("id", "doc_id"), "test")
+    rows = spark.range(60_100).select(F.when(F.col("id") < 60_050, F.col("id")).alias("doc_id"), F.lit("x").alias("__gone"), F.lit("y").alias("__part"), F.lit("z").alias("a`b"))
+    rows = rows.unionByName(rows.where("doc_id < 4"))
+    few, many = (common.without(rows, gone, "doc_id", most=most) for most in (30_000, 29_999))
+    want = sorted([*range(1, 60_000, 2), *range(60_000, 60_050), 1, 3])
+    for left in (few, many):
+        ids = [r.doc_id for r in left.collect()]
+        assert left.columns == rows.columns and ids.count(None) == 50 and sorted(i for i in ids if i is not None) == want
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        large = common.materialize(spark.range(200_000).withColumnRenamed("id", "doc_id"), "test")
+        assert 8 * 200_000 <= broadcast_bytes(common.without(rows, large, "doc_id", most=200_000)) < 24 * 200_000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert common.without(rows, gone.limit(0), "doc_id").count() == rows.count()
+
+
+def test_iterations_leave_no_garbage_on_the_driver(spark, monkeypatch):
+    released = []
+    monkeypatch.setattr(common, "release", released.append)
+    first = common.materialize(spark.range(5), "test")
+    assert not released
+    assert common.materialize(first.where("id > 1"), "test", replaces=[first]).count() == 3 and released == [spark]

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 
 from tessera.llm import common
-from tessera.llm.linededup import MOST_BITS, TwiceFilter, bits_for, dedup_lines, digest
+from tessera.llm.linededup import MOST_BITS, TwiceFilter, bits_for, dedup_lines, digest, twice_chunks, whole_filter
 from tests.llm import data
 
 STRIP = " \t\n\x0b\x0c\r"
@@ -76,3 +76,14 @@ def test_filter_misses_no_repeat():
     hit = TwiceFilter._has(twice, bit_positions(keys, 1 << 18)).all(axis=1)
     assert hit[:10].all() and hit[1500:2000].all() and hit.mean() < 0.35
     assert hashlib.blake2b(b"x", digest_size=16).digest() == digest(b"x")
+
+
+def test_driver_holds_a_packed_filter(spark):
+    line = "a line that two documents share, of forty characters and more"
+    docs = data.documents(spark, [line, line, "another line of forty characters and more, alone"]).repartition(3)
+    chunks = twice_chunks(docs, MOST_BITS, 40)
+    assert 1 <= len(chunks) <= 4 and sum(map(len, chunks.values())) < 2000  # not the 64 MB of the whole
+    from tessera.llm.linededup import bit_positions
+
+    bits = whole_filter(chunks, MOST_BITS)
+    assert len(bits) == MOST_BITS // 8 and TwiceFilter._has(bits, bit_positions([digest(line.encode())], MOST_BITS)).all()
