@@ -3,15 +3,29 @@
 from __future__ import annotations
 
 import os
+import string
+from array import array
 from functools import cache
-from typing import TYPE_CHECKING
 
 import numpy as np
 
 from tessera.llm.common import kept_store
 
-if TYPE_CHECKING:
-    from tokenizers import Tokenizer
+#: Letters from here on may change with their neighbours, or with composition.
+NOT_LATIN = "\u0130"
+#: ASCII marks that are one piece in a row after a letter (an apostrophe may join what
+#: follows); of so many, or fewer, the ids are kept.
+MARKS, MOST_MARKS = "".join(c for c in string.punctuation if c != "'"), 3
+
+
+def _byte_level() -> dict[int, str]:
+    """The character that a byte-level vocabulary has for each byte."""
+    shown = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(rest)}
+
+
+BYTE_LEVEL = _byte_level()
 
 
 class WordTokenizer:
@@ -19,29 +33,26 @@ class WordTokenizer:
 
     The tokenizer folds case, drops white space and never joins what white space
     separates, so a text's ids are its words' ids in a row. ASCII case is folded first
-    (unless a combining mark might compose differently then). New words of a batch
-    are encoded in one call, between separators that can be found again in the ids; a
-    word that ends in a letter and one mark is its letters and the mark.
+    (unless a combining mark might compose differently then). A word of Latin letters is
+    one piece, which the model takes as it is; other new words of a batch are encoded in one
+    call, between separators that can be found again in the ids; a word that ends in a Latin
+    letter and a few marks is what comes before the marks, and the marks.
     The store has two halves of `most` words: when one is full it becomes the old half,
     whose words move over as they are met again, and the old one before it goes. What
     the store holds never changes a result."""
 
     def __init__(self, path: str, most: int = 300_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer, normalizers, pre_tokenizers
+        from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         # Words of Latin letters are one piece each and need no normaliser but lower().
-        self.letters = Tokenizer.from_file(path)
-        self.letters.encode_special_tokens = True
-        self.letters.normalizer = normalizers.Sequence([])
-        level = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
-        self.letters.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.WhitespaceSplit(), level])
+        self.model = self.tokenizer.model
         self.most = most
         self.known: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
-        self.marks = {m: np.array(self._one(chr(m)), np.uint32).tobytes() for m in b".,"}
+        self.marks: dict[str, bytes] = {}
 
     @staticmethod
     @cache
@@ -67,47 +78,58 @@ class WordTokenizer:
         if len(self.known) > self.most:
             self.old, self.known = self.known, {}
         known = self.known
-        out, gaps, new = [], [], set()
-        for text in texts:
-            words = (text if b"\xcc" in text or b"\xcd" in text else text.lower()).split()
-            found = list(map(known.get, words))
-            out.append(found)
-            if None in found:
-                own = [(i, words[i]) for i, x in enumerate(found) if x is None]
-                gaps.append((found, own))
-                new.update(w for _, w in own)
-        self._learn(new)
-        for found, own in gaps:
-            for i, w in own:
-                found[i] = known[w]
-        return out
+        words = [(text if b"\xcc" in text or b"\xcd" in text else text.lower()).split() for text in texts]
+        new = set().union(*words).difference(known)
+        if new:
+            self._learn(new)
+        get = known.__getitem__
+        return [list(map(get, x)) for x in words]
 
     def _learn(self, new: set[bytes]) -> None:
-        known, old = self.known, self.old
-        heads, ends = set(), []
+        known, old, marks = self.known, self.old, self.marks
+        other, ends = [], []
         for word in new:
+            if word in known:  # as what comes before another's marks
+                continue
             if (found := old.get(word)) is not None:
                 known[word] = found
-            elif len(word) > 1 and word[-1] in self.marks and 97 <= word[-2] <= 122:
-                head = word[:-1]
-                ends.append((word, head))
-                if head not in known and head not in new:
-                    heads.add(head)
-            else:
-                heads.add(word)
-        latin, other = [], []
-        for word in heads:
+                continue
             text = word.decode("utf-8", "replace")
-            if text.isalpha() and max(text) < "\u0130":
-                latin.append((word, text.lower()))
-            else:
+            if text.isalpha():
+                if max(text) < NOT_LATIN:
+                    known[word] = self._latin(text)
+                else:
+                    other.append((word, text))
+                continue
+            head = text.rstrip(MARKS)
+            n = len(text) - len(head)
+            if not (head and 0 < n <= MOST_MARKS and head[-1].isalpha() and head[-1] < NOT_LATIN):
                 other.append((word, text))
-        self._encode(latin, self.letters)
-        self._encode(other, self.tokenizer)
-        for word, head in ends:
-            known[word] = known[head] + self.marks[word[-1]]
-
-    def _encode(self, pairs: list[tuple[bytes, str]], by: Tokenizer, mark: str = "☃☃") -> None:
+                continue
+            before, end = word[:-n], text[-n:]
+            if end not in marks:
+                marks[end] = np.array(self._one(end), np.uint32).tobytes()
+            ids = known.get(before) or old.get(before)
+            if ids is None and head.isalpha() and max(head) < NOT_LATIN:
+                ids = known[before] = self._latin(head)
+            if ids is not None:
+                known[word] = ids + marks[end]
+            else:
+                ends.append((word, before, end))
+                if before not in new:
+                    other.append((before, head))
+        self._encode(other)
+        for word, before, end in ends:
+            known[word] = known[before] + marks[end]
+
+    def _latin(self, text: str) -> bytes:
+        """The ids of a word of Latin letters."""
+        piece = text.lower()
+        if not piece.isascii():
+            piece = piece.encode().decode("latin-1").translate(BYTE_LEVEL)
+        return array("I", [t.id for t in self.model.tokenize(piece)]).tobytes()
+
+    def _encode(self, pairs: list[tuple[bytes, str]], mark: str = "☃☃") -> None:
         """Stores the ids of each (word, text), 2000 in a call between marks."""
         cut = np.array(self._one(mark), np.uint32)
         k = len(cut)
@@ -115,7 +137,7 @@ class WordTokenizer:
             some = pairs[i : i + 2000]
             texts = [t if "☃" not in t else "a" for _, t in some]
             line = f" {mark} ".join(["", *texts, ""])
-            ids = np.array(by.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32)
+            ids = np.array(self.tokenizer.encode_batch_fast([line], add_special_tokens=False)[0].ids, np.uint32)
             hit = ids[: len(ids) - k + 1] == cut[0]
             for j in range(1, k):
                 hit &= ids[j : len(ids) - k + 1 + j] == cut[j]

@@ -27,6 +27,23 @@ def test_a_full_store_changes_nothing():
     assert [t.ids([x]) for x in given] == [small.ids([x]) for x in given]
 
 
+def test_latin_words_go_to_the_model_alone(monkeypatch):
+    t, sent = WordTokenizer(PATH), []
+    letters = [chr(c) for c in range(0x41, 0x130) if chr(c).isalpha()]
+    marks = [a + b for a in "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~" for b in ("", ".", "##")]
+    words = letters + ["word" + m for m in marks] + ["caf\u00e9" + m for m in marks] + ["\u00c0\u00c9\u00ff\u00f1oas", "stra\u00dfe!?", "w" * 3000]
+    odd = ["don't.", "'s.", "x'", "a'.", "o''", "a.b.c,", "1a.", "a1#", "a....", "\u0130.", "\u0391\u03a3.", "e\u0301.", "\u00e9\u0301,", "=\u0338", "a=\u0338", "\u2603.", "\u2603\u2603,"]
+    real = t._encode
+    monkeypatch.setattr(t, "_encode", lambda pairs: (sent.extend(x for _, x in pairs), real(pairs)))
+    for some in (words, odd, words + odd):
+        text = " ".join(some)
+        for _ in range(2):  # the second time from the store
+            assert t.ids([text.encode()])[0] == np.array(t._one(text), np.uint32).tobytes()
+            assert [t.ids([w.encode()])[0] for w in some] == [np.array(t._one(w), np.uint32).tobytes() for w in some]
+        if some is words:
+            assert not sent
+
+
 def check(rows, limits=Limits()):
     by = {}
     for r in rows:
