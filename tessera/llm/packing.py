@@ -200,11 +200,10 @@ def pack_texts(
         packer = Packer(limits, TaskContext.get().partitionId() << 40)
         for batch in batches:
             keys, losses = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            for i in range(0, len(keys), 256):
-                texts = batch.column(1).slice(i, 256).to_pylist()
-                heads = [max(0, t.find(cut)) if cut else 0 for t in texts]
-                for key, (ids, prompt), bears in zip(keys[i : i + 256], encode.ids_and_heads(texts, heads), losses[i : i + 256], strict=True):
-                    packer.add(key, ids + end, prompt if bears else len(ids) // 4 + 1)
+            texts = batch.column(1).to_pylist()
+            heads = [max(0, t.find(cut)) if cut else 0 for t in texts]
+            for key, (ids, prompt), bears in zip(keys, encode.ids_and_heads(texts, heads), losses, strict=True):
+                packer.add(key, ids + end, prompt if bears else len(ids) // 4 + 1)
             if packer.out:
                 yield packer.rows()
         packer.finish()

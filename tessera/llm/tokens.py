@@ -5,9 +5,12 @@ from __future__ import annotations
 import os
 import string
 from array import array
+from collections.abc import Iterable
 from functools import cache
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from tessera.llm.common import kept_store
 
@@ -28,15 +31,49 @@ def _byte_level() -> dict[int, str]:
 BYTE_LEVEL = _byte_level()
 
 
+def _table(chars: Iterable[int]) -> np.ndarray:
+    """For each byte, whether it is one of these."""
+    return np.isin(np.arange(256), list(chars))
+
+
+IS_MARK = _table(MARKS.encode())
+IS_LETTER = _table(string.ascii_letters.encode())
+#: Second bytes of the letters after U+00BF by their first byte: \u00c0 to \u00ff without \u00d7 and
+#: \u00f7, and \u0100 to \u012f.
+LATIN = {0xC3: _table(set(range(0x80, 0xC0)) - {0x97, 0xB7}), 0xC4: _table(range(0x80, 0xB0))}
+
+
+def _parts(array: pa.Array) -> tuple[np.ndarray, bytes]:
+    """Where the values of a whole large array begin and end, and their bytes."""
+    _, offsets, data = array.buffers()
+    return np.frombuffer(offsets, np.int64)[: len(array) + 1], data.to_pybytes() if data else b""
+
+
+def _marks_at_end(at: np.ndarray, raw: bytes) -> np.ndarray:
+    """For each word, how many marks come after its last Latin letter, if it ends in such
+    a letter and at most MOST_MARKS marks; else 0."""
+    data, start, end = np.frombuffer(b"\0\0" + raw, np.uint8), at[:-1] + 2, at[1:] + 2
+    n = np.zeros(len(start), np.int64)
+    for _ in range(MOST_MARKS + 1):
+        n += (end - n > start) & IS_MARK[data[end - n - 1]]
+    last = end - n - 1
+    letter = IS_LETTER[data[last]]
+    for lead, seconds in LATIN.items():
+        letter |= (last > start) & (data[last - 1] == lead) & seconds[data[last]]
+    return np.where((n <= MOST_MARKS) & (last >= start) & letter, n, 0)
+
+
 class WordTokenizer:
     """Encodes texts through a store of words already encoded.
 
     The tokenizer folds case, drops white space and never joins what white space
     separates, so a text's ids are its words' ids in a row. ASCII case is folded first
-    (unless a combining mark might compose differently then). A word of Latin letters is
-    one piece, which the model takes as it is; other new words of a batch are encoded in one
-    call, between separators that can be found again in the ids; a word that ends in a Latin
-    letter and a few marks is what comes before the marks, and the marks.
+    (unless a combining mark might compose differently then). Arrow splits a batch and finds
+    its distinct words, and puts their ids in their places; Python sees each distinct word
+    once. One that ends in a Latin letter and a few marks is what comes before the marks, and
+    the marks. A word of Latin letters is one piece, which the model takes as it is; other
+    new words of a batch are encoded in one call, between separators that can be found again
+    in the ids.
     The store has two halves of `most` words: when one is full it becomes the old half,
     whose words move over as they are met again, and the old one before it goes. What
     the store holds never changes a result."""
@@ -62,65 +99,61 @@ class WordTokenizer:
 
     def ids(self, texts: list[bytes]) -> list[bytes]:
         """For each UTF-8 text its ids, as little-endian uint32 bytes."""
-        return [b"".join(x) for x in self._found(texts)]
+        return [ids for ids, _ in self.ids_and_heads(texts, [0] * len(texts))]
 
     def ids_and_heads(self, texts: list[bytes], heads: list[int]) -> list[tuple[bytes, int]]:
         """The ids of each text, and how many of them its first head bytes have; these
         must end before white space, or be none."""
-        out = []
-        for text, head, found in zip(texts, heads, self._found(texts), strict=True):
-            n = len(text[:head].split()) if head else 0
-            out.append((b"".join(found), sum(map(len, found[:n])) // 4))
-        return out
-
-    def _found(self, texts: list[bytes]) -> list[list[bytes]]:
-        """For each text the ids of its words."""
+        if not texts:
+            return []
+        folded = [text if b"\xcc" in text or b"\xcd" in text else text.lower() for text in texts]
+        # Large types: one text's ids may have more bytes than 32 bits count. White space at
+        # a text's ends makes empty words, which have no ids.
+        words = pc.ascii_split_whitespace(pa.array(folded, pa.large_binary()).view(pa.large_string()))
+        coded = words.values.dictionary_encode()
+        found = pa.array(self._found(*_parts(coded.dictionary)), pa.large_binary()).take(coded.indices)
+        at, raw = _parts(found)
+        first = words.offsets.to_numpy()
+        ends = at[first].tolist()
+        n = [len(text[:head].split()) + text[:1].isspace() if head else 0 for text, head in zip(texts, heads, strict=True)]
+        head_ends = at[first[:-1] + n].tolist()
+        return [(raw[i:j], (k - i) // 4) for i, j, k in zip(ends[:-1], ends[1:], head_ends, strict=True)]
+
+    def _found(self, at: np.ndarray, raw: bytes) -> list[bytes]:
+        """The ids of each of some distinct words: those of what comes before the marks at
+        its end, and those of the marks."""
         if len(self.known) > self.most:
             self.old, self.known = self.known, {}
-        known = self.known
-        words = [(text if b"\xcc" in text or b"\xcd" in text else text.lower()).split() for text in texts]
-        new = set().union(*words).difference(known)
-        if new:
-            self._learn(new)
-        get = known.__getitem__
-        return [list(map(get, x)) for x in words]
+        known, marks = self.known, self.marks
+        cut = _marks_at_end(at, raw)
+        words = [raw[i:j] for i, j in zip(at[:-1].tolist(), (at[1:] - cut).tolist(), strict=True)]
+        found = list(map(known.get, words))
+        if gaps := [i for i, ids in enumerate(found) if ids is None]:
+            self._learn({words[i] for i in gaps})
+            for i in gaps:
+                found[i] = known[words[i]]
+        cuts = np.flatnonzero(cut)
+        ends = at[cuts + 1]
+        for i, j, k in zip(cuts.tolist(), (ends - cut[cuts]).tolist(), ends.tolist(), strict=True):
+            end = raw[j:k]
+            if end not in marks:
+                marks[end] = np.array(self._one(end.decode()), np.uint32).tobytes()
+            found[i] += marks[end]
+        return found
 
     def _learn(self, new: set[bytes]) -> None:
-        known, old, marks = self.known, self.old, self.marks
-        other, ends = [], []
+        known, old = self.known, self.old
+        other = []
         for word in new:
-            if word in known:  # as what comes before another's marks
-                continue
             if (found := old.get(word)) is not None:
                 known[word] = found
                 continue
             text = word.decode("utf-8", "replace")
-            if text.isalpha():
-                if max(text) < NOT_LATIN:
-                    known[word] = self._latin(text)
-                else:
-                    other.append((word, text))
-                continue
-            head = text.rstrip(MARKS)
-            n = len(text) - len(head)
-            if not (head and 0 < n <= MOST_MARKS and head[-1].isalpha() and head[-1] < NOT_LATIN):
-                other.append((word, text))
-                continue
-            before, end = word[:-n], text[-n:]
-            if end not in marks:
-                marks[end] = np.array(self._one(end), np.uint32).tobytes()
-            ids = known.get(before) or old.get(before)
-            if ids is None and head.isalpha() and max(head) < NOT_LATIN:
-                ids = known[before] = self._latin(head)
-            if ids is not None:
-                known[word] = ids + marks[end]
+            if text.isalpha() and (text.isascii() or max(text) < NOT_LATIN):
+                known[word] = self._latin(text)
             else:
-                ends.append((word, before, end))
-                if before not in new:
-                    other.append((before, head))
+                other.append((word, text))
         self._encode(other)
-        for word, before, end in ends:
-            known[word] = known[before] + marks[end]
 
     def _latin(self, text: str) -> bytes:
         """The ids of a word of Latin letters."""

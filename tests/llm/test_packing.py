@@ -44,6 +44,25 @@ def test_latin_words_go_to_the_model_alone(monkeypatch):
             assert not sent
 
 
+def test_a_word_is_kept_without_its_marks():
+    t = WordTokenizer(PATH)
+    some = ["word word. Word, (word) caf\u00e9 caf\u00e9!? WORD..."] * 3
+    assert t.ids([x.encode() for x in some]) == [np.array(t._one(x), np.uint32).tobytes() for x in some]
+    assert sorted(x.decode() for x in t.known) == ["(word", "caf\u00e9", "word"]
+
+
+def test_odd_bytes_and_heads():
+    t, rng = WordTokenizer(PATH), np.random.default_rng(4)
+    parts = [bytes([c]) for c in b" \t\n\x0b\x0c\r\x1c\x1f.,'#1aZ"] + [b"\xc3\x89", b"\xc3\x97", b"\xc4\xaf", b"\xc4\xb0", b"\xcc\x81", b"\xc3", b"\x80", b"\xff"]
+    texts = [b"", b" ", b"\n.", b"\xc3", b"a", b".", *(b"".join(rng.choice(parts, 30)) for _ in range(500))]
+    alone = [np.array(t._one(x.decode("utf-8", "replace")), np.uint32).tobytes() for x in texts]
+    assert t.ids(texts) == alone and t.ids([]) == []
+    heads = [max(0, x.find(b"\n")) for x in texts]
+    found = t.ids_and_heads(texts, heads)
+    assert [n for _, n in found] == [len(t._one(x[:h].decode("utf-8", "replace"))) for x, h in zip(texts, heads, strict=True)]
+    assert [ids for ids, _ in found] == alone
+
+
 def check(rows, limits=Limits()):
     by = {}
     for r in rows:
