@@ -43,10 +43,20 @@ IS_LETTER = _table(string.ascii_letters.encode())
 LATIN = {0xC3: _table(set(range(0x80, 0xC0)) - {0x97, 0xB7}), 0xC4: _table(range(0x80, 0xB0))}
 
 
-def _parts(array: pa.Array) -> tuple[np.ndarray, bytes]:
+def _words(texts: list[bytes]) -> tuple[np.ndarray, pa.DictionaryArray]:
+    """Where each text's words begin among all, and all words, ASCII case folded."""
+    folded = [text if b"\xcc" in text or b"\xcd" in text else text.lower() for text in texts]
+    # Large types: one text's ids may have more bytes than 32 bits count. White space at
+    # a text's ends makes empty words, which have no ids.
+    words = pc.ascii_split_whitespace(pa.array(folded, pa.large_binary()).view(pa.large_string()))
+    return words.offsets.to_numpy(), words.values.dictionary_encode()
+
+
+def _parts(values: pa.Array, copied: bool = True) -> tuple[np.ndarray, bytes | memoryview]:
     """Where the values of a whole large array begin and end, and their bytes."""
-    _, offsets, data = array.buffers()
-    return np.frombuffer(offsets, np.int64)[: len(array) + 1], data.to_pybytes() if data else b""
+    _, offsets, data = values.buffers()
+    raw = memoryview(data or b"")
+    return np.frombuffer(offsets, np.int64)[: len(values) + 1], raw.tobytes() if copied else raw
 
 
 def _marks_at_end(at: np.ndarray, raw: bytes) -> np.ndarray:
@@ -106,18 +116,14 @@ class WordTokenizer:
         must end before white space, or be none."""
         if not texts:
             return []
-        folded = [text if b"\xcc" in text or b"\xcd" in text else text.lower() for text in texts]
-        # Large types: one text's ids may have more bytes than 32 bits count. White space at
-        # a text's ends makes empty words, which have no ids.
-        words = pc.ascii_split_whitespace(pa.array(folded, pa.large_binary()).view(pa.large_string()))
-        coded = words.values.dictionary_encode()
+        first, coded = _words(texts)
         found = pa.array(self._found(*_parts(coded.dictionary)), pa.large_binary()).take(coded.indices)
-        at, raw = _parts(found)
-        first = words.offsets.to_numpy()
+        del coded
+        at, raw = _parts(found, copied=False)
         ends = at[first].tolist()
         n = [len(text[:head].split()) + text[:1].isspace() if head else 0 for text, head in zip(texts, heads, strict=True)]
         head_ends = at[first[:-1] + n].tolist()
-        return [(raw[i:j], (k - i) // 4) for i, j, k in zip(ends[:-1], ends[1:], head_ends, strict=True)]
+        return [(bytes(raw[i:j]), (k - i) // 4) for i, j, k in zip(ends[:-1], ends[1:], head_ends, strict=True)]
 
     def _found(self, at: np.ndarray, raw: bytes) -> list[bytes]:
         """The ids of each of some distinct words: those of what comes before the marks at
