@@ -67,7 +67,7 @@ class Best:
         self.n = 0
 
     def add(self, group: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
-        good = scores >= self.least[group]
+        good = ~(scores < self.least[group])
         self.parts.append((group[good], ids[good], scores[good]))
         self.n += int(good.sum())
         if self.n > self.most:
@@ -246,6 +246,9 @@ def rrf(hits: DataFrame, weights: Mapping[str, float] = RRF_WEIGHTS, k: int = RR
 
 # ------------------------------------------------------------------ dense vectors
 
+#: Scores that a task holds at once: points are multiplied in slices of so many by a block.
+MOST_CELLS = 1 << 20
+
 
 def _blocks(queries: DataFrame, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Blocks of at most `size` queries (id, vec), one after the other on the driver."""
@@ -262,11 +265,35 @@ def unit_rows(v: np.ndarray) -> np.ndarray:
     return v / np.where(norm > 0, norm, 1.0)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], queries: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Ids and unit vectors of (id, vec), so few at once that their scores against the
+    queries are MOST_CELLS at most."""
+    size = max(1, MOST_CELLS // queries)
+    for batch in batches:
+        for i in range(0, batch.num_rows, size):
+            ids, vectors = batch.slice(i, size).columns
+            flat = vectors.flatten()
+            if vectors.null_count + flat.null_count == 0 and len(set(vectors.value_lengths().to_pylist())) == 1:
+                rows = flat.to_numpy().astype(float).reshape(len(vectors), -1)
+            else:
+                rows = np.array(vectors.to_pylist(), float)
+            yield ids.to_numpy(), unit_rows(rows)
+
+
+def _worth(score: np.ndarray, least: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+    """Rows and columns of the scores that once rounded may be among the k best of their
+    row. least: what the k best so far have at least."""
+    least = least - 1e-6
+    if score.shape[1] > k and np.isneginf(least).any():
+        least = np.maximum(least, np.partition(score, -k, axis=1)[:, -k] - 1e-6)
+    return np.nonzero(~(score < least[:, None]))
+
+
 def cosine_top_k(queries: DataFrame, points: DataFrame, k: int, block: int = 4096) -> DataFrame:
     """qid, rank, id, score: the k points (id, vec) of another id with the largest cosine.
 
-    Queries go out in blocks; a task multiplies its points by the block and keeps its k
-    best a query, so only those rows shuffle."""
+    Queries go out in blocks; a task multiplies its points by the block, slice by slice, and
+    keeps its k best a query, so only those rows shuffle."""
     spark = points.sparkSession
     found = None
     for ids, vectors in _blocks(queries, block):
@@ -274,16 +301,13 @@ def cosine_top_k(queries: DataFrame, points: DataFrame, k: int, block: int = 409
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             qid, q = held.value
-            best = Best(len(qid), k)
-            for batch in batches:
-                own = batch.column(0).to_numpy()
-                if not len(own):
-                    continue
-                score = rounded(q @ unit_rows(np.array(batch.column(1).to_pylist(), float)).T)
-                score[qid[:, None] == own[None, :]] = -np.inf
-                least = np.partition(score, -k, axis=1)[:, -k] if len(own) > k else np.full(len(qid), -np.inf)
-                a, b = np.nonzero((score >= least[:, None]) & (score > -np.inf))
-                best.add(a, own[b], score[a, b])
+            best = Best(len(qid), k, 1 << 18)
+            for own, vectors in _slices(batches, len(qid)):
+                score = q @ vectors.T
+                a, b = _worth(score, best.least, k + 1)  # a query's own row may be one of them
+                other = (qid[a] != own[b]) & ~np.isnan(score[a, b])
+                a, b = a[other], b[other]
+                best.add(a, own[b], rounded(score[a, b]))
             a, ids, score = best.take()
             yield pa.RecordBatch.from_arrays([pa.array(qid[a]), pa.array(ids), pa.array(score)], ["qid", "id", "score"])
 
@@ -294,13 +318,26 @@ def cosine_top_k(queries: DataFrame, points: DataFrame, k: int, block: int = 409
     return found.select("qid", "rank", "id", "score")
 
 
+class BestRecords(Best):
+    """The k best ids of each group, of an id's entries the best alone."""
+
+    def take(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if self.parts:
+            group, ids, scores = (np.concatenate(x) for x in zip(*self.parts, strict=True))
+            order = np.lexsort((-scores, ids, group))
+            group, ids, scores = group[order], ids[order], scores[order]
+            first = np.append(True, (group[1:] != group[:-1]) | (ids[1:] != ids[:-1]))[: len(group)]
+            self.parts = [(group[first], ids[first], scores[first])]
+        return super().take()
+
+
 def maxsim(queries: DataFrame, variants: DataFrame, k: int, block: int = 4096) -> DataFrame:
     """qid, rank, id, score: the k records with the largest cosine of a query and one of
     their variants (record, vec).
 
-    A task takes the maximum over the variants that it has of a record and keeps its k best
-    records a query: a record among the k best of all is among those of the task with its
-    best variant."""
+    A task takes the maximum over the variants that it has of a record, slice by slice, and
+    keeps its k best records a query: a record among the k best of all is among those of the
+    task with its best variant."""
     spark = variants.sparkSession
     found = None
     for ids, vectors in _blocks(queries, block):
@@ -308,23 +345,13 @@ def maxsim(queries: DataFrame, variants: DataFrame, k: int, block: int = 4096) -
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             qid, q = held.value
-            best = Best(len(qid), k)
-            for batch in batches:
-                records = np.array(batch.column(0).to_pylist(), np.int64)
-                if not len(records):
-                    continue
+            best = BestRecords(len(qid), k, 1 << 18)
+            for records, vectors in _slices(batches, len(qid)):
                 order = np.argsort(records, kind="stable")
                 some, first = np.unique(records[order], return_index=True)
-                score = rounded(q @ unit_rows(np.array(batch.column(1).to_pylist(), float)[order]).T)
-                score = np.maximum.reduceat(score, first, axis=1)
-                # A record's variants may lie in several batches: its best alone counts.
-                a, met, old = best.take()
-                group, own = np.repeat(np.arange(len(qid)), len(some)), np.tile(some, len(qid))
-                pairs = np.concatenate([np.column_stack([a, met]), np.column_stack([group, own])])
-                names, at = np.unique(pairs, axis=0, return_inverse=True)
-                top = np.full(len(names), -np.inf)
-                np.maximum.at(top, at.ravel(), np.concatenate([old, score.ravel()]))
-                best.parts, best.n = [(names[:, 0], names[:, 1], top)], len(names)
+                score = np.maximum.reduceat(q @ vectors[order].T, first, axis=1)
+                a, b = _worth(score, best.least, k)
+                best.add(a, some[b], rounded(score[a, b]))
             a, met, score = best.take()
             yield pa.RecordBatch.from_arrays([pa.array(qid[a]), pa.array(met), pa.array(score)], ["qid", "record", "score"])
 

@@ -4,6 +4,7 @@ import itertools
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.errors import ConstraintError, CycleError
@@ -56,6 +57,34 @@ def test_cosine_equals_numpy(spark):
     assert all(abs(best[q, g] - s[q, g::3].max()) < 2e-6 for q in range(90) for g in range(3))
 
 
+def test_vector_scores_are_bounded_and_exact(spark, monkeypatch):
+    """A batch of points of any size is multiplied in slices of MOST_CELLS scores."""
+    monkeypatch.setattr(rt, "MOST_CELLS", 7 * 60)
+    seen, worth = [], rt._worth
+    monkeypatch.setattr(rt, "_worth", lambda score, least, k: seen.append(score.shape) or worth(score, least, k))
+    v = np.round(np.random.default_rng(1).standard_normal((60, 2)), 0)  # many ties, some zero vectors
+    batch = [pa.RecordBatch.from_arrays([pa.array(range(60)), pa.array(v.tolist(), pa.list_(pa.float64()))], ["id", "vec"])]
+    u, ids = rt.unit_rows(v), np.arange(60)
+    best, records = rt.Best(60, 3, 100), rt.BestRecords(60, 3, 100)
+    s = rt.rounded(u @ u.T)
+    for own, w in rt._slices(batch, 60):
+        score = u @ w.T
+        a, b = rt._worth(score, best.least, 4)
+        other = ids[a] != own[b]
+        best.add(a[other], own[b[other]], rt.rounded(score[a[other], b[other]]))
+        a, b = rt._worth(score, records.least, 3)
+        records.add(np.repeat(a, 2), np.repeat(own[b] // 4, 2), np.repeat(rt.rounded(score[a, b]), 2))
+    assert len(seen) == 18 and max(n * m for n, m in seen) <= rt.MOST_CELLS
+    group, met, score = best.take()
+    for q in range(60):
+        want = sorted((i for i in range(60) if i != q), key=lambda i: (-s[q, i], i))[:3]
+        assert met[group == q].tolist() == want and np.allclose(score[group == q], s[q, want], atol=2e-6)
+    top = s.reshape(60, 15, 4).max(axis=2)
+    group, met, score = records.take()
+    for q in range(60):
+        assert met[group == q].tolist() == sorted(range(15), key=lambda i: (-top[q, i], i))[:3]
+
+
 def test_canonical_paths_equal_search(spark):
     rng = random.Random(3)
     for _ in range(3):
