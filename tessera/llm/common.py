@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.functions import ArrowUDFType, arrow_udf
 
+from tessera.operators.scratch import BATCH_BYTES, BATCH_ROWS, small_batches  # noqa: F401
+
 #: ASCII white space, the only characters that separate words: [\x20\x09-\x0D].
 SPACES = b" \t\n\x0b\x0c\r"
 WORD = r"[^\x20\x09-\x0D]+"
@@ -169,21 +171,6 @@ def free_name(df: DataFrame, stem: str) -> str:
     return stem
 
 
-#: Rows, and bytes, that go to a Python worker at once.
-BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
-
-
-def small_batches(df: DataFrame) -> None:
-    """Bounds the session's Arrow batches by rows and bytes, unless they are bounded lower:
-    texts are long, and a batch is held by the executor and its worker at once. Plans run
-    after this function returns, so the setting stays; it changes no result."""
-    conf = df.sparkSession.conf
-    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
-        now = conf.get(f"spark.sql.execution.arrow.{key}").removesuffix("b")
-        if not (now.isdigit() and 0 < int(now) <= most):
-            conf.set(f"spark.sql.execution.arrow.{key}", str(most))
-
-
 def code_points(b: bytes) -> int:
     """Code points of UTF-8 bytes."""
     return len(b) if b.isascii() else len(b.decode("utf-8", "replace"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.text import ordered_labels, sections
+from tessera.operators.scratch import small_batches
 
 TokenCounter = Callable[[list[str]], list[int]]
 
@@ -115,6 +116,7 @@ def fit_column(rows: DataFrame, id_col: str, parts: Sequence[tuple[str, str, str
                 ["id", "text", "tokens_before", "tokens", "truncated", "shortened"],
             )
 
+    small_batches(rows)
     own = rows.select(F.col(id_col).alias("id"), *columns)
     schema = f"id {own.schema['id'].dataType.simpleString()}, text string, tokens_before long, tokens long, truncated boolean, shortened string"
     return own.mapInArrow(run, schema)

@@ -1,4 +1,4 @@
-"""Cutting lineage: checkpoints in the folder that the session names."""
+"""Cutting lineage: checkpoints in the folder that the session names; bounded batches."""
 
 from __future__ import annotations
 
@@ -21,3 +21,18 @@ def kept(df: DataFrame) -> DataFrame:
     """df, computed and written once; a lost executor costs tasks of later stages only."""
     checkpointed(df.sparkSession)
     return df.checkpoint()
+
+
+#: Rows, and bytes, that go to a Python worker at once.
+BATCH_ROWS, BATCH_BYTES = 1000, 4 << 20
+
+
+def small_batches(df: DataFrame) -> None:
+    """Bounds the session's Arrow batches by rows and bytes, unless they are bounded lower:
+    texts are long, and a batch is held by the executor and its worker at once. Plans run
+    after this function returns, so the setting stays; it changes no result."""
+    conf = df.sparkSession.conf
+    for key, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        now = conf.get(f"spark.sql.execution.arrow.{key}").removesuffix("b")
+        if not (now.isdigit() and 0 < int(now) <= most):
+            conf.set(f"spark.sql.execution.arrow.{key}", str(most))
