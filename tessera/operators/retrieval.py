@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator, Mapping, Sequence
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +14,7 @@ from pyspark.sql import functions as F
 from tessera.errors import SourceError
 from tessera.functions.analysis import analyzer_of
 from tessera.functions.text import tokens
-from tessera.operators.scratch import kept
+from tessera.operators.scratch import kept, small_batches
 
 #: BM25 saturation, length weight and constant mean length.
 BM25_K, BM25_B, BM25_MEAN = 1.2, 0.75, 256.0
@@ -89,6 +90,8 @@ class Best:
         return group[few], ids[few], scores[few]
 
 
+#: Pairs of points and queries, and postings, that a task holds at once.
+MOST_CELLS = 1 << 20
 #: Terms of queries that tasks look for at most; with more, they keep all terms.
 MOST_TERMS = 200_000
 KINDS = ("lexical", "semantic", "label")
@@ -149,12 +152,18 @@ class QueryBlock:
         t, tf = flat[:, 0], flat[:, 1].astype(float)
         weight = self.idf[t] * tf * (BM25_K + 1) / (tf + BM25_K * (1 - BM25_B + BM25_B * dl[row] / BM25_MEAN))
         times = self.ends[t + 1] - self.ends[t]
-        which = np.repeat(np.arange(len(t)), times)
-        first = np.concatenate([[0], np.cumsum(times)])[:-1]
-        q = self.queries[self.ends[t][which] + np.arange(len(which)) - first[which]]
-        cell, at = np.unique(row[which] * n + q, return_inverse=True)
-        bm25, shared = np.bincount(at, weight[which]), np.bincount(at).astype(float)
-        q, d = cell % n, cell // n
+        bm25, shared = np.zeros(n_rows * n), np.zeros(n_rows * n)
+        # Postings are met in pieces: a common term has one for each query that asks for it.
+        edges = np.flatnonzero(np.diff(np.cumsum(times) // MOST_CELLS)) + 1
+        for a, b in pairwise([0, *edges.tolist(), len(t)]):
+            own = times[a:b]
+            which = np.repeat(np.arange(a, b), own)
+            first = np.repeat(self.ends[t[a:b]] - np.cumsum(own) + own, own)
+            cell = row[which] * n + self.queries[first + np.arange(len(which))]
+            np.add.at(bm25, cell, weight[which])
+            np.add.at(shared, cell, 1.0)
+        at = np.flatnonzero(shared)
+        bm25, shared, q, d = bm25[at], shared[at], at % n, at // n
         ids, qn, dt = rows.column(0).to_numpy()[d], self.sizes[q], dt[d]
         of = {"lexical": lambda: bm25, "semantic": lambda: shared / np.sqrt(qn * dt), "label": lambda: shared / (qn + dt - shared)}
         for c, kind in enumerate(kinds):
@@ -170,6 +179,7 @@ def lexical_hits(queries: DataFrame, qid: str, points: DataFrame, pid: str, k: i
     and keeps its k best a query and channel, so only those shuffle: pairs never do. strict:
     a query without terms is an error. Rows that repeat a point's id count each."""
     spark, analyze = points.sparkSession, analyzer_of(analyzer)
+    small_batches(points)
     own = queries.select(F.col(qid).cast("long").alias("id"), F.col(query_text).alias("t"))
     parts = max(1, -(-own.count() // block))
 
@@ -202,10 +212,11 @@ def lexical_hits(queries: DataFrame, qid: str, points: DataFrame, pid: str, k: i
 
         def run(batches: Iterator[pa.RecordBatch], held=held) -> Iterator[pa.RecordBatch]:
             made = held.value
-            best = Best(len(kinds) * len(made.ids), k)
+            best = Best(len(kinds) * len(made.ids), k, 1 << 18)
+            size = max(1, min(512, MOST_CELLS // max(1, len(made.ids))))
             for batch in batches:
-                for i in range(0, batch.num_rows, 512):
-                    for c, q, ids, score in made.scores(batch.slice(i, 512), kinds):
+                for i in range(0, batch.num_rows, size):
+                    for c, q, ids, score in made.scores(batch.slice(i, size), kinds):
                         best.add(q * len(kinds) + c, ids, score)
             group, ids, score = best.take()
             channel = pa.array([kinds[c] for c in group % len(kinds)], pa.string())
@@ -246,9 +257,6 @@ def rrf(hits: DataFrame, weights: Mapping[str, float] = RRF_WEIGHTS, k: int = RR
 
 # ------------------------------------------------------------------ dense vectors
 
-#: Scores that a task holds at once: points are multiplied in slices of so many by a block.
-MOST_CELLS = 1 << 20
-
 
 def _blocks(queries: DataFrame, size: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Blocks of at most `size` queries (id, vec), one after the other on the driver."""

@@ -6,10 +6,12 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tessera.errors import SourceError
 from tessera.functions.analysis import LONGEST, english, stem
+from tessera.operators import documents as dc
 from tessera.operators import hierarchy as hi
 from tessera.operators import retrieval as rt
 
@@ -88,3 +90,32 @@ def test_a_cycle_is_named(spark):
     assert hi.cycle_trail(edges.where("child <> 'b'")) == []
     long = spark.createDataFrame([(f"n{i:03}", f"n{i - 1:03}") for i in range(1, 90)], "child string, parent string")
     assert hi.on_cycles(long).count() == 0  # as deep as it is
+
+
+def test_a_task_holds_few_postings(spark, monkeypatch):
+    """Rows that share common terms with many queries are scored in pieces, to equal scores."""
+    made = rt.QueryBlock(range(50), [[f"w{i % 7}", "w7", "w8"] for i in range(50)])
+    made.idf = np.linspace(0.1, 2.0, len(made.number))
+    rows = [(i, 30, 9, [f"w{j}" for j in range(9)], [1 + (i + j) % 4 for j in range(9)]) for i in range(40)]
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], ["id", "dl", "dt", "terms", "tfs"])
+    whole = list(made.scores(batch, rt.KINDS))
+    pieces, arange = [], np.arange
+    monkeypatch.setattr(rt, "MOST_CELLS", 100)
+    monkeypatch.setattr(rt.np, "arange", lambda *a: pieces.append(out := arange(*a)) or out)
+    parts = list(made.scores(batch, rt.KINDS))
+    monkeypatch.undo()
+    assert max(map(len, pieces)) <= 100 + 50
+    for x, y in zip(whole, parts, strict=True):
+        assert all(np.array_equal(a, b) for a, b in zip(x, y, strict=True))
+
+
+def test_texts_go_to_workers_in_bounded_batches(spark):
+    """The session's default of 10,000 texts a batch is lowered by what sends texts."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    docs = spark.createDataFrame([(1, "a b")], "id long, text string")
+    for call in (lambda: rt.lexical_hits(docs, "id", docs, "id"), lambda: dc.fit_column(docs, "id", [("b", "B", "text", 1)], 9)):
+        before = spark.conf.get(name)
+        spark.conf.set(name, "10000")
+        call()
+        assert int(spark.conf.get(name)) <= 1000
+        spark.conf.set(name, before)
