@@ -38,6 +38,23 @@ def term_counts(points: DataFrame, id_col: str, text_col: str = "text") -> DataF
     return rows.groupBy("id", "term").agg(F.count(F.lit(1)).alias("tf"), F.first("dl").alias("dl"))
 
 
+def document_counts(points: DataFrame, id_col: str, text_col: str = "text") -> DataFrame:
+    """term, df: the ids whose texts have the term; rows that repeat an id (null: one id)
+    count once.
+
+    A text's distinct terms are counted where it lies, so that partial counts alone shuffle;
+    only the terms of repeated ids meet by id."""
+    rows = points.select(F.col(id_col).alias("id"), F.array_distinct(tokens(F.col(text_col))).alias("t"))
+    ids = points.select(F.col(id_col).alias("id")).groupBy("id").agg(F.count(F.lit(1)).alias("n"))
+    again = kept(ids.where("n > 1").select(F.col("id").alias("other")))
+    if again.isEmpty():
+        return rows.select(F.explode("t").alias("term")).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    again, same = sized(again), F.col("id").eqNullSafe(F.col("other"))
+    once = rows.join(again, same, "left_anti").select(F.explode("t").alias("term"))
+    more = rows.join(again, same, "left_semi").select("id", F.explode("t").alias("term")).distinct().select("term")
+    return once.unionByName(more).groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+
+
 def bm25_weight(tf: Column, dl: Column, k: float = BM25_K, b: float = BM25_B, mean: float = BM25_MEAN) -> Column:
     return tf * (k + 1) / (tf + k * (1 - b + b * dl / mean))
 

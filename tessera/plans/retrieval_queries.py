@@ -111,7 +111,7 @@ def bm25_weights(spark, sf_dir):
 SELECT term, df, round(ln(1 + (n - df + 0.5) / (df + 0.5)), 6) AS idf FROM df, n""")
 def idf_table(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    counts = rt.term_counts(docs, "doc_id").groupBy("term").agg(F.count(F.lit(1)).alias("df"))
+    counts = rt.document_counts(docs, "doc_id")
     return counts.select("term", "df", F.round(rt.idf(F.lit(docs.count()), F.col("df")), 6).alias("idf"))
 
 

@@ -119,3 +119,15 @@ def test_texts_go_to_workers_in_bounded_batches(spark):
         call()
         assert int(spark.conf.get(name)) <= 1000
         spark.conf.set(name, before)
+
+
+def test_document_counts_dont_shuffle_pairs(spark):
+    """Terms are counted by term alone; rows that repeat an id, or have none, count once."""
+    rows = [(1, "a b a"), (2, "A c"), (3, None), (4, "")]
+    frame = lambda rows: spark.createDataFrame(rows, "id long, text string")
+    made = rt.document_counts(frame(rows), "id")
+    plan = made._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == plan.count("Exchange hashpartitioning(term#") == 1
+    assert {tuple(r) for r in made.collect()} == {("a", 2), ("b", 1), ("c", 1)}
+    more = rt.document_counts(frame([*rows, (1, "b d"), (None, "a"), (None, "a e")]), "id")
+    assert {tuple(r) for r in more.collect()} == {("a", 3), ("b", 1), ("c", 1), ("d", 1), ("e", 1)}
